@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from gneiss.llm import sharding
+from gneiss.llm import decontamination, fingerprints, licenses, sharding
 
 QUERIES = {
     "op3_extendible_sharding": sharding.op3_extendible_sharding,
+    "op6_license_scan": licenses.op6_license_scan,
+    "op7_decontamination": decontamination.op7_decontamination,
+    "op9_fingerprints": fingerprints.op9_fingerprints,
 }
 
 ORACLES = {
     "op3_extendible_sharding": sharding.ORACLE_SQL,
+    "op6_license_scan": licenses.ORACLE_SQL,
+    "op7_decontamination": decontamination.ORACLE_SQL,
 }
