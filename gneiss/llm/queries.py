@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from gneiss.llm import decontamination, fingerprints, licenses, sharding
+from gneiss.llm import decontamination, fingerprints, html, licenses, sharding
 
 QUERIES = {
     "op3_extendible_sharding": sharding.op3_extendible_sharding,
     "op6_license_scan": licenses.op6_license_scan,
     "op7_decontamination": decontamination.op7_decontamination,
+    "op8_html_extraction": html.op8_html_extraction,
     "op9_fingerprints": fingerprints.op9_fingerprints,
 }
 
