@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gneiss.llm import decontamination, fingerprints, html, licenses, sharding
+from gneiss.llm import decontamination, fingerprints, html, licenses, scoring, sharding
 
 QUERIES = {
     "op3_extendible_sharding": sharding.op3_extendible_sharding,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_html_extraction": html.op8_html_extraction,
     "op9_fingerprints": fingerprints.op9_fingerprints,
+    "op10_lm_scoring": scoring.op10_lm_scoring,
 }
 
 ORACLES = {
