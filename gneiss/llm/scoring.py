@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from gneiss.session import materialize, table
 
 DEPTH = 6
-P_MIN = 2e-5
+P_MIN = 4e-6
 DIVERGENCE = 8.0
-ESCAPE = 1.0
+ESCAPE = 6.0
 HELD_OUT = 1
 FOLDS = 5
 END, SPACE, SYMBOLS = 256, 0x20, 257
@@ -172,7 +172,7 @@ def learn(spark: SparkSession, counted: DataFrame, total: int) -> Tree:
             rows = rows.groupBy("c").agg(F.collect_list(F.struct("x", "n")).alias("next"))
         own: dict[int, np.ndarray] = {}
         for c, following in rows.toLocalIterator():
-            dense = np.zeros(width)
+            dense = np.zeros(width, np.float32)
             for x, n in following:
                 dense[alphabet[x]] = n
             own[c] = dense
@@ -193,7 +193,7 @@ def _tree(level: list[dict[int, np.ndarray]], alphabet: np.ndarray, width: int,
         for c, counts in level[depth].items():
             parent = smooth[depth - 1][c & mask]  # a suffix is at least as frequent
             total, distinct = counts.sum(), float((counts > 0).sum())
-            own[c] = (counts + ESCAPE * distinct * parent) / (total + ESCAPE * distinct)
+            own[c] = ((counts + ESCAPE * distinct * parent) / (total + ESCAPE * distinct)).astype(np.float32)
             some = counts > 0
             if (counts[some] * np.log(counts[some] / total / parent[some])).sum() > DIVERGENCE:
                 keep.add(c)
