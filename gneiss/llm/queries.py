@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from gneiss.llm import decontamination, fingerprints, html, licenses, scoring, sharding
+from gneiss.llm import decontamination, fingerprints, html, licenses, near_dedup, scoring, sharding
 
 QUERIES = {
+    "op1_minhash_dedup": near_dedup.op1_minhash_dedup,
     "op3_extendible_sharding": sharding.op3_extendible_sharding,
     "op6_license_scan": licenses.op6_license_scan,
     "op7_decontamination": decontamination.op7_decontamination,
