@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from gneiss.llm import decontamination, fingerprints, html, licenses, near_dedup, pieces, scoring, sharding
+from gneiss.llm import decontamination, fingerprints, html, licenses, near_dedup, pieces, quality, scoring, sharding
 
 QUERIES = {
     "op1_minhash_dedup": near_dedup.op1_minhash_dedup,
     "op3_extendible_sharding": sharding.op3_extendible_sharding,
+    "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_sentencepiece": pieces.op5_sentencepiece,
     "op6_license_scan": licenses.op6_license_scan,
     "op7_decontamination": decontamination.op7_decontamination,
