@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from gneiss.llm import decontamination, fingerprints, html, licenses, near_dedup, pieces, quality, scoring, sharding
+from gneiss.llm import decontamination, fingerprints, html, licenses, near_dedup, pieces, quality, scoring, sharding, surrogates
 
 QUERIES = {
     "op1_minhash_dedup": near_dedup.op1_minhash_dedup,
+    "op2_pii_surrogates": surrogates.op2_pii_surrogates,
     "op3_extendible_sharding": sharding.op3_extendible_sharding,
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_sentencepiece": pieces.op5_sentencepiece,
