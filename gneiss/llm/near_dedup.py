@@ -2,7 +2,7 @@
 
 A document's set holds 64-bit hashes of its distinct shingles (words `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; with
 fewer words than a shingle has, the whole sequence is one). Documents with equal sets are one class, met by a
-128-bit digest; the join works on classes. Documents are linked if 100 * |A n B| >= 80 * |A u B|, confirmed on
+64-bit digest of the set; the join works on classes. Documents are linked if 100 * |A n B| >= 80 * |A u B|, confirmed on
 full sets; groups are the connected components of the links.
 
 Join. A class has a signature of COORDINATES minwise tokens. In each of TREES trees a node chooses, from its own
@@ -96,6 +96,11 @@ def signature(items: np.ndarray) -> np.ndarray:
     return (_mix(out) >> np.uint64(32)).astype(np.uint32)
 
 
+def _class(items: np.ndarray) -> int | None:
+    """The name of a set, the same for equal sets; null for the empty set."""
+    return xxhash.xxh3_64_intdigest(items.tobytes()) - (1 << 63) if len(items) else None
+
+
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
     if not len(a) or not len(b) or 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
         return False
@@ -110,9 +115,9 @@ def _sets(size: int):
             for text in batch.column(1).to_pylist():
                 items = shingles(text, size)
                 n.append(len(items))
-                keys.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
+                keys.append(_class(items))
                 signs.append(signature(items).tobytes() if len(items) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())], names=["doc_id", "n_shingles", "key", "sign"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(signs, pa.binary())], names=["doc_id", "n_shingles", "class", "sign"])
 
     return run
 
@@ -277,7 +282,9 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _confirming(size: int):
-    """(centre key, role, a, b, text) sorted by centre key, role: the centre's text, then those proposed for it."""
+    """(centre key, role, a, b, class, text) sorted by centre key, role: the centre's text, then those proposed for it.
+
+    An id may occur with several texts; only the text whose digest gives the class counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, own = None, None
@@ -285,8 +292,7 @@ def _confirming(size: int):
             a, b, ok = [], [], []
             for key, role, x, y, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if role == 0:
-                    if key != centre:
-                        centre, own = key, shingles(text, size)
+                    centre, own = key, shingles(text, size)
                     continue
                 a.append(x)
                 b.append(y)
@@ -296,36 +302,59 @@ def _confirming(size: int):
     return run
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(a, b, ok) of proposed pairs a < b. texts: (doc_id, text), unique ids."""
+def confirm(pairs: DataFrame, texts: tuple[DataFrame, DataFrame], size: int) -> DataFrame:
+    """(a, b, ok) of proposed pairs a < b of classes. texts: (doc_id, text) rows, and each class's smallest doc_id."""
+    rows, led = texts
     degree = pairs.groupBy("a").agg(F.count("*").alias("degree"))
     salted = pairs.join(degree, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.ceil(F.col("degree") / SALT_DEGREE))).cast("int"))
-    wanted = salted.select(F.col("b").alias("doc_id"), "a", "salt", F.lit(1).alias("role"))
-    centres = salted.select(F.col("a").alias("doc_id"), "a", "salt", F.lit(0).alias("role")).distinct()
-    places = wanted.unionByName(centres).groupBy("doc_id").agg(F.collect_list(F.struct("a", "salt", "role")).alias("places"))
-    rows = texts.join(places, "doc_id").select("doc_id", "text", F.explode("places").alias("p"))
-    rows = rows.select(F.xxhash64("p.a", "p.salt").alias("key"), F.col("p.role").alias("role"), F.col("p.a").alias("a"), F.col("doc_id").alias("b"), "text")
-    return rows.repartition("key").sortWithinPartitions("key", "role").mapInArrow(_confirming(size), "a long, b long, ok boolean")
+    wanted = salted.select(F.col("b").alias("class"), "a", "salt", F.lit(1).alias("role"))
+    centres = salted.select(F.col("a").alias("class"), "a", "salt", F.lit(0).alias("role")).distinct()
+    places = wanted.unionByName(centres).groupBy("class").agg(F.collect_list(F.struct("a", "salt", "role")).alias("places"))
+    places = places.join(led, "class").groupBy("doc_id").agg(F.collect_list(F.struct("class", "places")).alias("held"), F.max("several").alias("several"))
+    spread = rows.join(places, "doc_id").select("doc_id", "text", "held", "several").mapInArrow(_placing(size), "key long, role int, a long, b long, text string")
+    # an id with repeated rows gives its text more than once: the pair's answer is the same
+    checked = spread.repartition("key").sortWithinPartitions("key", "role").mapInArrow(_confirming(size), "a long, b long, ok boolean")
+    return checked.distinct()
+
+
+def _placing(size: int):
+    """(doc_id, text, held, several) -> a row for each place of the class that this text has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for text, held, several in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                own = (_class(shingles(text, size)) or 0) if several else None
+                for one in held:
+                    if own is None or one["class"] == own:
+                        out += [(_mixed(p["a"] * 1_000_003 + p["salt"]) - (1 << 63), p["role"], p["a"], one["class"], text) for p in one["places"]]
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()))], names=["key", "role", "a", "b", "text"])
+
+    return run
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 2) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = materialize(source.mapInArrow(_sets(size), "doc_id long, n_shingles long, key binary, sign binary"), "sets")
-    known = sets.where("key is not null and doc_id is not null")
-    classes = materialize(known.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("sign").alias("sign")), "classes")
-    # an id with several texts leads more than one class; classes are then told apart by joining through the id's component
-    unique = classes.groupBy("doc_id").agg(F.first("sign").alias("sign"), F.first("key").alias("key"))
-    leaf = materialize(leaves(classes.select("doc_id", "sign")), "leaves")
-    signs = materialize(_small_sign(unique), "signs")
+    sets = materialize(source.mapInArrow(_sets(size), "doc_id long, n_shingles long, class long, sign binary"), "sets")
+    # a class's text is read from its smallest document
+    known = sets.where("class is not null and doc_id is not null")
+    classes = materialize(known.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("sign").alias("sign")), "classes")
+    leaf = materialize(leaves(classes.select(F.col("class").alias("doc_id"), "sign")), "leaves")
+    signs = materialize(_small_sign(classes.select(F.col("class").alias("doc_id"), "sign")), "signs")
     part = F.xxhash64("node", F.pmod(F.xxhash64("doc_id", "node"), F.col("dealt")))
     compared = leaf.join(signs, "doc_id").select(part.alias("part"), "node", "doc_id", "sign")
     forest = compared.repartition("part").sortWithinPartitions("part").mapInArrow(_forests, "a long, b long, node long")
     forest = materialize(forest, "forest")
     pairs = forest.select("a", "b").distinct()
-    texts = source
+    # an id that occurs with several texts is one document: its classes are linked
+    several = materialize(known.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("m")).where("a <> m").select("doc_id", "a"), "several")
+    led = classes.select("class", F.col("least").alias("doc_id")).join(several.select("doc_id", F.lit(True).alias("several")), "doc_id", "left")
+    texts = (source, led)
     links = materialize(confirm(pairs, texts, size), "links")
     good = links.where("ok").select("a", "b")
+    same = known.join(several, "doc_id").where("class <> a").select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b"))
+    good = materialize(good.unionByName(same), "good")
     comps = materialize(connected_components(good), "components")
     named = comps.select(F.col("node").alias("doc_id"), "component")
     refused = forest.join(links.where("not ok").select("a", "b"), ["a", "b"]).select("a", "b", "node")
@@ -336,10 +365,12 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int
         if not more.isEmpty():
             late = materialize(confirm(more, texts, size), "late").where("ok").select("a", "b")
             comps = materialize(connected_components(good.unionByName(late)), "components")
-    # every document to its class's leader, every leader to its component
-    led = sets.join(classes.select("key", F.col("doc_id").alias("leader")), "key", "left")
-    out = led.join(comps.select(F.col("node").alias("leader"), "component"), "leader", "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "leader", "doc_id")).alias("component_id"))
+    # every component's smallest document, then every document through its class
+    reached = classes.join(comps.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    smallest = reached.groupBy("component").agg(F.min("least").alias("component_id"))
+    answer = reached.join(smallest, "component").select(F.col("class").alias("_class"), "component_id")
+    led = sets.withColumn("_class", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("class")), F.xxhash64("doc_id", F.lit("no class")))).join(answer, "_class", "left")
+    out = led.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
