@@ -140,7 +140,8 @@ class Tree:
         for depth in range(DEPTH):
             longer = np.full(n + 1, -1, np.int64)
             have = node[:-1] >= 0
-            longer[1:][have] = self.follow[depth][node[:-1][have] * width + coded[have]]
+            if len(self.follow[depth]):
+                longer[1:][have] = self.follow[depth][node[:-1][have] * width + coded[have]]
             node = longer
             known = node[:n] >= 0
             state = np.where(known, self.state[depth + 1][node[:n]] if len(self.state[depth + 1]) else -1, -1)
@@ -151,72 +152,80 @@ class Tree:
 
 
 def learn(spark: SparkSession, counted: DataFrame, total: int) -> Tree:
-    """counted: (window, n). Contexts of a share of P_MIN or more come to the driver, at most 1 / P_MIN of each depth."""
-    floor = max(1, int(np.ceil(total * P_MIN)))
+    """counted: (window, n). Contexts of a share of P_MIN or more come to the driver, at most 1 / P_MIN of each depth,
+    one row each with the symbols that follow; one depth is held at a time."""
+    floor = max(2, int(np.ceil(total * P_MIN)))
     mask = (1 << BITS) - 1
-    seen = sorted(r[0] for r in counted.groupBy((F.col("window").bitwiseAND(mask)).alias("x")).agg(F.sum("n").alias("n")).select("x").collect())
-    alphabet = np.full(SYMBOLS, 0, np.int64)  # code 0: symbols never seen in training
-    for code, x in enumerate(seen, 1):
-        alphabet[x] = code
-    width = len(seen) + 1
-    unseen = max(1, SYMBOLS + 1 - len(seen))
-    level: list[dict[int, np.ndarray]] = []
+
+    def level(depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Contexts, the row of each count, its symbol, the count."""
+        held = counted.select(F.col("window").bitwiseAND((1 << BITS * (depth + 1)) - 1).alias("w"), "n")
+        rows = held.groupBy("w").agg(F.sum("n").alias("n")).select(F.shiftright("w", BITS).alias("c"), F.col("w").bitwiseAND(mask).cast("int").alias("x"), "n")
+        # a context is followed by at most 257 symbols: its row is small whatever its count
+        rows = rows.groupBy("c").agg(F.sum("n").alias("t"), F.collect_list("x").alias("x"), F.collect_list("n").alias("n"))
+        found = rows.where(F.col("t") >= (floor if depth else 0)).select("c", "x", "n").toArrow().combine_chunks()
+        contexts = found.column("c").to_numpy()
+        xs, ns = found.column("x").combine_chunks(), found.column("n").combine_chunks()
+        if len(contexts) == 0:
+            return contexts, *(np.empty(0, np.int64),) * 3
+        row = np.repeat(np.arange(len(contexts)), np.diff(xs.offsets.to_numpy()))
+        return contexts, row, xs.flatten().to_numpy(), ns.flatten().to_numpy()
+
+    return grow(level)
+
+
+def grow(level) -> Tree:
+    """The tree of counts that level(depth) gives."""
+    mask = (1 << BITS) - 1
+    _, _, x, n = level(0)
+    alphabet = np.zeros(SYMBOLS, np.int64)  # code 0: symbols never seen in training
+    alphabet[np.unique(x)] = np.arange(1, len(np.unique(x)) + 1)
+    width = int(alphabet.max()) + 1
+    root = np.zeros(width, np.float32)
+    np.add.at(root, alphabet[x], n)
+    distinct = max(1.0, float((root > 0).sum()))
+    uniform = 1.0 / (SYMBOLS + 1)  # unseen symbols share code 0, each with this probability
+    smooth = ((root + ESCAPE * distinct * uniform) / (root.sum() + ESCAPE * distinct)).astype(np.float32)[None, :]
+    before = np.zeros(1, np.int64)
+    kept, logs = [np.zeros(1, np.int64)], [np.log10(smooth)]
+    for depth in range(1, DEPTH + 1):
+        contexts, row, x, n = level(depth)
+        order = np.argsort(contexts, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        contexts = contexts[order]
+        counts = np.zeros((len(contexts), width), np.float32)
+        np.add.at(counts, (place[row], alphabet[x]), n)
+        # a suffix is at least as frequent, so every context has its parent
+        parent = np.searchsorted(before, contexts & ((1 << BITS * (depth - 1)) - 1))
+        grown = np.empty_like(counts)
+        gain = np.zeros(len(contexts))
+        for at in range(0, len(contexts), 8192):
+            c, up = counts[at : at + 8192], smooth[parent[at : at + 8192]]
+            total, weight = c.sum(1, keepdims=True), ESCAPE * (c > 0).sum(1, keepdims=True)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain[at : at + 8192] = np.where(c > 0, c * np.log(c / total / up), 0).sum(1)
+            grown[at : at + 8192] = (c + weight * up) / (total + weight)
+        keep = gain > DIVERGENCE
+        kept.append(contexts[keep])
+        logs.append(np.log10(grown[keep]))
+        before, smooth = contexts, grown
+        del counts
+    nodes = [k for k in kept]
+    for depth in range(DEPTH, 1, -1):  # prefixes lead to a node, so they must be nodes
+        nodes[depth - 1] = np.union1d(nodes[depth - 1], nodes[depth] >> BITS)
+    follow, state, first = [], [], 0
     for depth in range(DEPTH + 1):
-        shift = BITS * (depth + 1)
-        held = counted.select(F.col("window").bitwiseAND((1 << shift) - 1).alias("w"), "n").groupBy("w").agg(F.sum("n").alias("n")) if depth < DEPTH else counted.select(F.col("window").alias("w"), "n")
-        rows = held.select(F.shiftright("w", BITS).alias("c"), F.col("w").bitwiseAND(mask).cast("short").alias("x"), "n")
-        if depth:
-            # a context is followed by at most 257 symbols: its total and its row are small whatever its count
-            rows = rows.groupBy("c").agg(F.sum("n").alias("t"), F.collect_list(F.struct("x", "n")).alias("next")).where(F.col("t") >= floor).select("c", "next")
-        else:
-            rows = rows.groupBy("c").agg(F.collect_list(F.struct("x", "n")).alias("next"))
-        own: dict[int, np.ndarray] = {}
-        for c, following in rows.toLocalIterator():
-            dense = np.zeros(width, np.float32)
-            for x, n in following:
-                dense[alphabet[x]] = n
-            own[c] = dense
-        level.append(own)
-    return _tree(level, alphabet, width, unseen)
-
-
-def _tree(level: list[dict[int, np.ndarray]], alphabet: np.ndarray, width: int, unseen: int) -> Tree:
-    smooth: list[dict[int, np.ndarray]] = [{}]
-    base = np.full(width, 1.0 / (width - 1 + unseen))  # unseen symbols share code 0, each with this probability
-    root = level[0].get(0, np.zeros(width))
-    distinct = float((root > 0).sum()) or 1.0
-    smooth[0][0] = (root + ESCAPE * distinct * base) / (root.sum() + ESCAPE * distinct)
-    kept: list[set[int]] = [{0}]
-    for depth in range(1, len(level)):
-        mask = (1 << (BITS * (depth - 1))) - 1
-        own, keep = {}, set()
-        for c, counts in level[depth].items():
-            parent = smooth[depth - 1][c & mask]  # a suffix is at least as frequent
-            total, distinct = counts.sum(), float((counts > 0).sum())
-            own[c] = ((counts + ESCAPE * distinct * parent) / (total + ESCAPE * distinct)).astype(np.float32)
-            some = counts > 0
-            if (counts[some] * np.log(counts[some] / total / parent[some])).sum() > DIVERGENCE:
-                keep.add(c)
-        smooth.append(own)
-        kept.append(keep)
-    nodes = [set(k) for k in kept]
-    for depth in range(len(level) - 1, 1, -1):  # prefixes lead to a node, so they must be nodes
-        nodes[depth - 1] |= {c >> BITS for c in nodes[depth]}
-    place = [{c: i for i, c in enumerate(sorted(n))} for n in nodes]
-    follow, state, logs = [], [], []
-    for depth in range(len(level)):
-        table_ = np.full(len(place[depth]) * width, -1, np.int32)
-        if depth + 1 < len(level):
-            for c, i in place[depth + 1].items():
-                table_[place[depth][c >> BITS] * width + alphabet[c & ((1 << BITS) - 1)]] = i
-        follow.append(table_)
-        own = np.full(len(place[depth]), -1, np.int32)
-        for c, i in place[depth].items():
-            if c in kept[depth]:
-                own[i] = len(logs)
-                logs.append(np.log10(smooth[depth][c]).astype(np.float32))
+        step = np.full(len(nodes[depth]) * width, -1, np.int32)
+        if depth < DEPTH and len(nodes[depth + 1]):
+            above = nodes[depth + 1]
+            step[np.searchsorted(nodes[depth], above >> BITS) * width + alphabet[above & mask]] = np.arange(len(above))
+        follow.append(step)
+        own = np.full(len(nodes[depth]), -1, np.int32)
+        own[np.searchsorted(nodes[depth], kept[depth])] = first + np.arange(len(kept[depth]))
+        first += len(kept[depth])
         state.append(own)
-    return Tree(alphabet, follow, state, np.concatenate(logs))
+    return Tree(alphabet, follow, state, np.concatenate([x.ravel() for x in logs]).astype(np.float32))
 
 
 def with_fold(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
