@@ -129,7 +129,8 @@ def attribution(frames: list[DataFrame]) -> DataFrame:
     rows = frames[0].select("assertion_id", "product", "policy_id")
     for f in frames[1:]:
         rows = rows.unionByName(f.select("assertion_id", "product", "policy_id"))
-    return rows.dropDuplicates(["assertion_id"]).groupBy("product", "policy_id").agg(F.count("*").alias("n_assertions"))
+    once = rows.groupBy("assertion_id").agg(F.min(F.struct("product", "policy_id")).alias("_u"))
+    return once.groupBy(F.col("_u.product").alias("product"), F.col("_u.policy_id").alias("policy_id")).agg(F.count("*").alias("n_assertions"))
 
 
 def attribution_mismatch(said: DataFrame, counted: DataFrame) -> DataFrame:

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from gneiss.plans import catalog_queries
+
+QUERIES = dict(catalog_queries.QUERIES)
+ORACLES = dict(catalog_queries.ORACLES)
