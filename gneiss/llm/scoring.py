@@ -26,8 +26,7 @@ ids are held in; without training texts N = V = 0 and the tree is uniform; an em
 
 from __future__ import annotations
 
-import struct
-import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +36,7 @@ from pyspark.sql import functions as F
 
 from gneiss.session import materialize, table
 
-DEPTH = 6
+DEPTH = 5
 P_MIN = 4e-6
 DIVERGENCE = 8.0
 ESCAPE = 6.0
@@ -233,64 +232,66 @@ def with_fold(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, trained, rows): for each distinct token of a group of texts, its count in training texts and (row, n) of each text."""
+    """(token, first, trained, rows): for each distinct token of a group of texts, its count in training texts and, as 16-bit pairs,
+    the place in the group and the count for each text that has it (a count above 65,535 takes several pairs)."""
     for batch in batches:
         for at in range(0, batch.num_rows, TASK_ROWS):
             part = batch.slice(at, TASK_ROWS)
-            found: dict[bytes, dict[int, int]] = {}
-            rows, held = part.column(0).to_pylist(), part.column(1).to_pylist()
-            first = rows[0]
-            for row, text in zip(rows, part.column(2).to_pylist()):
-                for w in words(text or ""):
-                    own = found.get(w)
-                    if own is None:
-                        found[w] = {row - first: 1}
-                    else:
-                        own[row - first] = own.get(row - first, 0) + 1
-            out = set(r - first for r, h in zip(rows, held) if h)
-            tokens = list(found)
-            trained = [sum(n for r, n in found[t].items() if r not in out) for t in tokens]
-            packed = []
-            for t in tokens:
-                own = found[t]
-                packed.append(np.array([x for pair in own.items() for x in pair], np.uint32 if max(own.values()) > 0xFFFF else np.uint16).tobytes() if max(own.values()) <= 0xFFFF else struct.pack(f"<{2 * len(own)}I", *[x for pair in own.items() for x in pair]))
-            wide = [max(found[t].values()) > 0xFFFF for t in tokens]
-            yield pa.RecordBatch.from_pydict({"token": pa.array(tokens, pa.binary()), "first": pa.array([first] * len(tokens), pa.int64()), "trained": pa.array(trained, pa.int64()), "wide": wide, "rows": pa.array(packed, pa.binary())})
+            number: defaultdict = defaultdict()
+            number.default_factory = number.__len__
+            ids, sizes = [], []
+            for text in part.column(2).to_pylist():
+                own = list(map(number.__getitem__, words(text or "")))
+                ids.append(np.array(own, np.int64))
+                sizes.append(len(own))
+            key = np.concatenate(ids) * TASK_ROWS + np.repeat(np.arange(len(sizes)), sizes)
+            key, count = np.unique(key, return_counts=True)
+            learns = ~np.array(part.column(1).to_pylist(), bool)
+            trained = np.bincount(key // TASK_ROWS, weights=count * learns[key % TASK_ROWS], minlength=len(number))
+            parts = -(-count // 0xFFFF)
+            last = np.cumsum(parts) - 1
+            pairs = np.empty((int(parts.sum()), 2), np.uint16)
+            pairs[:, 0] = np.repeat(key % TASK_ROWS, parts)
+            pairs[:, 1] = 0xFFFF
+            pairs[last, 1] = count - (parts - 1) * 0xFFFF
+            held = np.bincount(key // TASK_ROWS, weights=parts, minlength=len(number)).astype(np.int64)
+            offsets = np.append(0, np.cumsum(held * 4)).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), len(number), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs.tobytes())])
+            first = np.full(len(number), part.column(0)[0].as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(list(number), pa.binary()), pa.array(first), pa.array(trained.astype(np.int64)), packed], names=["token", "first", "trained", "rows"])
 
 
 def _partial(total: int, distinct: int):
-    """(first, rows): sums of each group of texts over the tokens that a task has seen."""
+    """(row, logs, known, tokens): sums of each text over the tokens of a batch."""
+    scale = np.log10(total + 0.5 * (distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
 
         def out():
-            firsts = [np.full(len(v[0]), k) for k, v in sums.items()]
-            offsets = [np.arange(v.shape[1]) for v in sums.values()]
-            some = [v[2] > 0 for v in sums.values()]
-            rows = np.concatenate([(f + o)[s] for f, o, s in zip(firsts, offsets, some)])
-            return pa.RecordBatch.from_pydict(
-                {
-                    "row": pa.array(rows.astype(np.int64)),
-                    "logs": pa.array(np.concatenate([v[0][s] for v, s in zip(sums.values(), some)])),
-                    "known": pa.array(np.concatenate([v[1][s] for v, s in zip(sums.values(), some)]).astype(np.int64)),
-                    "tokens": pa.array(np.concatenate([v[2][s] for v, s in zip(sums.values(), some)]).astype(np.int64)),
-                }
-            )
+            rows = np.concatenate([k + np.flatnonzero(v[2]) for k, v in sums.items()])
+            held = np.concatenate([v[:, v[2] > 0] for v in sums.values()], axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int64)), pa.array(held[0]), pa.array(held[1].astype(np.int64)), pa.array(held[2].astype(np.int64))], names=["row", "logs", "known", "tokens"])
 
-        scale = np.log10(total + 0.5 * (distinct + 1))
         for batch in batches:
-            logs = np.log10(np.array(batch.column(1)).astype(float) + 0.5) - scale
-            for first, c, log, wide, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), logs, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                own = np.frombuffer(packed, np.uint32 if wide else np.uint16)
-                at, n = own[::2], own[1::2]
-                held = sums.get(first)
-                if held is None:
-                    held = sums[first] = np.zeros((3, TASK_ROWS))
-                held[0][at] += n * log
-                held[2][at] += n
-                if c:
-                    held[1][at] += n
+            if not batch.num_rows:
+                continue
+            c = batch.column(1).to_numpy()
+            packed = batch.column(2)
+            offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+            pairs = np.frombuffer(packed.buffers()[2], np.uint16, (offsets[-1] - offsets[0]) // 2, offsets[0]).reshape(-1, 2)
+            each = np.diff(offsets) // 4
+            groups, group = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            place = np.repeat(group * TASK_ROWS, each) + pairs[:, 0]
+            n = pairs[:, 1].astype(float)
+            size = len(groups) * TASK_ROWS
+            logs = np.bincount(place, np.repeat(np.log10(c + 0.5) - scale, each) * n, size)
+            known = np.bincount(place, np.repeat(c > 0, each) * n, size)
+            tokens = np.bincount(place, n, size)
+            for k, first in enumerate(groups.tolist()):
+                own = slice(k * TASK_ROWS, (k + 1) * TASK_ROWS)
+                held = np.stack([logs[own], known[own], tokens[own]])
+                sums[first] = sums[first] + held if first in sums else held
             if len(sums) > 512:
                 yield out()
                 sums = {}
@@ -319,13 +320,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
 
     # rows are told apart by their place in the input, which is the same whenever a task is run again
     placed = base.select(F.monotonically_increasing_id().alias("row"), "held_out", F.col(id_col).alias("_id"), text)
-    tokens = placed.select("row", "held_out", text).mapInArrow(_postings, "token binary, first long, trained long, wide boolean, rows binary")
+    tokens = placed.select("row", "held_out", text).mapInArrow(_postings, "token binary, first long, trained long, rows binary")
     tokens = materialize(tokens, "postings")
     counts = materialize(tokens.groupBy("token").agg(F.sum("trained").alias("c")), "counts")
     ends = base.where(~F.col("held_out")).count()
     n, v = counts.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, v = n + ends, v + (ends > 0)
-    met = tokens.select("token", "first", "wide", "rows").join(counts, "token").select("first", "c", "wide", "rows")
+    met = tokens.select("token", "first", "rows").join(counts, "token").select("first", "c", "rows")
     partial = met.mapInArrow(_partial(n, v), "row long, logs double, known long, tokens long")
     sums = partial.groupBy("row").agg(F.sum("logs").alias("logs"), F.sum("known").alias("known"))
     end_log = float(np.log10(ends + 0.5) - np.log10(n + 0.5 * (v + 1)))
