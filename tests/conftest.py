@@ -7,7 +7,9 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
-DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+sys.path.insert(0, str(ROOT / "tests"))
+
+from support import DATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -37,21 +39,3 @@ def oracle():
     for file in Path(DATA).glob("*.parquet"):
         c.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     return c
-
-
-def plain(value):
-    if isinstance(value, float):
-        return f"{value:.9g}"
-    if isinstance(value, (list, tuple)):
-        return str([plain(x) for x in value])
-    return str(value)
-
-
-def same_rows(columns, rows, other_columns, other_rows):
-    assert sorted(columns) == sorted(other_columns)
-
-    def ordered(names, values):
-        at = sorted(range(len(names)), key=lambda i: names[i])
-        return sorted(tuple(plain(r[i]) for i in at) for r in values)
-
-    assert ordered(columns, rows) == ordered(other_columns, other_rows)

@@ -1,7 +1,7 @@
 """Every catalog query against its SQL."""
 
 import pytest
-from conftest import DATA, same_rows
+from support import DATA, same_rows
 
 from gneiss.plans.registry import ORACLES, QUERIES
 
