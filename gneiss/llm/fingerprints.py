@@ -86,7 +86,7 @@ def next_level(names: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndar
     left = np.zeros(m, np.uint64)
     right = np.zeros(m, np.uint64)
     left[1:] = labels[:-1]
-    right[:-1] = labels[1:]
+    right[:-1] = np.where(first[1:], 0, labels[1:])  # a text's last name has no right neighbour
     top = (labels > left) & (labels >= right)
     top[first] = True
     # no phrase of one name: a start right after another start is dropped unless it begins a text
