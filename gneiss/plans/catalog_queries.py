@@ -562,3 +562,38 @@ def two_level_counts(spark, d):
     o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("p")).agg(F.count("*").alias("n"))
     sets = o.groupBy("k").agg(F.sort_array(F.collect_set(F.struct("p", "n"))).alias("s"))
     return sets.select("k", F.array_join(F.transform("s", lambda x: F.concat(x["p"], F.lit("="), x["n"].cast("string"))), ",").alias("counts"))
+
+
+# --- curation -----------------------------------------------------------------------------------------------------
+
+
+@query("""WITH d AS (SELECT n_nationkey AS node_id, CASE n_nationkey % 4 WHEN 0 THEN 'ACCEPT' WHEN 1 THEN 'REJECT' END AS action FROM nation WHERE n_nationkey % 4 < 2)
+SELECT n_nationkey AS node_id, CASE WHEN action = 'ACCEPT' THEN 99 ELSE n_regionkey END AS entity_key FROM nation LEFT JOIN d ON d.node_id = n_nationkey WHERE coalesce(action, '') <> 'REJECT'""")
+def curated_memberships(spark, d):
+    from gneiss.operators import curation
+
+    n = table(spark, d, "nation")
+    members = n.select(F.col("n_nationkey").alias("node_id"), F.col("n_regionkey").alias("entity_key"))
+    entities = table(spark, d, "region").select(F.col("r_regionkey").alias("entity_key"), F.col("r_regionkey").alias("created_at"), F.lit("l").alias("level"), F.lit("k").alias("kind"))
+    action = F.when(F.col("n_nationkey") % 4 == 0, "ACCEPT").otherwise("REJECT")
+    decisions = n.where("n_nationkey % 4 < 2").select(F.col("n_nationkey").alias("decision_id"), action.alias("action"), F.col("n_nationkey").alias("node_id"), F.lit(None).cast("int").alias("entity_key"), F.when(F.col("n_nationkey") % 4 == 0, 99).alias("target_key"))
+    return curation.apply_decisions(members, entities, decisions)[0]
+
+
+@query("""WITH c AS (SELECT c_custkey AS entity_key FROM customer WHERE c_acctbal < -900), r AS (SELECT DISTINCT l_suppkey AS a, o_custkey AS b FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_quantity > 49)
+SELECT entity_key FROM c UNION SELECT a FROM r WHERE b IN (SELECT entity_key FROM c) UNION SELECT b FROM r WHERE a IN (SELECT entity_key FROM c)""")
+def affected_entities(spark, d):
+    from gneiss.operators import curation
+
+    changed = table(spark, d, "customer").where("c_acctbal < -900").select(F.col("c_custkey").alias("entity_key"))
+    li = table(spark, d, "lineitem").where("l_quantity > 49").join(table(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return curation.affected_keys(changed, li.select(F.col("l_suppkey").alias("a"), F.col("o_custkey").alias("b")).distinct())
+
+
+@query("""SELECT p_partkey, p_brand LIKE '%1' AND p_size % 2 = 0 AND p_size <= 20 AS exact FROM part""")
+def music_exactness(spark, d):
+    from gneiss.operators import curation
+
+    p = table(spark, d, "part")
+    rows = p.select("p_partkey", F.when(F.col("p_brand").endswith("1"), "recording").otherwise("work").alias("kind"), F.when(F.col("p_size") % 2 == 0, F.col("p_size")).alias("recording_id"), F.lit(0).alias("n_conflicts"), F.when(F.col("p_size") <= 20, 1).otherwise(2).alias("n_variants"))
+    return curation.music_exactness(rows).select("p_partkey", "exact")

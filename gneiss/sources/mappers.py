@@ -236,3 +236,104 @@ def _snake(name: str) -> str:
 
 for _product in ("news", "learning", "sports", "animation"):
     MAPPERS[_product] = _reference
+
+
+#: Crew jobs by predicate; others are CREDITED.
+JOBS = {"Director": "DIRECTED_BY", "Writer": "WRITTEN_BY", "Screenplay": "WRITTEN_BY", "Producer": "PRODUCED_BY", "Original Music Composer": "COMPOSED_BY", "Director of Photography": "PHOTOGRAPHED_BY", "Editor": "EDITED_BY", "Production Design": "DESIGNED_BY"}
+
+
+@mapper("tmdb")
+def _tmdb(df):
+    """Inventory rows and details of films, series and people."""
+    p = lambda path: F.get_json_object("payload", path)
+    array = lambda path, kind: F.from_json(p(path), f"array<{kind}>")
+    either = lambda *paths: F.coalesce(*[S.blank_to_null(p(x)) for x in paths])
+    jobs = F.create_map(*[F.lit(x) for kv in JOBS.items() for x in kv])
+    image = F.array_distinct(F.array_compact(F.array(*[F.when(p(f"$.{k}_path").isNotNull(), F.struct(F.lit(k).alias("kind"), p(f"$.{k}_path").alias("path"))) for k in ("poster", "backdrop", "profile")])))
+    return assertions(
+        df.withColumn("_id", p("$.id")),
+        "_id",
+        [
+            field("title", either("$.title", "$.name"), titleRole=F.lit("PRIMARY")),
+            field("title", either("$.original_title", "$.original_name"), titleRole=F.lit("ORIGINAL"), language=p("$.original_language")),
+            field("description", p("$.overview")),
+            field("biography", p("$.biography")),
+            field("tagline", p("$.tagline")),
+            field("status", p("$.status")),
+            field("release_date", S.partial_date(either("$.release_date", "$.first_air_date")), "DATE"),
+            field("ended", S.partial_date(p("$.last_air_date")), "DATE"),
+            field("birth_date", S.partial_date(p("$.birthday")), "DATE"),
+            field("runtime_minutes", S.ordinal(p("$.runtime")), "INTEGER"),
+            field("season_count", S.ordinal(p("$.number_of_seasons")), "INTEGER"),
+            field("episode_count", S.ordinal(p("$.number_of_episodes")), "INTEGER"),
+            field("rating_average", S.quantity(p("$.vote_average")), "DECIMAL"),
+            field("rating_count", S.quantity(p("$.vote_count")), "INTEGER"),
+            field("popularity", S.quantity(p("$.popularity")), "DECIMAL"),
+            identifier("tmdb", p("$.id")),
+            identifier("imdb", S.imdb_id(either("$.external_ids.imdb_id", "$.imdb_id"))),
+            identifier("wikidata", S.qid(p("$.external_ids.wikidata_id"))),
+            identifier("thetvdb", S.ordinal(p("$.external_ids.tvdb_id"))),
+        ],
+        [
+            F.transform(array("$.alternative_titles.titles", "struct<title:string,iso_3166_1:string>"), lambda t: field("title", t["title"], titleRole=F.lit("ALIAS"), region=t["iso_3166_1"])),
+            F.transform(array("$.translations.translations", "struct<iso_639_1:string,iso_3166_1:string,data:struct<title:string,name:string>>"), lambda t: field("title", F.coalesce(t["data"]["title"], t["data"]["name"]), titleRole=F.lit("TRANSLATION"), language=t["iso_639_1"], region=t["iso_3166_1"])),
+            F.transform(array("$.genres", "struct<name:string>"), lambda g: field("genre", g["name"])),
+            F.transform(array("$.production_countries", "struct<iso_3166_1:string>"), lambda c: field("country", c["iso_3166_1"])),
+            F.transform(array("$.spoken_languages", "struct<iso_639_1:string>"), lambda c: field("language", c["iso_639_1"])),
+            F.transform(image, lambda i: field("image_path", i["path"], imageType=i["kind"])),
+            F.transform(array("$.credits.cast", "struct<id:string,character:string,order:string>"), lambda c: relation("PERFORMED_BY", c["id"], character=c["character"], order=c["order"])),
+            F.transform(array("$.credits.crew", "struct<id:string,job:string,department:string>"), lambda c: relation(F.coalesce(jobs[c["job"]], F.lit("CREDITED")), c["id"], job=c["job"], department=c["department"])),
+            F.transform(array("$.combined_credits.cast", "struct<id:string,character:string>"), lambda c: relation("PERFORMED_IN", c["id"], character=c["character"])),
+            F.transform(array("$.combined_credits.crew", "struct<id:string,job:string>"), lambda c: relation("WORKED_ON", c["id"], job=c["job"])),
+        ],
+    )
+
+
+@mapper("eidr")
+def _eidr(df):
+    """Base objects as JSON payloads; only imdb and eidr alternate ids are taken."""
+    p = lambda path: F.get_json_object("payload", path)
+    array = lambda path, kind: F.from_json(p(path), f"array<{kind}>")
+    length = S.duration(p("$.approximateLength"))
+    alternate = lambda a: F.when(F.lower(a["domain"]).contains("imdb"), identifier("imdb", S.imdb_id(a["value"]))).when(F.lower(a["domain"]).contains("eidr"), identifier("eidr", S.eidr_id(a["value"])))
+    return assertions(
+        df.withColumn("_id", S.eidr_id(p("$.id"))),
+        "_id",
+        [
+            entity_type(p("$.referentType")),
+            identifier("eidr", S.eidr_id(p("$.id"))),
+            field("title", p("$.resourceName.value"), titleRole=F.lit("PRIMARY"), language=p("$.resourceName.lang")),
+            field("referent_type", p("$.referentType")),
+            field("structural_type", p("$.structuralType")),
+            field("release_date", S.partial_date(p("$.releaseDate")), "DATE"),
+            field("duration", length, "DURATION"),
+            field("duration_text", F.when(length.isNull(), p("$.approximateLength"))),
+        ],
+        [
+            F.transform(array("$.alternateResourceNames", "struct<value:string,lang:string>"), lambda n: field("title", n["value"], titleRole=F.lit("ALIAS"), language=n["lang"])),
+            F.transform(array("$.originalLanguages", "string"), lambda v: field("language", v)),
+            F.transform(array("$.countriesOfOrigin", "string"), lambda v: field("country", v)),
+            F.array_compact(F.transform(array("$.alternateIds", "struct<domain:string,value:string>"), alternate)),
+            F.transform(array("$.parents", "struct<kind:string,id:string,ordinal:string>"), lambda r: relation(F.concat(F.lit("PART_OF_"), F.upper(r["kind"])), S.eidr_id(r["id"]), ordinal=r["ordinal"])),
+        ],
+    )
+
+
+@mapper("europeana")
+def _europeana(df):
+    """Aggregated records: titles, agents, typed links, metadata licence and object rights."""
+    p = lambda path: F.get_json_object("payload", path)
+    listed = lambda path: F.from_json(p(path), "array<string>")
+    plain = {"subject": "subjects", "spatial": "places", "temporal": "periods", "type": "types", "format": "formats", "medium": "media", "provider": "providers"}
+    return assertions(
+        df.withColumn("_id", p("$.id")),
+        "_id",
+        [entity_type(p("$.type")), field("metadata_licence", p("$.metadataRights"), scope=F.lit("METADATA_ONLY")), field("object_rights", S.external_url(p("$.rights"))), field("landing_page", S.external_url(p("$.landingPage")))],
+        [
+            F.transform(F.map_entries(F.from_json(p("$.titles"), "map<string,string>")), lambda e: field("title", e["value"], language=e["key"], titleRole=F.lit("PRIMARY"))),
+            F.transform(F.from_json(p("$.agents"), "array<struct<id:string,label:string,role:string>>"), lambda a: relation("CREDITED", F.coalesce(a["id"], a["label"]), role=a["role"], label=a["label"])),
+            *[F.transform(listed(f"$.{path}"), (lambda name: lambda v: field(name, v))(name)) for name, path in plain.items()],
+            F.transform(F.from_json(p("$.webResources"), "array<struct<url:string,rights:string>>"), lambda w: field("resource_rights", S.external_url(w["rights"]), resource=w["url"])),
+            F.transform(listed("$.sameAs"), lambda u: identifier("imdb", F.when(u.rlike("^https?://www[.]imdb[.]com/"), S.imdb_id(F.regexp_extract(u, "(tt|nm)[0-9]+", 0))))),
+        ],
+    )

@@ -138,3 +138,16 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(records.SourceError):
         records.padded(df, schema, {"new"})
     assert records.empty(spark, schema).count() == 0
+
+
+def test_details_objects_and_records(spark):
+    film = {"id": 5, "title": "T", "original_title": "O", "original_language": "fr", "release_date": "2001-02-03", "runtime": 90, "vote_average": 7.5, "poster_path": "/p.jpg", "external_ids": {"imdb_id": "tt1234567"}, "genres": [{"name": "Drama"}], "credits": {"cast": [{"id": 1, "character": "C", "order": 0}], "crew": [{"id": 2, "job": "Director", "department": "D"}, {"id": 3, "job": "Grip", "department": "D"}]}}
+    got = {(r["predicate"], r["value"]) for r in mappers.apply("tmdb", spark.createDataFrame([(json.dumps(film),)], "payload string")).collect()}
+    assert {("title", "T"), ("title", "O"), ("imdb", "tt1234567"), ("genre", "Drama"), ("performed_by", "1"), ("directed_by", "2"), ("credited", "3"), ("image_path", "/p.jpg"), ("rating_average", "7.5")} <= got
+    eidr = "10.5240/AAAA-BBBB-CCCC-DDDD-EEEE-F"
+    base = {"id": "doi:" + eidr.lower(), "referentType": "Movie", "resourceName": {"value": "N", "lang": "en"}, "approximateLength": "about 2h", "alternateIds": [{"domain": "imdb.com", "value": "tt7654321"}, {"domain": "other", "value": "x"}], "parents": [{"kind": "Series", "id": eidr, "ordinal": "3"}]}
+    got = {(r["subject"], r["predicate"], r["value"]) for r in mappers.apply("eidr", spark.createDataFrame([(json.dumps(base),)], "payload string")).collect()}
+    assert {(eidr, "duration_text", "about 2h"), (eidr, "imdb", "tt7654321"), (eidr, "part_of_series", eidr)} <= got and not any(v == "x" for _, _, v in got)
+    record = {"id": "/1/a", "type": "VIDEO", "titles": {"en": "A"}, "rights": "http://rights.example/x", "sameAs": ["https://www.imdb.com/title/tt0000009/", "https://elsewhere.example/tt0000008"], "webResources": [{"url": "u", "rights": "http://r.example/1"}]}
+    got = {(r["predicate"], r["value"]) for r in mappers.apply("europeana", spark.createDataFrame([(json.dumps(record),)], "payload string")).collect()}
+    assert {("title", "A"), ("object_rights", "http://rights.example/x"), ("imdb", "tt0000009"), ("resource_rights", "http://r.example/1")} <= got and ("imdb", "tt0000008") not in got
