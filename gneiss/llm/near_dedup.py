@@ -19,7 +19,8 @@ deviations) loses 3e-6.
 No group's pairs are all written. Round 1: of each node's similar pairs a maximum spanning forest is
 proposed (fewer edges than classes) and confirmed. Round 2: only nodes in which an edge was refused between
 components that are still apart, and dealt nodes whose parts are not one component, are compared again, and
-all their similar pairs between different components are confirmed. In dealt nodes, all classes outside the
+all their similar pairs between different components are confirmed (similar by a finer sketch too, so that texts just
+below the threshold, of which a large group has many, are few). In dealt nodes, all classes outside the
 node's largest component meet all of its parts, so no link between components is lost there.
 
 Confirmation reads whole texts again: each proposed pair's larger id is sent to its smaller one, sorted
@@ -49,6 +50,8 @@ TREES = 12
 NODE = 64
 LEVELS = 6
 MARGIN = 4.5
+BINS = 512
+EMPTY = 255
 SALT_DEGREE = 256
 #: Odd multipliers of a 64-bit finaliser.
 MIX_1, MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -96,6 +99,28 @@ def signature(items: np.ndarray) -> np.ndarray:
     return (_mix(out) >> np.uint64(32)).astype(np.uint32)
 
 
+def binned(items: np.ndarray) -> np.ndarray:
+    """One-permutation sketch: 8 bits of the smallest hash in each of BINS bins."""
+    out = np.full(BINS, ~np.uint64(0))
+    if len(items):
+        h = _mix(items + np.uint64(STEP))
+        np.minimum.at(out, (h & np.uint64(BINS - 1)).astype(np.int64), h >> np.uint64(9))
+    return np.where(out == ~np.uint64(0), EMPTY, (_mix(out) >> np.uint64(33)) % np.uint64(EMPTY)).astype(np.uint8)
+
+
+def may_reach(one: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether sets may be alike by their binned sketches: a pair at the threshold is lost below 4.5 deviations.
+
+    The filled bins are a sample, without replacement, of the union (whose size at the threshold is known), so the
+    deviation shrinks as bins outnumber items."""
+    s = PERCENT / 100
+    filled = ((others != EMPTY) | (one != EMPTY)).sum(1)
+    equal = ((others == one) & (one != EMPTY)).sum(1)
+    union = (n + sizes) / (1 + s)
+    spread = np.sqrt(s * (1 - s) / np.maximum(filled, 1) * np.clip((union - filled) / np.maximum(union - 1, 1), 0, 1))
+    return equal >= (s - MARGIN * spread) * filled - 1
+
+
 def _class(items: np.ndarray) -> int | None:
     """The name of a set, the same for equal sets; null for the empty set."""
     return xxhash.xxh3_64_intdigest(items.tobytes()) - (1 << 63) if len(items) else None
@@ -111,13 +136,16 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keys, signs = [], [], []
+            n, keys, signs, wides = [], [], [], []
             for text in batch.column(1).to_pylist():
                 items = shingles(text, size)
                 n.append(len(items))
                 keys.append(_class(items))
                 signs.append(signature(items).tobytes() if len(items) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(signs, pa.binary())], names=["doc_id", "n_shingles", "class", "sign"])
+                wides.append(binned(items).tobytes() if len(items) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(signs, pa.binary()), pa.array(wides, pa.binary())], names=["doc_id", "n_shingles", "class", "sign", "wide"]
+            )
 
     return run
 
@@ -261,20 +289,22 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, doc_id, component, sign, main) sorted by part -> (a, b): similar pairs of different components.
+    """(part, doc_id, component, sign, wide, n) sorted by part -> (a, b): similar pairs of different components.
 
     Two classes outside a dealt node's main component meet in all parts; duplicates go later."""
     least = _floor() * COORDINATES
-    for _, ids, components, signs in _groups(batches, 4):
+    for _, ids, components, signs, wides, counts in _groups(batches, 6):
         if len(ids) < 2:
             continue
-        names, kinds = np.array(ids), np.array(components)
+        names, kinds, sizes = np.array(ids), np.array(components), np.array(counts)
+        wide = np.frombuffer(b"".join(wides), np.uint8).reshape(len(ids), BINS)
         rows = np.frombuffer(b"".join(signs), np.uint8).reshape(len(ids), COORDINATES)
         a, b = [], []
         for i in range(len(ids) - 1):
             other = np.flatnonzero(kinds[i + 1 :] != kinds[i]) + i + 1
             if len(other):
                 near = other[(rows[other] == rows[i]).sum(1) >= least]
+                near = near[may_reach(wide[i], sizes[i], wide[near], sizes[near])]
                 a += np.minimum(names[near], names[i]).tolist()
                 b += np.maximum(names[near], names[i]).tolist()
         if a:
@@ -336,7 +366,7 @@ def _placing(size: int):
 def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 2) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = materialize(source.mapInArrow(_sets(size), "doc_id long, n_shingles long, class long, sign binary"), "sets")
+    sets = materialize(source.mapInArrow(_sets(size), "doc_id long, n_shingles long, class long, sign binary, wide binary"), "sets")
     # a class's text is read from its smallest document
     known = sets.where("class is not null and doc_id is not null")
     classes = materialize(known.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("sign").alias("sign")), "classes")
@@ -361,7 +391,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int
     refused = _labelled(_labelled(refused, named, "a", "ca"), named, "b", "cb").where("ca <> cb").select("node")
     open_nodes = materialize(refused.unionByName(leaf.where("dealt > 1").select("node")).distinct(), "open")
     if not open_nodes.isEmpty():
-        more = materialize(_second(leaf.join(open_nodes, "node", "left_semi"), signs, named), "second").join(links.select("a", "b"), ["a", "b"], "left_anti")
+        held = leaf.join(open_nodes, "node", "left_semi")
+        wides = sets.select("class", "wide", "n_shingles").join(held.select(F.col("doc_id").alias("class")).distinct(), "class", "left_semi")
+        wides = wides.groupBy("class").agg(F.first("wide").alias("wide"), F.first("n_shingles").alias("n"))
+        known_more = signs.join(wides.withColumnRenamed("class", "doc_id"), "doc_id")
+        more = materialize(_second(held, known_more, named), "second").join(links.select("a", "b"), ["a", "b"], "left_anti")
         if not more.isEmpty():
             late = materialize(confirm(more, texts, size), "late").where("ok").select("a", "b")
             comps = materialize(connected_components(good.unionByName(late)), "components")
@@ -388,7 +422,7 @@ def _second(leaf: DataFrame, signs: DataFrame, named: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("doc_id", "node"), F.col("dealt")).cast("int")
     every = F.sequence(F.lit(0), F.col("dealt") - 1)
     dealt = mixed.withColumn("_p", F.explode(F.when(F.col("component") == F.col("main"), F.array(own)).otherwise(every)))
-    placed = dealt.select(F.xxhash64("node", "_p").alias("part"), "doc_id", "component", "sign")
+    placed = dealt.select(F.xxhash64("node", "_p").alias("part"), "doc_id", "component", "sign", "wide", "n")
     return placed.repartition("part").sortWithinPartitions("part").mapInArrow(_apart, "a long, b long").distinct()
 
 
