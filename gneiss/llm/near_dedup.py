@@ -99,13 +99,17 @@ def signature(items: np.ndarray) -> np.ndarray:
     return (_mix(out) >> np.uint64(32)).astype(np.uint32)
 
 
-def binned(items: np.ndarray) -> np.ndarray:
-    """One-permutation sketch: 8 bits of the smallest hash in each of BINS bins."""
-    out = np.full(BINS, ~np.uint64(0))
-    if len(items):
-        h = _mix(items + np.uint64(STEP))
-        np.minimum.at(out, (h & np.uint64(BINS - 1)).astype(np.int64), h >> np.uint64(9))
-    return np.where(out == ~np.uint64(0), EMPTY, (_mix(out) >> np.uint64(33)) % np.uint64(EMPTY)).astype(np.uint8)
+def condensed(items: np.ndarray) -> bytes:
+    """A set for the second round: all its hashes, cut to 32 bits, if they are few; else a one-permutation sketch of BINS
+    bins, 8 bits of the smallest hash in each."""
+    short = np.unique((_mix(items + np.uint64(STEP)) >> np.uint64(32)).astype(np.uint32))
+    return short.tobytes() if len(items) <= BINS else binned(short).tobytes()
+
+
+def binned(short: np.ndarray) -> np.ndarray:
+    out = np.full(BINS, 0xFFFFFFFF, np.uint32)
+    np.minimum.at(out, short % BINS, short // BINS)
+    return np.where(out == 0xFFFFFFFF, EMPTY, _mix(out.astype(np.uint64)) % np.uint64(EMPTY)).astype(np.uint8)
 
 
 def may_reach(one: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -142,7 +146,7 @@ def _sets(size: int):
                 n.append(len(items))
                 keys.append(_class(items))
                 signs.append(signature(items).tobytes() if len(items) else None)
-                wides.append(binned(items).tobytes() if len(items) else None)
+                wides.append(condensed(items) if len(items) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(signs, pa.binary()), pa.array(wides, pa.binary())], names=["doc_id", "n_shingles", "class", "sign", "wide"]
             )
@@ -297,14 +301,20 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(ids) < 2:
             continue
         names, kinds, sizes = np.array(ids), np.array(components), np.array(counts)
-        wide = np.frombuffer(b"".join(wides), np.uint8).reshape(len(ids), BINS)
+        few = sizes <= BINS
+        whole = [frozenset(np.frombuffer(w, np.uint32).tolist()) if f else None for w, f in zip(wides, few)]
+        wide = None if few.all() else np.array([binned(np.frombuffer(w, np.uint32)) if f else np.frombuffer(w, np.uint8) for w, f in zip(wides, few)])
         rows = np.frombuffer(b"".join(signs), np.uint8).reshape(len(ids), COORDINATES)
         a, b = [], []
         for i in range(len(ids) - 1):
             other = np.flatnonzero(kinds[i + 1 :] != kinds[i]) + i + 1
             if len(other):
                 near = other[(rows[other] == rows[i]).sum(1) >= least]
-                near = near[may_reach(wide[i], sizes[i], wide[near], sizes[near])]
+                if few[i] and few[near].all():
+                    own, n = whole[i], sizes[i]
+                    near = np.array([k for k in near.tolist() if 100 * (1 + len(own & whole[k])) >= PERCENT * (n + sizes[k] - 1 - len(own & whole[k]))], np.int64)
+                else:
+                    near = near[may_reach(wide[i], sizes[i], wide[near], sizes[near])]
                 a += np.minimum(names[near], names[i]).tolist()
                 b += np.maximum(names[near], names[i]).tolist()
         if a:
