@@ -262,16 +262,17 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _partial(total: int, distinct: int):
-    """(row, logs, known, tokens): sums of each text over the tokens of a batch."""
+    """(first, logs, known): for each group of texts, the sums over the tokens that a task has seen, one array a group."""
     scale = np.log10(total + 0.5 * (distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
 
         def out():
-            rows = np.concatenate([k + np.flatnonzero(v[2]) for k, v in sums.items()])
-            held = np.concatenate([v[:, v[2] > 0] for v in sums.values()], axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int64)), pa.array(held[0]), pa.array(held[1].astype(np.int64)), pa.array(held[2].astype(np.int64))], names=["row", "logs", "known", "tokens"])
+            held = list(sums.values())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int64()), pa.array([h[0].tobytes() for h in held], pa.binary()), pa.array([h[1].astype(np.int32).tobytes() for h in held], pa.binary())], names=["first", "logs", "known"]
+            )
 
         for batch in batches:
             if not batch.num_rows:
@@ -287,10 +288,9 @@ def _partial(total: int, distinct: int):
             size = len(groups) * TASK_ROWS
             logs = np.bincount(place, np.repeat(np.log10(c + 0.5) - scale, each) * n, size)
             known = np.bincount(place, np.repeat(c > 0, each) * n, size)
-            tokens = np.bincount(place, n, size)
             for k, first in enumerate(groups.tolist()):
                 own = slice(k * TASK_ROWS, (k + 1) * TASK_ROWS)
-                held = np.stack([logs[own], known[own], tokens[own]])
+                held = np.stack([logs[own], known[own]])
                 sums[first] = sums[first] + held if first in sums else held
             if len(sums) > 512:
                 yield out()
@@ -301,6 +301,26 @@ def _partial(total: int, distinct: int):
     return run
 
 
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(first, logs, known) sorted by first -> (row, logs, known) of each text with words. A log is never 0."""
+    current, logs, known = None, None, None
+
+    def out():
+        at = np.flatnonzero(logs)
+        return pa.RecordBatch.from_arrays([pa.array(current + at, pa.int64()), pa.array(logs[at]), pa.array(known[at])], names=["row", "logs", "known"])
+
+    for batch in batches:
+        for first, a, b in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if first != current:
+                if current is not None:
+                    yield out()
+                current, logs, known = first, np.zeros(TASK_ROWS), np.zeros(TASK_ROWS, np.int64)
+            logs += np.frombuffer(a, float)
+            known += np.frombuffer(b, np.int32)
+    if current is not None:
+        yield out()
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs."""
     spark = docs.sparkSession
@@ -327,8 +347,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     n, v = counts.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, v = n + ends, v + (ends > 0)
     met = tokens.select("token", "first", "rows").join(counts, "token").select("first", "c", "rows")
-    partial = met.mapInArrow(_partial(n, v), "row long, logs double, known long, tokens long")
-    sums = partial.groupBy("row").agg(F.sum("logs").alias("logs"), F.sum("known").alias("known"))
+    partial = met.mapInArrow(_partial(n, v), "first long, logs binary, known binary")
+    sums = partial.repartition("first").sortWithinPartitions("first").mapInArrow(_merge, "row long, logs double, known long")
     end_log = float(np.log10(ends + 0.5) - np.log10(n + 0.5 * (v + 1)))
     own = placed.select("row", "held_out", text).mapInArrow(scored, "row long, held_out boolean, score double, n_tokens long")
     ids = placed.select("row", F.col("_id"))
