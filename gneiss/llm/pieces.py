@@ -33,7 +33,7 @@ from gneiss.session import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
-CACHE = 300_000
+CACHE = 250_000  # segments in each of two generations
 SPACE = "▁"
 
 
@@ -63,6 +63,7 @@ class Pieces:
                 node = node.setdefault(c, {})
             node[""] = (i, float(score))
         self.steps = self._steps(self.trie)
+        self.longest = max(len(p) for p, _, k in vocabulary if k == 0)
         known = singles - {SPACE, " "}
         self.unknown_score = min(s for _, s, k in vocabulary if k == 0) - 10.0
         letters = "".join(re.escape(c) for c in sorted(known))
@@ -71,6 +72,7 @@ class Pieces:
         self.shown = [None if k == 1 else p.replace(SPACE, " ") if k == 0 else "" for p, _, k in vocabulary]
         self.bytes = {i: b for b, i in self.byte_ids.items()}
         self.cache: dict[str, tuple[tuple[int, ...], float, float]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], float, float]] = {}
         self.lists: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def _steps(self, node: dict) -> dict:
@@ -114,16 +116,17 @@ class Pieces:
         n = len(text)
         first, second = [0.0] + [-1e300] * n, [-1e300] * (n + 1)
         start, piece = [0] * (n + 1), [0] * (n + 1)
-        steps = self.steps
+        steps, longest = self.steps, self.longest
         for i in range(n):
-            here, next_best, node = first[i], second[i], steps
-            for j in range(i, n):
-                step = node.get(text[j])
+            here, next_best, node, end = first[i], second[i], steps, i
+            for c in text[i : i + longest]:
+                step = node.get(c)
                 if step is None:
                     break
                 node, score, k = step
+                end += 1
                 if k >= 0:
-                    end, total = j + 1, here + score
+                    total = here + score
                     if total > first[end]:
                         other = next_best + score
                         second[end] = first[end] if first[end] > other else other
@@ -167,10 +170,10 @@ class Pieces:
     def _solved(self, segment: str) -> tuple[tuple[int, ...], float, float]:
         found = self.cache.get(segment)
         if found is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
+            if len(self.cache) >= CACHE:  # two generations: what is still in use comes back from the older one
+                self.older, self.cache = self.cache, {}
                 self.lists.clear()
-            found = self.cache[segment] = self.solve(segment)
+            found = self.cache[segment] = self.older.get(segment) or self.solve(segment)
         return found
 
     def encode(self, text: str | None, n: int = BEST) -> tuple[np.ndarray, float, list]:
@@ -178,8 +181,7 @@ class Pieces:
         if not text:
             return np.empty(0, np.int32), 0.0, []
         cuts = self.segments.findall(" " + text)
-        cache = self.cache
-        solved = [cache.get(c) or self._solved(c) for c in cuts]
+        solved = [self.cache.get(c) or self._solved(c) for c in cuts]
         ids = np.fromiter(chain.from_iterable([s[0] for s in solved]), np.int32)
         score = sum([s[1] for s in solved])
         if n < 2:
