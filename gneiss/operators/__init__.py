@@ -1 +1 @@
-
+"""Operators of the entity catalog, DataFrame to DataFrame."""

@@ -1 +1 @@
-
+"""Sources, mappers and sinks."""

@@ -151,3 +151,17 @@ def test_details_objects_and_records(spark):
     record = {"id": "/1/a", "type": "VIDEO", "titles": {"en": "A"}, "rights": "http://rights.example/x", "sameAs": ["https://www.imdb.com/title/tt0000009/", "https://elsewhere.example/tt0000008"], "webResources": [{"url": "u", "rights": "http://r.example/1"}]}
     got = {(r["predicate"], r["value"]) for r in mappers.apply("europeana", spark.createDataFrame([(json.dumps(record),)], "payload string")).collect()}
     assert {("title", "A"), ("object_rights", "http://rights.example/x"), ("imdb", "tt0000009"), ("resource_rights", "http://r.example/1")} <= got and ("imdb", "tt0000008") not in got
+
+
+def test_streamed_files_are_committed_once(spark, tmp_path):
+    from gneiss.streaming.ingest import ingest
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"k": 1}\n{"k": 2}\n')
+    t = versioned.VersionedTable(spark, str(tmp_path / "table"))
+    for _ in range(2):
+        ingest(spark.readStream.schema("k long").json(str(tmp_path / "in")), t, str(tmp_path / "state")).awaitTermination()
+    assert sorted(r["k"] for r in t.read().collect()) == [1, 2]
+    (tmp_path / "in" / "b.json").write_text('{"k": 3}\n')
+    ingest(spark.readStream.schema("k long").json(str(tmp_path / "in")), t, str(tmp_path / "state")).awaitTermination()
+    assert sorted(r["k"] for r in t.read().collect()) == [1, 2, 3]
