@@ -4,17 +4,20 @@ Tokens are words (`[^\\x20\\x09-\\x0D]+`, A-Z lower-cased) and one end. The tree
 a word is spelled by its UTF-8 bytes and closed by a space symbol, the end is a symbol of its own, so
 every token sequence, with words never seen as well, has a proper probability.
 
-Learning: the symbols of all training texts are counted in windows of DEPTH + 1 (in each task by sorting, then
-summed by a shuffle; windows do not cross texts: a text begins with DEPTH end symbols). Contexts of
-0 to DEPTH symbols are suffixes of windows. A context is looked at if its share of all training symbols is P_MIN or
-more, so at most DEPTH / P_MIN of them exist, however large the corpus is (that is the bound of the broadcast model). It
-is retained if its next-symbol distribution differs from its parent's (the context without its first symbol):
-count * KL(child || parent) above DIVERGENCE nats. Prefixes and suffixes of retained contexts are kept so that the longest suffix state
-can be followed. Each distribution is smoothed with its parent's: (n(c, x) + ESCAPE * distinct(c) * P(x | parent)) /
+Learning: the symbols of all texts are seen in windows of DEPTH + 1 (windows do not cross texts: a text begins with
+DEPTH end symbols). Contexts of 0 to DEPTH symbols are suffixes of windows. A context is looked at if training has it
+MIN_COUNT times, at any size of the corpus, so what is learned grows with the corpus. It is retained if its
+next-symbol distribution differs from its parent's (the context without its first symbol): count * KL(child || parent)
+above DIVERGENCE nats. Each distribution is smoothed with its parent's: (n(c, x) + ESCAPE * distinct(c) * P(x | parent)) /
 (n(c) + ESCAPE * distinct(c)); below the root stands a uniform distribution over all 258 symbols.
 
-Scoring: each symbol takes the distribution of the longest retained context before it; the logs are summed over the text.
-Contexts are found for a whole batch at once, one vector lookup for each depth.
+The tree is never in one place. Texts are dealt into groups in reading order; each group's distinct windows, with their training
+counts, are written as a table, dealt into shards by the last TOP symbols of the context. A shard has every window of its
+contexts of TOP or more symbols, so it grows its part of the tree and gives each window its log. Shards get more as the
+input grows. Shorter contexts are one table of the distinct runs of TOP symbols, which the alphabet bounds and not the corpus.
+
+Scoring: each symbol takes the distribution of the longest retained context before it. A group gets its distinct windows
+back with their logs and sums them over its texts.
 
 Base: a smoothed unigram model with exact corpus counts. Each task sends every distinct token once with
 the list of its texts, so a frequent token is one row a task; the counts meet there and partial sums
@@ -37,7 +40,8 @@ from pyspark.sql import functions as F
 from gneiss.session import materialize, table
 
 DEPTH = 5
-P_MIN = 4e-6
+MIN_COUNT = 2
+TOP = 3  # symbols that a shard's contexts have in common
 DIVERGENCE = 8.0
 ESCAPE = 6.0
 HELD_OUT = 1
@@ -45,6 +49,8 @@ FOLDS = 5
 END, SPACE, SYMBOLS = 256, 0x20, 257
 BITS = 9  # a symbol in a window
 SYMBOLS_AT_ONCE = 1 << 20
+GROUP = 1 << 24  # characters of a group of texts; also of the text a shard is made for
+LEAST_SHARDS = 64
 TASK_ROWS = 2048  # texts whose tokens are sent together
 
 
@@ -70,15 +76,21 @@ def _stream(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate(owners)
 
 
-def windows(texts: list[str]) -> np.ndarray:
-    """All windows of DEPTH + 1 symbols as numbers; the last symbol is the lowest."""
+def _windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All windows of DEPTH + 1 symbols as numbers, the last symbol being the lowest, and the text of each."""
     stream, owner = _stream(texts)
     wide = stream.astype(np.uint64)
-    n = len(wide) - DEPTH
+    n = max(0, len(wide) - DEPTH)
     packed = np.zeros(n, np.uint64)
     for k in range(DEPTH + 1):
         packed = (packed << np.uint64(BITS)) | wide[k : k + n]
-    return packed[owner[DEPTH:] >= 0]
+    owner = owner[DEPTH:]
+    real = owner >= 0
+    return packed[real], owner[real]
+
+
+def windows(texts: list[str]) -> np.ndarray:
+    return _windows(texts)[0]
 
 
 def _grouped(texts: list[str], size: int) -> Iterator[list[str]]:
@@ -93,30 +105,164 @@ def _grouped(texts: list[str], size: int) -> Iterator[list[str]]:
         yield group
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(window, n): distinct windows of a task's texts, merged as they come, emitted when many."""
-    held, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list, list]]:
+    """(row, held_out, text) in groups of GROUP characters: name, rows, held_out, texts. Where a group ends does not depend on batches."""
+    rows, held, texts, n = [], [], [], 0
+    for batch in batches:
+        for row, out, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            rows.append(row)
+            held.append(out)
+            texts.append(text or "")
+            n += len(texts[-1])
+            if n >= GROUP:
+                yield rows[0], rows, held, texts
+                rows, held, texts, n = [], [], [], 0
+    if rows:
+        yield rows[0], rows, held, texts
+
+
+def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and their summed counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[start], np.add.reduceat(counts[order], start)
+
+
+def _low(symbols: int) -> np.uint64:
+    return np.uint64((1 << BITS * symbols) - 1)
+
+
+def _count(shards: int):
+    """(shard, group, windows, counts): each group's distinct windows as differences, and how often training has them (0: held out only)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, _, held, texts in _groups(batches):
+            keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+            for out in (False, True):
+                for part in _grouped([t for t, h in zip(texts, held) if h == out], 1 << 22):
+                    own, n = np.unique(windows(part), return_counts=True)
+                    keys, counts = _merged(np.concatenate([keys, own]), np.concatenate([counts, n * (not out)]))
+            last = (keys >> np.uint64(BITS)) & _low(TOP)
+            shard = ((last * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(shards)
+            order = np.argsort(shard, kind="stable")
+            names, first = np.unique(shard[order], return_index=True)
+            ends = np.append(first[1:], len(order))
+            parts = [order[i:j] for i, j in zip(first, ends)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(names.astype(np.int32)),
+                    pa.array(np.full(len(names), group, np.int64)),
+                    pa.array([np.diff(keys[p], prepend=np.uint64(0)).tobytes() for p in parts], pa.binary()),
+                    pa.array([counts[p].tobytes() for p in parts], pa.binary()),
+                ],
+                names=["shard", "group", "windows", "counts"],
+            )
+
+    return run
 
-    def out():
-        return pa.RecordBatch.from_pydict({"window": pa.array(held.view(np.int64)), "n": pa.array(counts)})
 
+def _unpacked(differences: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(differences, np.uint64), dtype=np.uint64)
+
+
+def _top_count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(w, n): the last TOP symbols of the windows of a task."""
+    keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
     for batch in batches:
-        for group in _grouped([t or "" for t in batch.column(0).to_pylist()], 1 << 22):
-            own, n = np.unique(windows(group), return_counts=True)
-            keys = np.concatenate([held, own])
-            order = np.argsort(keys, kind="stable")
-            keys, all_n = keys[order], np.concatenate([counts, n])[order]
-            start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
-            held, counts = keys[start], np.add.reduceat(all_n, start) if len(keys) else counts
-            if len(held) > 4_000_000:
-                yield out()
-                held, counts = held[:0], counts[:0]
-    if len(held):
-        yield out()
+        for packed, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own, own_n = _merged(_unpacked(packed) & _low(TOP), np.frombuffer(n, np.int64))
+            keys, counts = _merged(np.concatenate([keys, own]), np.concatenate([counts, own_n]))
+    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["w", "n"])
+
+
+def deepen(keys: np.ndarray, counts: np.ndarray, depths: range, p: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window: the smoothed chance of its last symbol after the longest context looked at, and after the longest retained one.
+
+    p and best are those of the depth before; the windows must be all that contexts of these depths have."""
+    for depth in depths:
+        pair, at, place = np.unique(keys & _low(depth + 1), return_index=True, return_inverse=True)
+        n = np.bincount(place, counts, len(pair))
+        above = pair >> np.uint64(BITS)
+        own = np.cumsum(np.append(False, above[1:] != above[:-1])) if len(above) else np.empty(0, np.int64)
+        total, distinct = np.bincount(own, n)[own], np.bincount(own, n > 0)[own]
+        below, weight = p[at], ESCAPE * distinct
+        with np.errstate(divide="ignore", invalid="ignore"):
+            grown = (n + weight * below) / (total + weight)
+            gain = np.bincount(own, np.where(n > 0, n * np.log(n / total / below), 0))[own]
+        looked = total >= (MIN_COUNT if depth else 1)
+        keep = looked & ((gain > DIVERGENCE) | (depth == 0))
+        p = np.where(looked[place], grown[place], p)
+        best = np.where(keep[place], grown[place], best)
+    return p, best
+
+
+def _grow_shard(top):
+    """(group, windows, logs) of the windows of a shard, given the chances of the contexts below TOP symbols."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        parts = [_unpacked(x) for x in rows.column("windows").to_pylist()]
+        n = np.concatenate([np.frombuffer(x, np.int64) for x in rows.column("counts").to_pylist()])
+        keys, place = np.unique(np.concatenate(parts), return_inverse=True)
+        shorter, p, best = top.value
+        at = np.searchsorted(shorter, keys & _low(TOP))
+        _, best = deepen(keys, np.bincount(place, n), range(TOP, DEPTH + 1), p[at], best[at])
+        logs = np.log10(best).astype(np.float32)[place]
+        ends = np.cumsum([len(x) for x in parts])
+        return pa.table({"group": rows.column("group"), "windows": rows.column("windows"), "logs": pa.array([x.tobytes() for x in np.split(logs, ends[:-1])], pa.binary())})
+
+    return run
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(group, rows, sizes, size, texts): a group's texts in one compressed piece."""
+    for group, rows, _, texts in _groups(batches):
+        coded = [t.encode("utf-8", "surrogatepass") for t in texts]
+        whole = b"".join(coded)
+        sizes = np.array([len(c) for c in coded], np.int64).tobytes()
+        piece = pa.compress(whole, codec="zstd", asbytes=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([group], pa.int64()), pa.array([np.array(rows, np.int64).tobytes()], pa.binary()), pa.array([sizes], pa.binary()), pa.array([len(whole)], pa.int64()), pa.array([piece], pa.binary())],
+            names=["group", "rows", "sizes", "size", "texts"],
+        )
+
+
+def _sum(scored: pa.Table, packed: pa.Table) -> pa.Table:
+    """(row, score, n_tokens) of a group's texts by the logs of its windows."""
+    keys = np.concatenate([_unpacked(x) for x in scored.column("windows").to_pylist()])
+    order = np.argsort(keys)
+    keys, logs = keys[order], np.concatenate([np.frombuffer(x, np.float32) for x in scored.column("logs").to_pylist()])[order]
+    held = packed.to_pylist()[0]
+    whole = pa.decompress(held["texts"], decompressed_size=held["size"], codec="zstd", asbytes=True)
+    ends = np.cumsum(np.frombuffer(held["sizes"], np.int64)).tolist()
+    texts = [whole[i:j].decode("utf-8", "surrogatepass") for i, j in zip([0, *ends], ends)]
+    score, tokens = [], []
+    for part in _grouped(texts, SYMBOLS_AT_ONCE):
+        own, owner = _windows(part)
+        score.append(np.bincount(owner, logs[np.searchsorted(keys, own)], len(part)))
+        last = own & _low(1)
+        tokens.append(np.bincount(owner, (last == SPACE) | (last == END), len(part)))
+    return pa.table({"row": np.frombuffer(held["rows"], np.int64), "score": np.concatenate(score), "n_tokens": np.concatenate(tokens).astype(np.int64)})
+
+
+def tree_scores(placed: DataFrame) -> DataFrame:
+    """(row, score, n_tokens) of (row, held_out, text)."""
+    size = placed.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    counted = materialize(placed.mapInArrow(_count(max(LEAST_SHARDS, size // GROUP)), "shard int, group long, windows binary, counts binary"), "windows")
+    short = counted.select("windows", "counts").mapInArrow(_top_count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
+    order = np.argsort(short.column("w").to_numpy())
+    keys, n = short.column("w").to_numpy()[order].astype(np.uint64), short.column("n").to_numpy()[order]
+    uniform = np.full(len(keys), 1.0 / (SYMBOLS + 1))
+    top = placed.sparkSession.sparkContext.broadcast((keys, *deepen(keys, n, range(TOP), uniform, uniform)))
+    scored = counted.groupBy("shard").applyInArrow(_grow_shard(top), "group long, windows binary, logs binary")
+    packed = placed.mapInArrow(_packed, "group long, rows binary, sizes binary, size long, texts binary")
+    return scored.groupBy("group").cogroup(packed.groupBy("group")).applyInArrow(_sum, "row long, score double, n_tokens long")
 
 
 class Tree:
-    """Retained contexts. follow[d]: (node of depth d) * width + symbol -> node of depth d + 1 or -1; logs: node * width + symbol -> log10."""
+    """The tree in memory, as grow() makes it of few counts; the shards must give the same scores. Retained contexts. follow[d]: (node of depth d) * width + symbol -> node of depth d + 1 or -1; logs: node * width + symbol -> log10."""
 
     def __init__(self, alphabet: np.ndarray, follow: list[np.ndarray], state: list[np.ndarray], logs: np.ndarray):
         self.alphabet, self.follow, self.state, self.logs = alphabet, follow, state, logs
@@ -150,29 +296,6 @@ class Tree:
         return np.bincount(owner[real], weights=logs, minlength=len(texts))
 
 
-def learn(spark: SparkSession, counted: DataFrame, total: int) -> Tree:
-    """counted: (window, n). Contexts of a share of P_MIN or more come to the driver, at most 1 / P_MIN of each depth,
-    one row each with the symbols that follow; one depth is held at a time."""
-    floor = max(2, int(np.ceil(total * P_MIN)))
-    mask = (1 << BITS) - 1
-
-    def level(depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Contexts, the row of each count, its symbol, the count."""
-        held = counted.select(F.col("window").bitwiseAND((1 << BITS * (depth + 1)) - 1).alias("w"), "n")
-        rows = held.groupBy("w").agg(F.sum("n").alias("n")).select(F.shiftright("w", BITS).alias("c"), F.col("w").bitwiseAND(mask).cast("int").alias("x"), "n")
-        # a context is followed by at most 257 symbols: its row is small whatever its count
-        rows = rows.groupBy("c").agg(F.sum("n").alias("t"), F.collect_list("x").alias("x"), F.collect_list("n").alias("n"))
-        found = rows.where(F.col("t") >= (floor if depth else 0)).select("c", "x", "n").toArrow().combine_chunks()
-        contexts = found.column("c").to_numpy()
-        xs, ns = found.column("x").combine_chunks(), found.column("n").combine_chunks()
-        if len(contexts) == 0:
-            return contexts, *(np.empty(0, np.int64),) * 3
-        row = np.repeat(np.arange(len(contexts)), np.diff(xs.offsets.to_numpy()))
-        return contexts, row, xs.flatten().to_numpy(), ns.flatten().to_numpy()
-
-    return grow(level)
-
-
 def grow(level) -> Tree:
     """The tree of counts that level(depth) gives."""
     mask = (1 << BITS) - 1
@@ -323,23 +446,10 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs."""
-    spark = docs.sparkSession
     base = with_fold(docs.select(id_col, text), id_col)
-    counted = materialize(
-        base.where(~F.col("held_out")).select(text).mapInArrow(_count, "window long, n long").groupBy("window").agg(F.sum("n").alias("n")), "windows"
-    )
-    n_symbols = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    tree = spark.sparkContext.broadcast(learn(spark, counted, n_symbols))
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(tree.value.score(texts)), pa.array([len(words(t)) + 1 for t in texts], pa.int64())], names=["row", "held_out", "score", "n_tokens"]
-            )
-
     # rows are told apart by their place in the input, which is the same whenever a task is run again
     placed = base.select(F.monotonically_increasing_id().alias("row"), "held_out", F.col(id_col).alias("_id"), text)
+    own = materialize(tree_scores(placed.select("row", "held_out", F.col(text).alias("text"))), "scores")
     tokens = placed.select("row", "held_out", text).mapInArrow(_postings, "token binary, first long, trained long, rows binary")
     tokens = materialize(tokens, "postings")
     counts = materialize(tokens.groupBy("token").agg(F.sum("trained").alias("c")), "counts")
@@ -350,8 +460,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     partial = met.mapInArrow(_partial(n, v), "first long, logs binary, known binary")
     sums = partial.repartition("first").sortWithinPartitions("first").mapInArrow(_merge, "row long, logs double, known long")
     end_log = float(np.log10(ends + 0.5) - np.log10(n + 0.5 * (v + 1)))
-    own = placed.select("row", "held_out", text).mapInArrow(scored, "row long, held_out boolean, score double, n_tokens long")
-    ids = placed.select("row", F.col("_id"))
+    ids = placed.select("row", "held_out", F.col("_id"))
     joined = ids.join(own, "row").join(sums, "row", "left")
     return joined.select(
         F.col("_id").alias(id_col),

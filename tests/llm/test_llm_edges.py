@@ -148,3 +148,37 @@ def test_em_finds_the_better_labeller():
     posterior, accuracy = quality.expectation_maximisation(["1111111?", "0011111?", "1100000?", "00000000"], [800, 60, 20, 120])
     assert posterior["1111111?"] > 0.9 and posterior["00000000"] < 0.1
     assert (accuracy >= 0).all() and (accuracy <= 1).all()
+
+
+def test_tree_by_shards_is_the_tree_in_memory(spark, monkeypatch):
+    import random
+    from collections import Counter, defaultdict
+
+    import numpy as np
+
+    rng = random.Random(5)
+    names = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    rows = [(k, " ".join(rng.choice(names[: 5 + k % 50]) for _ in range(rng.randint(0, 80)))) for k in range(300)]
+    monkeypatch.setattr(scoring, "GROUP", 2000)  # many groups, many shards
+    got = {r["doc_id"]: r for r in scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    counted = Counter(w for k, t in rows if not got[k]["held_out"] for w in scoring.windows([t]).tolist())
+
+    def level(depth):
+        held = defaultdict(Counter)
+        for w, n in counted.items():
+            held[(w >> scoring.BITS) & ((1 << scoring.BITS * depth) - 1)][w & ((1 << scoring.BITS) - 1)] += n
+        held = {c: x for c, x in held.items() if not depth or sum(x.values()) >= 2}
+        flat = [(i, x, n) for i, own in enumerate(held.values()) for x, n in own.items()]
+        return np.array(list(held), np.int64), *(np.array(v, np.int64) for v in zip(*flat))
+
+    want = scoring.grow(level).score([t for _, t in rows])
+    assert [got[k]["score"] for k, _ in rows] == pytest.approx(want.tolist(), rel=1e-4)
+
+
+def test_tree_keeps_contexts_of_large_corpora(spark):
+    """A context's evidence counts the same however much other text there is."""
+    rows = [(k, "qz qj qz qj qz qj " * 5) for k in (2, 3, 4)]
+    small = scoring.score(spark.createDataFrame(rows + [(100, "other")], "doc_id long, text string"))
+    large = scoring.score(spark.createDataFrame(rows + [(100 + k, PROSE * 1000) for k in range(200)], "doc_id long, text string"))
+    a, b = ({r["doc_id"]: r["score"] / r["n_tokens"] for r in x.collect()} for x in (small, large))
+    assert b[2] > 1.5 * a[2]
