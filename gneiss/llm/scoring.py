@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from gneiss.session import materialize, table
 
-DEPTH = 5
+DEPTH = 6
 MIN_COUNT = 2
 TOP = 3  # symbols that a shard's contexts have in common
 DIVERGENCE = 8.0
@@ -49,7 +49,8 @@ FOLDS = 5
 END, SPACE, SYMBOLS = 256, 0x20, 257
 BITS = 9  # a symbol in a window
 SYMBOLS_AT_ONCE = 1 << 20
-GROUP = 1 << 24  # characters of a group of texts; also of the text a shard is made for
+GROUP = 1 << 23  # characters of a group of texts
+SHARD = 1 << 22  # characters of all texts for which there is one shard more
 LEAST_SHARDS = 64
 TASK_ROWS = 2048  # texts whose tokens are sent together
 
@@ -109,7 +110,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list
     """(row, held_out, text) in groups of GROUP characters: name, rows, held_out, texts. Where a group ends does not depend on batches."""
     rows, held, texts, n = [], [], [], 0
     for batch in batches:
-        for row, out, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for row, out, text in (x for at in range(0, batch.num_rows, 256) for x in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns))):
             rows.append(row)
             held.append(out)
             texts.append(text or "")
@@ -136,13 +137,15 @@ def _low(symbols: int) -> np.uint64:
 
 
 def _count(shards: int):
-    """(shard, group, windows, counts): each group's distinct windows as differences, and how often training has them (0: held out only)."""
+    """(shard, group, windows, counts): each group's distinct windows as differences, and how often training has them (0: held out only).
+
+    Shard -1 has the runs of TOP symbols instead, so that nothing else is read for them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, _, held, texts in _groups(batches):
             keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
             for out in (False, True):
-                for part in _grouped([t for t, h in zip(texts, held) if h == out], 1 << 22):
+                for part in _grouped([t for t, h in zip(texts, held) if h == out], SYMBOLS_AT_ONCE):
                     own, n = np.unique(windows(part), return_counts=True)
                     keys, counts = _merged(np.concatenate([keys, own]), np.concatenate([counts, n * (not out)]))
             last = (keys >> np.uint64(BITS)) & _low(TOP)
@@ -151,12 +154,13 @@ def _count(shards: int):
             names, first = np.unique(shard[order], return_index=True)
             ends = np.append(first[1:], len(order))
             parts = [order[i:j] for i, j in zip(first, ends)]
+            short, short_n = _merged(keys & _low(TOP), counts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(names.astype(np.int32)),
-                    pa.array(np.full(len(names), group, np.int64)),
-                    pa.array([np.diff(keys[p], prepend=np.uint64(0)).tobytes() for p in parts], pa.binary()),
-                    pa.array([counts[p].tobytes() for p in parts], pa.binary()),
+                    pa.array(np.append(-1, names).astype(np.int32)),
+                    pa.array(np.full(len(names) + 1, group, np.int64)),
+                    pa.array([np.diff(k, prepend=np.uint64(0)).tobytes() for k in (short, *(keys[p] for p in parts))], pa.binary()),
+                    pa.array([n.astype(np.int32).tobytes() for n in (short_n, *(counts[p] for p in parts))], pa.binary()),
                 ],
                 names=["shard", "group", "windows", "counts"],
             )
@@ -173,8 +177,7 @@ def _top_count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
     for batch in batches:
         for packed, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own, own_n = _merged(_unpacked(packed) & _low(TOP), np.frombuffer(n, np.int64))
-            keys, counts = _merged(np.concatenate([keys, own]), np.concatenate([counts, own_n]))
+            keys, counts = _merged(np.concatenate([keys, _unpacked(packed)]), np.concatenate([counts, np.frombuffer(n, np.int32)]))
     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["w", "n"])
 
 
@@ -204,7 +207,7 @@ def _grow_shard(top):
 
     def run(rows: pa.Table) -> pa.Table:
         parts = [_unpacked(x) for x in rows.column("windows").to_pylist()]
-        n = np.concatenate([np.frombuffer(x, np.int64) for x in rows.column("counts").to_pylist()])
+        n = np.concatenate([np.frombuffer(x, np.int32) for x in rows.column("counts").to_pylist()])
         keys, place = np.unique(np.concatenate(parts), return_inverse=True)
         shorter, p, best = top.value
         at = np.searchsorted(shorter, keys & _low(TOP))
@@ -229,11 +232,35 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class Slots:
+    """A hash table of distinct windows; only windows that are in it may be looked up."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.shift = np.uint64(64 - (2 * len(keys) + 8).bit_length())
+        home = self._home(keys)
+        order = np.argsort(home, kind="stable")
+        at = np.arange(len(keys))
+        place = np.maximum.accumulate(home[order] - at) + at  # a taken slot moves a window on to the next
+        self.keys = np.full(int(place[-1]) + 1, np.iinfo(np.uint64).max, np.uint64)
+        self.values = np.zeros(len(self.keys), values.dtype)
+        self.keys[place], self.values[place] = keys[order], values[order]
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._home(keys)
+        wrong = np.flatnonzero(self.keys[slot] != keys)
+        while len(wrong):
+            slot[wrong] += 1
+            wrong = wrong[self.keys[slot[wrong]] != keys[wrong]]
+        return self.values[slot]
+
+
 def _sum(scored: pa.Table, packed: pa.Table) -> pa.Table:
     """(row, score, n_tokens) of a group's texts by the logs of its windows."""
     keys = np.concatenate([_unpacked(x) for x in scored.column("windows").to_pylist()])
-    order = np.argsort(keys)
-    keys, logs = keys[order], np.concatenate([np.frombuffer(x, np.float32) for x in scored.column("logs").to_pylist()])[order]
+    logs = Slots(keys, np.concatenate([np.frombuffer(x, np.float32) for x in scored.column("logs").to_pylist()]))
     held = packed.to_pylist()[0]
     whole = pa.decompress(held["texts"], decompressed_size=held["size"], codec="zstd", asbytes=True)
     ends = np.cumsum(np.frombuffer(held["sizes"], np.int64)).tolist()
@@ -241,7 +268,7 @@ def _sum(scored: pa.Table, packed: pa.Table) -> pa.Table:
     score, tokens = [], []
     for part in _grouped(texts, SYMBOLS_AT_ONCE):
         own, owner = _windows(part)
-        score.append(np.bincount(owner, logs[np.searchsorted(keys, own)], len(part)))
+        score.append(np.bincount(owner, logs[own], len(part)))
         last = own & _low(1)
         tokens.append(np.bincount(owner, (last == SPACE) | (last == END), len(part)))
     return pa.table({"row": np.frombuffer(held["rows"], np.int64), "score": np.concatenate(score), "n_tokens": np.concatenate(tokens).astype(np.int64)})
@@ -250,13 +277,13 @@ def _sum(scored: pa.Table, packed: pa.Table) -> pa.Table:
 def tree_scores(placed: DataFrame) -> DataFrame:
     """(row, score, n_tokens) of (row, held_out, text)."""
     size = placed.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    counted = materialize(placed.mapInArrow(_count(max(LEAST_SHARDS, size // GROUP)), "shard int, group long, windows binary, counts binary"), "windows")
-    short = counted.select("windows", "counts").mapInArrow(_top_count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
+    counted = materialize(placed.mapInArrow(_count(max(LEAST_SHARDS, size // SHARD)), "shard int, group long, windows binary, counts binary"), "windows")
+    short = counted.where("shard = -1").select("windows", "counts").mapInArrow(_top_count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
     order = np.argsort(short.column("w").to_numpy())
     keys, n = short.column("w").to_numpy()[order].astype(np.uint64), short.column("n").to_numpy()[order]
     uniform = np.full(len(keys), 1.0 / (SYMBOLS + 1))
     top = placed.sparkSession.sparkContext.broadcast((keys, *deepen(keys, n, range(TOP), uniform, uniform)))
-    scored = counted.groupBy("shard").applyInArrow(_grow_shard(top), "group long, windows binary, logs binary")
+    scored = counted.where("shard >= 0").groupBy("shard").applyInArrow(_grow_shard(top), "group long, windows binary, logs binary")
     packed = placed.mapInArrow(_packed, "group long, rows binary, sizes binary, size long, texts binary")
     return scored.groupBy("group").cogroup(packed.groupBy("group")).applyInArrow(_sum, "row long, score double, n_tokens long")
 

@@ -182,3 +182,13 @@ def test_tree_keeps_contexts_of_large_corpora(spark):
     large = scoring.score(spark.createDataFrame(rows + [(100 + k, PROSE * 1000) for k in range(200)], "doc_id long, text string"))
     a, b = ({r["doc_id"]: r["score"] / r["n_tokens"] for r in x.collect()} for x in (small, large))
     assert b[2] > 1.5 * a[2]
+
+
+def test_six_symbols_of_context(spark):
+    """What follows "abcde" is told by the symbol before it."""
+    import random
+
+    rng = random.Random(1)
+    rows = [(k, " ".join(rng.choice(["1abcde7", "2abcde8"]) for _ in range(20))) for k in range(100, 160)] + [(1, "1abcde7 2abcde8 " * 3), (2, "1abcde8 2abcde7 " * 3)]
+    got = {r["doc_id"]: r["score"] for r in scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] > got[2] + 3
