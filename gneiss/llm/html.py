@@ -50,6 +50,18 @@ FURNITURE = frozenset(
     "search searchform pagination pager copyright skip hidden contentinfo complementary".split()
 )
 
+#: Elements whose end tag may be omitted, the start tags that end them, and elements within which those do not.
+ENDED_BY = {
+    "p": BLOCKS,
+    "li": frozenset(["li"]),
+    **dict.fromkeys(("dt", "dd"), frozenset("dt dd".split())),
+    **dict.fromkeys(("td", "th"), frozenset("td th tr tbody thead tfoot".split())),
+    "tr": frozenset("tr tbody thead tfoot".split()),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), frozenset("tbody tfoot".split())),
+    "option": frozenset("option optgroup".split()),
+}
+SCOPES = frozenset("ul ol menu dl table select datalist".split())
+
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 SPACE = re.compile(r"\s+")
@@ -162,7 +174,7 @@ def blocks(html: str) -> list[tuple[str, int, tuple]]:
         if _furniture(tag, attributes, inside):
             if tag in BLOCKS:
                 block = None
-            at = _after(html, at, tag, True)
+            at = _after_implied(html, at, tag, {t for t, _, _ in stack}) if tag in ENDED_BY else _after(html, at, tag, True)
             continue
         if tag in CLOSES_P:
             block = None
@@ -202,6 +214,31 @@ def _after(html: str, at: int, tag: str, nested: bool) -> int:
     return len(html)
 
 
+def _after_implied(html: str, at: int, tag: str, around: set[str]) -> int:
+    """The end of a left-out element whose end tag may be omitted: its end tag, the start of what ends it, or the end of an element around it."""
+    inner: list[str] = []
+    while (found := TOKEN.search(html, at)) is not None:
+        at = found.end()
+        name = (found.group(2) or "").lower()
+        if not name:
+            continue
+        if found.group(1):
+            if name in inner:
+                while inner.pop() != name:
+                    pass
+            elif name == tag:
+                return at
+            elif name in around and (name in BLOCKS or name in SCOPES):
+                return found.start()
+        elif name in ENDED_BY[tag] and not SCOPES.intersection(inner):
+            return found.start()
+        elif name in RAW:
+            at = _after(html, at, name, False) if not found.group(3).endswith("/") or name not in ("svg", "math") else at
+        elif name in BLOCKS or name in SCOPES:
+            inner.append(name)
+    return len(html)
+
+
 def path_id(path: str) -> int:
     return xxhash.xxh64_intdigest(path.encode("utf-8", "surrogatepass")) - (1 << 63)
 

@@ -192,3 +192,20 @@ def test_six_symbols_of_context(spark):
     rows = [(k, " ".join(rng.choice(["1abcde7", "2abcde8"]) for _ in range(20))) for k in range(100, 160)] + [(1, "1abcde7 2abcde8 " * 3), (2, "1abcde8 2abcde7 " * 3)]
     got = {r["doc_id"]: r["score"] for r in scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] > got[2] + 3
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<p class='notice'>Note<p>Kept one.</p><p>Kept two.</p>",
+        "<section><p class='notice'>Note <b>well</b></section><p>Kept one.</p><p>Kept two.</p>",
+        "<ul><li class='ad'>Buy<ul><li>a<li>b</ul><li>Kept one.</ul><p>Kept two.</p>",
+        "<ol><li class='ad'>Buy</ol><p>Kept one.<p>Kept two.",
+        "<table><tr><td class='ad'>Buy<table><tr><td>x</table><td>Kept one.</table><p>Kept two.</p>",
+        "<dl><dt class='ad'>Buy<dd>Kept one.</dl><p>Kept two.</p>",
+        "<p class='notice'>Note</p><p>Kept one.</p><p>Kept two.</p>",
+    ],
+)
+def test_html_furniture_without_end_tag(body):
+    found = html.blocks(f"<html><body><article>{body}</article></body></html>")
+    assert [text for text, _, _ in found] == ["Kept one.", "Kept two."]
