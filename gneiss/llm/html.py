@@ -2,7 +2,8 @@
 
 Each page is read into blocks: runs of text between block-level tags, each with the chain of
 containers around it. A container's score is the text its own blocks hold, less the text of links in
-them; every page votes for the paths of its containers with their scores, where a path is the chain of tags and
+them, and half of its children's; it is credited to the outermost article or the main element around, or, without these, to the
+parent of a section, cell or div that is only a part of the parent's text. Every page votes for the paths of its containers with their scores, where a path is the chain of tags and
 classes with digits removed. Spark sums the votes by host (partial sums first, so a hot host is no
 load on one task), the path with the highest total wins the host, and each page is read again with the
 winning path: the blocks inside containers of that path are its text. A page without such a
@@ -244,17 +245,49 @@ def path_id(path: str) -> int:
 
 
 def scores(found: list[tuple[str, int, tuple]]) -> dict[str, float]:
-    """Path to the score of its containers on a page: their own text without links, and half of it for the container around."""
-    total: dict[str, float] = {}
+    """Path to the votes of a page: text without links, and half of it for the container around, credited to where the path belongs (_whole)."""
+    own: dict[str, float] = {}
+    below: dict[str, dict[str, float]] = {}  # path to its sections' and cells' text, all levels of them
+    chains: dict[str, tuple[tuple[str, str], ...]] = {}  # path to (tag, path) of the containers around it and its own
     for text, linked, chain in found:
         worth = max(0, len(text) - 2 * linked)
+        if chain and chain[-1][1] not in chains:
+            line: tuple = ()
+            for _, path in chain:
+                line = (*line, (path[len(line[-1][1]) if line else 0 :][1:].split(".")[0], path))
+                chains[path] = line
+        if chain:
+            own[chain[-1][1]] = own.get(chain[-1][1], 0.0) + worth
+            for (_, above), (_, path) in zip(chain, chain[1:]):
+                held = below.setdefault(above, {})
+                held[path] = held.get(path, 0.0) + worth
+    total: dict[str, float] = {}
+    for path, worth in own.items():
+        line = chains[path]
         for depth, share in ((1, 1.0), (2, 0.5)):
-            if len(chain) >= depth:
-                path = chain[-depth][1]
-                total[path] = total.get(path, 0.0) + share * worth
+            if len(line) >= depth:
+                target = _whole(line[: len(line) - depth + 1], own, below)
+                total[target] = total.get(target, 0.0) + share * worth
     return total
 
 
+def _whole(line: tuple[tuple[str, str], ...], own: dict[str, float], below: dict[str, dict[str, float]]) -> str:
+    """The path that holds all of the text a container is a part of: the outermost article around it, else the main element; without
+    either, its parent as long as that has text of its own or further sections or cells with text, the body excepted."""
+    for kind in ("article", "main"):
+        for tag, path in line:
+            if tag == kind:
+                return path
+    k = len(line) - 1
+    while k > 0 and line[k - 1][0] != "body":
+        (tag, path), (_, above) = line[k], line[k - 1]
+        further = any(worth > 0 for other, worth in below[above].items() if other != path and other[len(above) + 1 :].split(".")[0] == tag)
+        if not own.get(above, 0.0) > 0 and not (tag in ("section", "td") and further):
+            break
+        k -= 1
+    return line[k][1]
+
+
 def main_text(html: str | None, winner: int | None) -> str:
     """A page's text by its host's winning path, or by its own best path."""
     found = blocks(html or "")

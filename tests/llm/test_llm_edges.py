@@ -209,3 +209,22 @@ def test_six_symbols_of_context(spark):
 def test_html_furniture_without_end_tag(body):
     found = html.blocks(f"<html><body><article>{body}</article></body></html>")
     assert [text for text, _, _ in found] == ["Kept one.", "Kept two."]
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<article><h1>Head</h1><p>lead</p><section>{a}</section><section>{b}</section></article>",
+        "<article><h1>Head</h1><p>lead</p><section class='x'>{a}</section><section class='y'>{b}</section></article>",
+        "<article><section><div><h1>Head</h1><p>lead</p></div><div class='t'>{a}</div></section><section class='z'><div>{b}</div></section></article>",
+        "<main><h1>Head</h1><p>lead</p><table><tr><td>{a}</td></tr></table><p>{b}</p></main>",
+        "<div class='post'><h1>Head</h1><p>lead</p><div class='text'>{a}</div><table><tr><td>{b}</td></tr></table></div>",
+        "<div class='post'><section class='i'><h1>Head</h1><p>lead</p></section><section class='x'>{a}</section><section class='y'>{b}</section></div>",
+    ],
+)
+def test_html_nested_sections_and_tables(spark, body):
+    a, b = "A long part of the article in words. " * 9, "Another long part of it that follows. " * 12
+    page = f"<html><body><nav><a href='#'>menu</a></nav>{body.format(a=a, b=b)}<div class='more'><a href='#'>other story</a></div></body></html>"
+    pages = [(k, f"https://h.example/{k}", page) for k in range(4)]
+    got = html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r["text"] for r in got} == {"\n\n".join(["Head", "lead", a.strip(), b.strip()])}
