@@ -18,6 +18,7 @@ empty table gives no rows (nothing is fitted); further columns are kept by filte
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,7 @@ DIMENSIONS = 1 << 14
 ROUNDS = 60
 EPOCHS = 8
 THRESHOLD = 0.25
+WINDOW = 4_000  # words that variety looks at together
 SHORT = 40.0  # added to the squared length of a document's features
 
 LABELLERS = ("symbols", "capitals", "bars", "repeats", "variety", "frequent words", "word length", "sentences")
@@ -49,6 +51,23 @@ def _between(value: float, poor: float, clean: float) -> int:
     return 0 if value >= poor else 1 if value <= clean else -1
 
 
+def variety(words: list[bytes]) -> float:
+    """Mean share of distinct words over all runs of WINDOW consecutive words (of all words in a shorter text), whatever the length."""
+    n = len(words)
+    if n <= WINDOW:
+        return len(set(words)) / n
+    held = Counter(words[:WINDOW])
+    distinct = total = len(held)
+    for new, old in zip(words[WINDOW:], words):
+        if new != old:
+            distinct += held[new] == 0
+            held[new] += 1
+            held[old] -= 1
+            distinct -= held[old] == 0
+        total += distinct
+    return total / (WINDOW * (n - WINDOW + 1))
+
+
 def votes(text: str | None) -> list[int]:
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
@@ -61,7 +80,7 @@ def votes(text: str | None) -> list[int]:
     upper = shaped.count(b"A") / max(1, letters)
     bars = (words.count(b"|") + words.count(b"||") + raw.count(b"\t")) / n
     same = sum(a == b for a, b in zip(words, words[1:])) / max(1, n - 1)
-    kinds = len(set(words[:4000])) / min(n, 4000)
+    kinds = variety(words)
     known = sum(map(FREQUENT.__contains__, words)) / n
     length = letters / n
     stops = (raw.count(b".") + raw.count(b"?")) / n

@@ -228,3 +228,13 @@ def test_html_nested_sections_and_tables(spark, body):
     pages = [(k, f"https://h.example/{k}", page) for k in range(4)]
     got = html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
     assert {r["text"] for r in got} == {"\n\n".join(["Head", "lead", a.strip(), b.strip()])}
+
+
+def test_variety_is_that_of_the_whole_text():
+    place = quality.LABELLERS.index("variety")
+    prose = " ".join(f"w{i}" for i in range(4000))
+    assert quality.votes(prose)[place] == 1
+    assert quality.votes(prose + " junk again" * 30_000)[place] == 0
+    words = [f"{i * i % 97 * (i // 3000)}".encode() for i in range(9000)]
+    runs = [len(set(words[i : i + 4000])) / 4000 for i in range(5001)]
+    assert quality.variety(words) == pytest.approx(sum(runs) / len(runs))
