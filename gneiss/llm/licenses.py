@@ -1,6 +1,7 @@
 """License scan: base phrases, and an exact set-similarity join of text blocks with license templates.
 
-Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the text with A-Z lower-cased. A block is a line. A
+Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the text with A-Z lower-cased. A block is a line, or, as notices
+are wrapped over lines, as many consecutive words of the whole text as the template has. A
 template matches a block if at least 80 % of the template's distinct words are among the block's.
 
 The join is exact. Template words are ordered by their frequency in the corpus, rarest first. With
@@ -8,7 +9,8 @@ The join is exact. Template words are ordered by their frequency in the corpus,
 filter), so a text without any such word is settled by one hash probe for each of its words. Of the
 others, each line's known words, in the same order, must be `need` at least (length filter), and
 from the first shared word on both sides must still hold `need` words (positional filter); what
-is left is intersected. All of it happens in the row, by DataFrame functions: the templates are
+is left is intersected. Words across lines are looked at only for templates of which the whole text
+has `need` words, from each place of a template word on. All of it happens in the row, by DataFrame functions: the templates are
 a fixed list, so nothing is shuffled but the frequency counts of its words (one row a word).
 
 Defined results: null is the empty text, with 0 words and no labels; a repeated row gives a
@@ -63,7 +65,7 @@ def templates() -> list[dict]:
     for label, text in TEMPLATES:
         words = sorted(set(text.split()))
         need = -(-int(CONTAINMENT * 100) * len(words) // 100)
-        found.append({"label": label, "words": words, "need": need})
+        found.append({"label": label, "words": words, "need": need, "length": len(text.split())})
     return found
 
 
@@ -85,12 +87,13 @@ def scan(df: DataFrame, text: str = "text", order: list[str] | None = None) -> D
     """df with n_words, n_base, first_word, last_word, base_labels, labels, score."""
     order = order if order is not None else word_order(df, text)
     rank = {w: i for i, w in enumerate(order)}
-    rules, prefixes = [], set()
+    rules, lengths, prefixes = [], [], set()
     for t in templates():
         words = sorted(t["words"], key=rank.__getitem__)
         prefix = words[: len(words) - t["need"] + 1]
         prefixes.update(prefix)
         rules.append((t["label"], words, prefix, t["need"]))
+        lengths.append(t["length"])
     ordered = _array(order)
 
     def containment(line: Column) -> Column:
@@ -107,6 +110,20 @@ def scan(df: DataFrame, text: str = "text", order: list[str] | None = None) -> D
 
         return F.flatten(F.transform(F.array(held), lambda h: F.array_compact(F.array(*[one(h, *r) for r in rules]))))
 
+    def wrapped(every: Column) -> Column:
+        """(label, score) of the templates that consecutive words of a text contain."""
+
+        def one(held: Column, label: str, words: list[str], prefix: list[str], need: int, length: int) -> Column:
+            own = _array(words)
+            may = (F.size(F.array_intersect(held, own)) >= need) & F.arrays_overlap(held, _array(prefix))
+            starts = F.filter(F.sequence(F.lit(1), F.size(every)), lambda i: F.array_contains(own, F.element_at(every, i)))
+            shared = F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(own, F.slice(every, i, length)))))
+            return F.when(may, F.struct(F.lit(label).alias("label"), (shared / F.lit(float(len(words)))).alias("score")))
+
+        held = F.array(F.array_intersect(ordered, every))
+        found = F.flatten(F.transform(held, lambda h: F.array_compact(F.array(*[one(h, *r, n) for r, n in zip(rules, lengths)]))))
+        return F.filter(found, lambda h: h["score"] >= CONTAINMENT - 1e-9)
+
     base = df.withColumn("_low", _lowered(F.col(text)))
     base = base.withColumn("_norm", F.trim(F.regexp_replace("_low", SEPARATORS, " ")))
     base = base.withColumn("_list", F.when(F.col("_norm") == "", F.array().cast("array<string>")).otherwise(F.split("_norm", " ")))
@@ -114,6 +131,8 @@ def scan(df: DataFrame, text: str = "text", order: list[str] | None = None) -> D
     may = F.arrays_overlap(F.col("_list"), _array(sorted(prefixes)))
     none = F.array().cast("array<struct<label:string,score:double>>")
     base = base.withColumn("_hits", F.when(may, F.flatten(F.transform(F.split("_low", "\n"), containment))).otherwise(none))
+    across = F.when(may & F.contains(F.col("_low"), F.lit("\n")), wrapped(F.col("_list"))).otherwise(none)
+    base = base.withColumn("_hits", F.concat("_hits", across))
     # each word between two spaces of its own, so that neighbouring places do not share one
     any_phrase = F.lit(False)
     for p in PHRASES:

@@ -238,3 +238,14 @@ def test_variety_is_that_of_the_whole_text():
     words = [f"{i * i % 97 * (i // 3000)}".encode() for i in range(9000)]
     runs = [len(set(words[i : i + 4000])) / 4000 for i in range(5001)]
     assert quality.variety(words) == pytest.approx(sum(runs) / len(runs))
+
+
+def test_license_notices_wrapped_over_lines(spark):
+    mit = "# Permission is hereby granted, free of\n# charge, to any person obtaining a copy\n# of this software and associated\n# documentation files"
+    gpl = "some words\nThis program is free software: you can redistribute\n * it and/or modify it under the terms\n * of the GNU General Public\n\n * License as published"
+    far = "permission is granted\n" + "other words here\n" * 9 + "hereby free of charge to any\n" + "other words here\n" * 9 + "person obtaining a copy of this software and associated documentation files"
+    rows = [(1, mit), (2, gpl), (3, far), (4, "released under\nthe"), (5, "\n"), (6, "released\nunder the MIT")]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == ("mit", 1.0) and got[2] == ("gpl,lgpl", 1.0)  # most words of the lgpl are the same
+    assert got[3] == got[4] == got[5] == ("", 0.0)
+    assert got[6] == ("mit", 0.8)
