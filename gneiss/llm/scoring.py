@@ -1,30 +1,34 @@
-"""LM scoring by a probabilistic suffix tree.
+"""LM scoring by a probabilistic suffix tree over words.
 
-Tokens are words (`[^\\x20\\x09-\\x0D]+`, A-Z lower-cased) and one end. The tree predicts a text symbol by symbol:
-a word is spelled by its UTF-8 bytes and closed by a space symbol, the end is a symbol of its own, so
-every token sequence, with words never seen as well, has a proper probability.
+Tokens are words (`[^\\x20\\x09-\\x0D]+`, A-Z lower-cased) and one end. The tree's symbols are these tokens; contexts are the
+last 0 to CONTEXT words (a text begins after two ends), so a context grows past a word.
 
-Learning: the symbols of all texts are seen in windows of DEPTH + 1 (windows do not cross texts: a text begins with
-DEPTH end symbols). Contexts of 0 to DEPTH symbols are suffixes of windows. A context is looked at if training has it
-MIN_COUNT times, at any size of the corpus, so what is learned grows with the corpus. It is retained if its
-next-symbol distribution differs from its parent's (the context without its first symbol): count * KL(child || parent)
-above DIVERGENCE nats. Each distribution is smoothed with its parent's: (n(c, x) + ESCAPE * distinct(c) * P(x | parent)) /
-(n(c) + ESCAPE * distinct(c)); below the root stands a uniform distribution over all 258 symbols.
+Learning. The root has N training tokens of V kinds. A longer context is looked at if training has it MIN_COUNT times, at
+any size of the corpus, and its suffix is looked at too. It is retained if its next-symbol distribution differs from its
+parent's (the context without its first word): count * KL(child || parent) above DIVERGENCE nats; two words that occur more than
+HOT times are retained whatever follows them. Every distribution is smoothed with its parent's:
+(n(c, x) + m * P(x | parent)) / (n(c) + m), with m = ESCAPE * n(c) ** GROWTH (V for the root). Below the root stands a
+spelling model, so words never seen have a probability too: it spells a word by its UTF-8 bytes and a closing space,
+by contexts of up to SPELLED bytes of the training words (each distinct word once); contexts of two and more bytes are hashed to CELLS cells,
+which bounds that model whatever the corpus holds.
 
-The tree is never in one place. Texts are dealt into groups in reading order; each group's distinct windows, with their training
-counts, are written as a table, dealt into shards by the last TOP symbols of the context. A shard has every window of its
-contexts of TOP or more symbols, so it grows its part of the tree and gives each window its log. Shards get more as the
-input grows. Shorter contexts are one table of the distinct runs of TOP symbols, which the alphabet bounds and not the corpus.
+Scoring. Each token takes the distribution of the longest retained context before it.
 
-Scoring: each symbol takes the distribution of the longest retained context before it. A group gets its distinct windows
-back with their logs and sums them over its texts.
+At scale. Texts are packed into groups of GROUP characters, written once as a table that also holds their ids. A group's distinct words and
+word pairs go to shards, sorted and as differences, with their training counts; a shard adds up the groups' counts and answers
+each group in the order of its question, so words and pairs do not travel back. With these answers a
+group knows its words, its pairs and so the chances after one word; then it asks for three words in a row where training has the first two
+MIN_COUNT times. Shards are chosen by the whole pair, or by the two words of the context (by the third too if the context is hot), so
+no frequent word meets in one task. There are more groups and shards as the input grows; the spelling model
+is the only broadcast. The divergence of one-word contexts is summed by the groups: each pair counts in the first group that has it.
 
-Base: a smoothed unigram model with exact corpus counts. Each task sends every distinct token once with
-the list of its texts, so a frequent token is one row a task; the counts meet there and partial sums
-go back to the texts. Nothing of the vocabulary is held by one task or the driver.
+Base: log10((c + 0.5) / (N + 0.5 * (V + 1))) with the exact corpus counts from the same answers. Words are counted as
+text; pairs and triples are told apart by 56 and 80 bits of hashes.
 
 Defined results: null text is the empty text (one token, the end); repeated rows are scored each, null
-ids are held in; without training texts N = V = 0 and the tree is uniform; an empty table gives no rows.
+ids are held in; ties do not occur, as scores do not depend on an order; very long texts are a group of their own and whole;
+without training texts N = V = 0 and words are spelled by a uniform model; an empty table gives no rows; further columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -34,470 +38,537 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from gneiss.session import materialize, table
 
-DEPTH = 6
+CONTEXT = 2
 MIN_COUNT = 2
-TOP = 3  # symbols that a shard's contexts have in common
 DIVERGENCE = 8.0
-ESCAPE = 6.0
+ESCAPE, GROWTH = 5.0, 0.7
+HOT = 1 << 20  # occurrences of a context whose words are dealt over shards
+SPELLED = 3
+CELLS = {2: 1 << 14, 3: 1 << 15}
 HELD_OUT = 1
 FOLDS = 5
-END, SPACE, SYMBOLS = 256, 0x20, 257
-BITS = 9  # a symbol in a window
-SYMBOLS_AT_ONCE = 1 << 20
+END, SPACE, BITS = 256, 0x20, 9
 GROUP = 1 << 23  # characters of a group of texts
-SHARD = 1 << 22  # characters of all texts for which there is one shard more
+SHARD = 1 << 23  # characters of all texts for which there is one shard more
 LEAST_SHARDS = 64
-TASK_ROWS = 2048  # texts whose tokens are sent together
+#: Odd multipliers of a 64-bit finaliser.
+MIX_1, MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words(text: str) -> list[bytes]:
+def words(text: str | None) -> list[bytes]:
     """bytes.lower() and bytes.split() know exactly A-Z and \\x20, \\x09-\\x0D."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
-
-
-def symbols(text: str) -> np.ndarray:
-    """A text's symbols: words closed by spaces, then the end."""
-    own = words(text)
-    spelled = np.frombuffer(b" ".join(own) + b" " if own else b"", np.uint8).astype(np.int16)
-    return np.append(spelled, np.int16(END))
-
-
-def _stream(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of many texts, each after DEPTH ends, and the text of each symbol (-1: lead)."""
-    lead, parts, owners = np.full(DEPTH, END, np.int16), [], []
-    for k, text in enumerate(texts):
-        own = symbols(text)
-        parts += [lead, own]
-        owners += [np.full(DEPTH, -1, np.int32), np.full(len(own), k, np.int32)]
-    return np.concatenate(parts), np.concatenate(owners)
-
-
-def _windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All windows of DEPTH + 1 symbols as numbers, the last symbol being the lowest, and the text of each."""
-    stream, owner = _stream(texts)
-    wide = stream.astype(np.uint64)
-    n = max(0, len(wide) - DEPTH)
-    packed = np.zeros(n, np.uint64)
-    for k in range(DEPTH + 1):
-        packed = (packed << np.uint64(BITS)) | wide[k : k + n]
-    owner = owner[DEPTH:]
-    real = owner >= 0
-    return packed[real], owner[real]
-
-
-def windows(texts: list[str]) -> np.ndarray:
-    return _windows(texts)[0]
-
-
-def _grouped(texts: list[str], size: int) -> Iterator[list[str]]:
-    group, n = [], 0
-    for t in texts:
-        group.append(t)
-        n += len(t)
-        if n >= size:
-            yield group
-            group, n = [], 0
-    if group:
-        yield group
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list, list]]:
-    """(row, held_out, text) in groups of GROUP characters: name, rows, held_out, texts. Where a group ends does not depend on batches."""
-    rows, held, texts, n = [], [], [], 0
-    for batch in batches:
-        for row, out, text in (x for at in range(0, batch.num_rows, 256) for x in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns))):
-            rows.append(row)
-            held.append(out)
-            texts.append(text or "")
-            n += len(texts[-1])
-            if n >= GROUP:
-                yield rows[0], rows, held, texts
-                rows, held, texts, n = [], [], [], 0
-    if rows:
-        yield rows[0], rows, held, texts
-
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * MIX_1
+    x = (x ^ (x >> np.uint64(33))) * MIX_2
+    return x ^ (x >> np.uint64(33))
+
+
+def _squeeze(x: np.ndarray) -> bytes:
+    """An array, byte by byte place and compressed."""
+    x = np.ascontiguousarray(x)
+    planes = x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+    return len(x).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True) if len(x) else bytes(8)
+
+
+def _spread(packed: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(packed[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.empty(0, kind)
+    planes = pa.decompress(packed[8:], decompressed_size=n * size, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(size, n).T.copy().view(kind).ravel()
+
+
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values, and the place of each value among them."""
+    order = np.argsort(codes)
+    held = codes[order]
+    first = np.ones(len(held), bool)
+    first[1:] = held[1:] != held[:-1]
+    place = np.empty(len(held), np.int64)
+    place[order] = np.cumsum(first) - 1
+    return held[first], place
+
+
+# Spelling: the chance of a word by its bytes
+
+
+def _runs(spelled: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of SPELLED + 1 bytes (the last one lowest) that end at each byte of each word and its space, and the word of each."""
+    lead = np.full(SPELLED, END, np.uint64)
+    sizes = np.array([len(w) + 1 for w in spelled], np.int64)
+    whole = np.frombuffer(b" ".join(spelled) + b" ", np.uint8).astype(np.uint64) if spelled else np.empty(0, np.uint64)
+    own = np.repeat(np.arange(len(spelled)), sizes)
+    stream = np.full(len(whole) + SPELLED * len(spelled), END, np.uint64)
+    at = np.arange(len(whole)) + SPELLED * (own + 1)
+    stream[at] = whole
+    stream = np.concatenate([lead, stream])
+    out = np.zeros(len(whole), np.uint64)
+    for k in range(SPELLED, -1, -1):
+        out = (out << np.uint64(BITS)) | stream[at + SPELLED - k]
+    return out, own
+
+
+def _cells(runs: np.ndarray, depth: int) -> np.ndarray:
+    """The number of each run's context of `depth` bytes, in a space of its own for each depth."""
+    context = (runs >> np.uint64(BITS)) & np.uint64((1 << BITS * depth) - 1)
+    if depth in CELLS:
+        context = ((context * STEP) >> np.uint64(40)) % np.uint64(CELLS[depth])
+    return context.astype(np.int64) + depth * (1 << 20)
+
+
+def spelling_counts(known: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(context and byte, count) over distinct words, for contexts of all depths."""
+    runs, _ = _runs(known)
+    keys = np.concatenate([_cells(runs, d) * 256 + (runs & np.uint64(255)).astype(np.int64) for d in range(SPELLED + 1)])
+    found, place = _distinct(keys)
+    return found, np.bincount(place, minlength=len(found))
+
+
+class Spelling:
+    """The spelling model of counts: (context * 256 + byte, sorted) and how often."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys, self.counts = keys, counts
+        self.cells, place = _distinct(keys >> 8)
+        self.total = np.bincount(place, counts, len(self.cells))
+        self.kinds = np.bincount(place, minlength=len(self.cells)).astype(float)
+
+    @staticmethod
+    def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(keys):
+            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return at, keys[at] == wanted
+
+    def chance(self, spelled: list[bytes]) -> np.ndarray:
+        """P(word) of each word; the end, which is not spelled, has 1 / 257."""
+        if not spelled:
+            return np.empty(0)
+        runs, own = _runs(spelled)
+        runs, place = _distinct(runs)
+        p = np.full(len(runs), 1 / 256)
+        for depth in range(SPELLED + 1):
+            cell = _cells(runs, depth)
+            at, there = self._find(self.cells, cell)
+            if not len(self.cells):
+                break
+            n_at, seen = self._find(self.keys, cell * 256 + (runs & np.uint64(255)).astype(np.int64))
+            n = np.where(seen, self.counts[n_at], 0)
+            p = np.where(there, (n + self.kinds[at] * p) / (self.total[at] + self.kinds[at]), p)
+        return 256 / 257 * np.exp(np.bincount(own, np.log(p)[place], len(spelled)))
+
+
+# Groups of texts
+
+
+def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, id, held_out, text) -> a row a group: its distinct words, and the texts as numbers of words, 0 being the end."""
+    ids, held, sizes, parts, number, size, name, kind = [], [], [], [], None, 0, None, None
+
+    def start():
+        nonlocal ids, held, sizes, parts, number, size, name
+        ids, held, sizes, parts, size, name = [], [], [], [], 0, None
+        number = defaultdict()
+        number.default_factory = number.__len__
+        number[b""]
 
-def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, sorted, and their summed counts."""
-    if not len(keys):
-        return keys, counts
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[start], np.add.reduceat(counts[order], start)
+    def out():
+        said = b" ".join(list(number)[1:])
+        tokens = np.concatenate(parts)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([name], pa.int64()),
+                pa.array([ids], pa.list_(kind)),
+                pa.array([_squeeze(np.array(held, np.uint8))], pa.binary()),
+                pa.array([_squeeze(np.array(sizes, np.uint32))], pa.binary()),
+                pa.array([_squeeze(np.frombuffer(said, np.uint8))], pa.binary()),
+                pa.array([_squeeze(tokens)], pa.binary()),
+                pa.array([len(held) - sum(held)], pa.int64()),
+                pa.array([size], pa.int64()),
+            ],
+            names=["group", "ids", "held", "sizes", "words", "tokens", "ends", "size"],
+        )
 
+    start()
+    for batch in batches:
+        kind = batch.column(1).type
+        for at in range(0, batch.num_rows, 256):
+            for row, own_id, out_of_it, text in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                name = row if name is None else name
+                own = words(text)
+                ids.append(own_id)
+                held.append(bool(out_of_it))
+                sizes.append(len(own) + 1)
+                parts.append(np.fromiter(map(number.__getitem__, [*own, b""]), np.uint32, len(own) + 1))
+                size += len(text or "") + 1
+                if size >= GROUP:
+                    yield out()
+                    start()
+    if ids:
+        yield out()
 
-def _low(symbols: int) -> np.uint64:
-    return np.uint64((1 << BITS * symbols) - 1)
 
+class Group:
+    """A packed group: tokens and the text of each, distinct words and distinct pairs with their places among shards."""
+
+    def __init__(self, row: dict, shards: int):
+        self.shards = np.uint64(shards)
+        said = _spread(row["words"], np.uint8).tobytes()
+        self.words = [b"", *(said.split(b" ") if said else [])]
+        self.tokens = _spread(row["tokens"], np.uint32).astype(np.int64)
+        sizes = _spread(row["sizes"], np.uint32).astype(np.int64)
+        self.held = _spread(row["held"], np.uint8).astype(bool)
+        self.text = np.repeat(np.arange(len(sizes)), sizes)
+        self.trained = ~self.held[self.text]
+        self.first = np.zeros(len(self.tokens), bool)
+        self.first[np.cumsum(sizes)[:-1]] = True
+        self.first[:1] = True
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
+        before = np.empty_like(self.tokens)
+        before[1:] = self.tokens[:-1]
+        before[self.first] = 0
+        pairs, self.pair = _distinct(before << 32 | self.tokens)
+        self.left, self.right = pairs >> 32, pairs & 0xFFFFFFFF
+        self.keys = _mix(_mix(self.hashes[self.left] + STEP) + self.hashes[self.right]) >> np.uint64(8)
+        self.word_counts = np.bincount(self.tokens[self.trained], minlength=len(self.words))
+        self.pair_counts = np.bincount(self.pair[self.trained], minlength=len(pairs))
+        self.context_shard = ((self.hashes >> np.uint64(20)) % self.shards).astype(np.int64)
+        self.word_shard = self.context_shard.copy()
+        self.word_shard[0] = -1  # the end is counted beside
+        self.pair_shard = ((self.keys >> np.uint64(20)) % self.shards).astype(np.int64)
+
+    def context_order(self) -> np.ndarray:
+        """Words, and the end before a text, that may be contexts."""
+        used = np.zeros(len(self.words), bool)
+        used[self.left] = True
+        order = np.lexsort((self.hashes, self.context_shard))
+        return order[(used & (self.known >= MIN_COUNT))[order]]
+
+    def word_order(self) -> np.ndarray:
+        order = np.argsort(self.word_shard, kind="stable")
+        return order[1:]  # without the end
+
+    def pair_order(self) -> np.ndarray:
+        return np.lexsort((self.keys, self.pair_shard))
+
+    def triples(self, seen: np.ndarray, ends: int) -> None:
+        """Distinct runs of three tokens of which training has the first two MIN_COUNT times. seen: occurrences of each pair."""
+        n = len(seen)
+        before = np.empty_like(self.pair)
+        before[1:] = self.pair[:-1]
+        before[self.first] = n  # two ends
+        looked = np.append(seen, ends) >= MIN_COUNT
+        self.at = np.flatnonzero(looked[before])
+        codes, place = _distinct(before[self.at] * len(self.words) + self.tokens[self.at])
+        self.triple = place
+        self.last_pair = np.empty(len(codes), np.int64)
+        self.last_pair[place] = self.pair[self.at]
+        self.context, self.next = codes // len(self.words), codes % len(self.words)
+        self.triple_counts = np.bincount(place[self.trained[self.at]], minlength=len(codes))
+        self.context_seen = np.append(seen, ends)[self.context]
+        self.context_keys = (np.append(self.keys, np.uint64(0)) >> np.uint64(8))[self.context]
+        short = (self.hashes >> np.uint64(32)).astype(np.uint32)
+        self.next_keys = short[self.next]
+        dealt = np.where(self.context_seen > HOT, _mix(self.context_keys + self.hashes[self.next]), _mix(self.context_keys))
+        self.triple_shard = ((dealt >> np.uint64(20)) % self.shards).astype(np.int64)
+
+    def triple_order(self) -> tuple[np.ndarray, np.ndarray]:
+        """The order of triples, and where a shard's context begins in it."""
+        order = np.lexsort((self.next_keys, self.context_keys, self.triple_shard))
+        keys, shard = self.context_keys[order], self.triple_shard[order]
+        first = np.ones(len(order), bool)
+        first[1:] = (keys[1:] != keys[:-1]) | (shard[1:] != shard[:-1])
+        return order, np.flatnonzero(first)
+
+
+def _differences(keys: np.ndarray) -> bytes:
+    return _squeeze(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _whole(packed: bytes) -> np.ndarray:
+    return np.cumsum(_spread(packed, np.uint64), dtype=np.uint64)
+
+
+def _parts(*ordered: np.ndarray) -> Iterator[tuple]:
+    """Each shard that occurs, and its part of each list of ascending shard numbers."""
+    shards = sorted(set().union(*(np.unique(x).tolist() for x in ordered)))
+    ends = [np.searchsorted(x, [*shards, np.iinfo(np.int64).max]).tolist() for x in ordered]
+    for i, shard in enumerate(shards):
+        yield shard, *(slice(e[i], e[i + 1]) for e in ends)
+
+
+QUESTION = "shard int, group long, one binary, two binary, three binary, four binary"
+ANSWER = "shard int, group long, step int, one binary, two binary, total long, kinds long, spelled binary, times binary"
+
+
+def _questions(group: int, rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], pa.int32()), pa.array([group] * len(rows), pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+        names=["shard", "group", "one", "two", "three", "four"],
+    )
 
-def _count(shards: int):
-    """(shard, group, windows, counts): each group's distinct windows as differences, and how often training has them (0: held out only).
 
-    Shard -1 has the runs of TOP symbols instead, so that nothing else is read for them."""
+def _asking(shards: int):
+    """Words and pairs of each group with their training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, _, held, texts in _groups(batches):
-            keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-            for out in (False, True):
-                for part in _grouped([t for t, h in zip(texts, held) if h == out], SYMBOLS_AT_ONCE):
-                    own, n = np.unique(windows(part), return_counts=True)
-                    keys, counts = _merged(np.concatenate([keys, own]), np.concatenate([counts, n * (not out)]))
-            last = (keys >> np.uint64(BITS)) & _low(TOP)
-            shard = ((last * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(shards)
-            order = np.argsort(shard, kind="stable")
-            names, first = np.unique(shard[order], return_index=True)
-            ends = np.append(first[1:], len(order))
-            parts = [order[i:j] for i, j in zip(first, ends)]
-            short, short_n = _merged(keys & _low(TOP), counts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.append(-1, names).astype(np.int32)),
-                    pa.array(np.full(len(names) + 1, group, np.int64)),
-                    pa.array([np.diff(k, prepend=np.uint64(0)).tobytes() for k in (short, *(keys[p] for p in parts))], pa.binary()),
-                    pa.array([n.astype(np.int32).tobytes() for n in (short_n, *(counts[p] for p in parts))], pa.binary()),
-                ],
-                names=["shard", "group", "windows", "counts"],
-            )
-
+        for batch in batches:
+            for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
+                g = Group(row, shards)
+                order, pairs = g.word_order(), g.pair_order()
+                out = []
+                for k, of_words, of_pairs in _parts(g.word_shard[order], g.pair_shard[pairs]):
+                    own, two = order[of_words], pairs[of_pairs]
+                    said = np.frombuffer(b" ".join([g.words[i] for i in own.tolist()]), np.uint8)
+                    out.append((k, _squeeze(said), _squeeze(g.word_counts[own].astype(np.uint32)), _differences(g.keys[two]), _squeeze(g.pair_counts[two].astype(np.uint32))))
+                yield _questions(row["group"], out)
     return run
 
 
-def _unpacked(differences: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(differences, np.uint64), dtype=np.uint64)
+def _split(x: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    return np.split(x, np.cumsum(sizes)[:-1])
+
+
+def _answers(shard: int, groups: list[int], step: int, one: list[bytes], two: list[bytes], total: int = 0, kinds: int = 0, spelled: bytes = b"", times: bytes = b"") -> pa.Table:
+    rest = len(groups) - 1
+    return pa.table(
+        {
+            "shard": pa.array([shard] * len(groups), pa.int32()),
+            "group": pa.array(groups, pa.int64()),
+            "step": pa.array([step] * len(groups), pa.int32()),
+            "one": pa.array(one, pa.binary()),
+            "two": pa.array(two, pa.binary()),
+            "total": pa.array([total] + [0] * rest, pa.int64()),
+            "kinds": pa.array([kinds] + [0] * rest, pa.int64()),
+            "spelled": pa.array([spelled] + [None] * rest, pa.binary()),
+            "times": pa.array([times] + [None] * rest, pa.binary()),
+        }
+    )
 
 
-def _top_count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(w, n): the last TOP symbols of the windows of a task."""
-    keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+def _counting(rows: pa.Table) -> pa.Table:
+    """Corpus counts of a shard's words and pairs for each group that asks; a pair's lowest bit marks the first group that trains on it.
+
+    The shard's first row also has its training tokens, their kinds, and what these words add to the spelling model."""
+    rows = rows.sort_by("group")
+    groups, shard = rows.column("group").to_pylist(), rows.column("shard")[0].as_py()
+    counts: dict[bytes, int] = defaultdict(int)
+    asked = []
+    for said, n in zip(rows.column("one").to_pylist(), rows.column("two").to_pylist()):
+        own = _spread(said, np.uint8).tobytes().split(b" ") if said != bytes(8) else []
+        asked.append(own)
+        for w, k in zip(own, _spread(n, np.uint32).tolist()):
+            counts[w] += k
+    known = [w for w, n in counts.items() if n]
+    spelled, times = spelling_counts(known)
+    parts = [_whole(x) for x in rows.column("three").to_pylist()]
+    n = np.concatenate([_spread(x, np.uint32) for x in rows.column("four").to_pylist()]).astype(np.int64)
+    keys, place = _distinct(np.concatenate(parts))
+    total = np.bincount(place, n, len(keys)).astype(np.int64)
+    first = np.zeros(len(n), np.int64)
+    trains = np.flatnonzero(n)
+    least = np.full(len(keys), -1)
+    least[place[trains][::-1]] = trains[::-1]  # the last one written stays
+    first[least[least >= 0]] = 1
+    back = _split(total[place] * 2 + first, [len(x) for x in parts])
+    one = [_squeeze(np.fromiter(map(counts.__getitem__, own), np.uint64, len(own))) for own in asked]
+    return _answers(shard, groups, 1, one, [_squeeze(x.astype(np.uint64)) for x in back], sum(counts.values()), len(known), _squeeze(spelled.astype(np.uint64)), _squeeze(times.astype(np.uint64)))
+
+
+def _unpacked_spelling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n): a task's part of the spelling model."""
+    keys, counts = [], []
     for batch in batches:
-        for packed, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            keys, counts = _merged(np.concatenate([keys, _unpacked(packed)]), np.concatenate([counts, np.frombuffer(n, np.int32)]))
-    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["w", "n"])
-
-
-def deepen(keys: np.ndarray, counts: np.ndarray, depths: range, p: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each window: the smoothed chance of its last symbol after the longest context looked at, and after the longest retained one.
-
-    p and best are those of the depth before; the windows must be all that contexts of these depths have."""
-    for depth in depths:
-        pair, at, place = np.unique(keys & _low(depth + 1), return_index=True, return_inverse=True)
-        n = np.bincount(place, counts, len(pair))
-        above = pair >> np.uint64(BITS)
-        own = np.cumsum(np.append(False, above[1:] != above[:-1])) if len(above) else np.empty(0, np.int64)
-        total, distinct = np.bincount(own, n)[own], np.bincount(own, n > 0)[own]
-        below, weight = p[at], ESCAPE * distinct
-        with np.errstate(divide="ignore", invalid="ignore"):
-            grown = (n + weight * below) / (total + weight)
-            gain = np.bincount(own, np.where(n > 0, n * np.log(n / total / below), 0))[own]
-        looked = total >= (MIN_COUNT if depth else 1)
-        keep = looked & ((gain > DIVERGENCE) | (depth == 0))
-        p = np.where(looked[place], grown[place], p)
-        best = np.where(keep[place], grown[place], best)
-    return p, best
-
-
-def _grow_shard(top):
-    """(group, windows, logs) of the windows of a shard, given the chances of the contexts below TOP symbols."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        parts = [_unpacked(x) for x in rows.column("windows").to_pylist()]
-        n = np.concatenate([np.frombuffer(x, np.int32) for x in rows.column("counts").to_pylist()])
-        keys, place = np.unique(np.concatenate(parts), return_inverse=True)
-        shorter, p, best = top.value
-        at = np.searchsorted(shorter, keys & _low(TOP))
-        _, best = deepen(keys, np.bincount(place, n), range(TOP, DEPTH + 1), p[at], best[at])
-        logs = np.log10(best).astype(np.float32)[place]
-        ends = np.cumsum([len(x) for x in parts])
-        return pa.table({"group": rows.column("group"), "windows": rows.column("windows"), "logs": pa.array([x.tobytes() for x in np.split(logs, ends[:-1])], pa.binary())})
+        for spelled, times in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            keys.append(_spread(spelled, np.uint64).astype(np.int64))
+            counts.append(_spread(times, np.uint64))
+    found, place = _distinct(np.concatenate(keys)) if keys else (np.empty(0, np.int64), np.empty(0, np.int64))
+    n = np.bincount(place, np.concatenate(counts), len(found)).astype(np.int64) if keys else np.empty(0, np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
+
+
+class Scored(Group):
+    """A group with the answers to its first question: counts, and the chances after no and one word."""
+
+    def __init__(self, row: dict, answers: list[dict], shards: int, model):
+        super().__init__(row, shards)
+        spelling, total, kinds, ends = model
+        self.ends = ends
+        self.known = np.zeros(len(self.words), np.int64)
+        mine = sorted((a for a in answers if a["step"] == 1), key=lambda a: a["shard"])
+        blank = np.empty(0, np.uint64)
+        self.known[self.word_order()] = np.concatenate([blank, *(_spread(a["one"], np.uint64) for a in mine)]).astype(np.int64)
+        self.known[0] = ends
+        told = np.empty(len(self.left), np.int64)
+        told[self.pair_order()] = np.concatenate([blank, *(_spread(a["two"], np.uint64) for a in mine)]).astype(np.int64)
+        self.pair_known, self.owned = told >> 1, (told & 1).astype(bool)
+        spelled = np.append(1 / 257, spelling.chance(self.words[1:]))
+        self.root = (self.known + max(1, kinds) * spelled) / (total + max(1, kinds))
+        self.after = smoothed(self.pair_known, self.known[self.left], self.root[self.right])
+
+
+def smoothed(n: np.ndarray, seen: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """Chances after contexts with `seen` occurrences; those of the parent where too few."""
+    weight = ESCAPE * np.maximum(seen, 1) ** GROWTH
+    return np.where(seen >= MIN_COUNT, (n + weight * parent) / (seen + weight), parent)
+
+
+def _divergence(n: np.ndarray, seen: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """Each symbol's part of count * KL."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(n > 0, n * np.log(n / seen / parent), 0.0)
+
+
+def _framed(parts: list[bytes]) -> bytes:
+    return b"".join(len(x).to_bytes(8, "little") + x for x in parts)
+
+
+def _unframed(whole: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(whole):
+        n = int.from_bytes(whole[at : at + 8], "little")
+        out.append(whole[at + 8 : at + 8 + n])
+        at += 8 + n
+    return out
+
+
+def _asking_again(shards: int, model):
+    """What a group's own pairs add to the divergence of words, and its triples with their training counts and, for each
+    context, the sum of the logs of their chances after one word."""
+
+    def run(answers: pa.Table, packed: pa.Table) -> pa.Table:
+        g = Scored(packed.to_pylist()[0], answers.to_pylist(), shards, model.value)
+        gain = np.bincount(g.left[g.owned], _divergence(g.pair_known, g.known[g.left], g.root[g.right])[g.owned], len(g.words))
+        own = g.context_order()
+        g.triples(g.pair_known, g.ends)
+        triples, starts = g.triple_order()
+        logs = g.triple_counts * np.log(g.after[g.last_pair])
+        sums = np.add.reduceat(logs[triples], starts) if len(starts) else np.empty(0)
+        heads, ends = triples[starts], np.append(starts, len(triples))
+        rows = []
+        for k, of_words, of_heads in _parts(g.context_shard[own], g.triple_shard[heads]):
+            mine = own[of_words]
+            at = triples[ends[of_heads.start] : ends[of_heads.stop]]
+            asked = (_differences(g.context_keys[heads[of_heads]]), _squeeze(np.diff(ends[of_heads.start : of_heads.stop + 1]).astype(np.uint32)), _squeeze(sums[of_heads].astype(np.float32)))
+            rows.append((k, _differences(g.hashes[mine]), _squeeze(gain[mine].astype(np.float32)), _framed(asked), _framed([_squeeze(g.next_keys[at]), _squeeze(g.triple_counts[at].astype(np.uint32))])))
+        return pa.Table.from_batches([_questions(packed.column("group")[0].as_py(), rows)])
 
     return run
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(group, rows, sizes, size, texts): a group's texts in one compressed piece."""
-    for group, rows, _, texts in _groups(batches):
-        coded = [t.encode("utf-8", "surrogatepass") for t in texts]
-        whole = b"".join(coded)
-        sizes = np.array([len(c) for c in coded], np.int64).tobytes()
-        piece = pa.compress(whole, codec="zstd", asbytes=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([group], pa.int64()), pa.array([np.array(rows, np.int64).tobytes()], pa.binary()), pa.array([sizes], pa.binary()), pa.array([len(whole)], pa.int64()), pa.array([piece], pa.binary())],
-            names=["group", "rows", "sizes", "size", "texts"],
+def _deciding(rows: pa.Table) -> pa.Table:
+    """Which of a shard's contexts are retained, and how often training has its triples, for each group that asks."""
+    groups, shard = rows.column("group").to_pylist(), rows.column("shard")[0].as_py()
+    own = [_whole(x) for x in rows.column("one").to_pylist()]
+    gain = np.concatenate([_spread(x, np.float32) for x in rows.column("two").to_pylist()])
+    keys, place = _distinct(np.concatenate(own))
+    retained = (np.bincount(place, gain, len(keys)) > DIVERGENCE)[place]
+    contexts, sizes, sums = zip(*(_unframed(x) for x in rows.column("three").to_pylist()))
+    following, counts = zip(*(_unframed(x) for x in rows.column("four").to_pylist()))
+    heads = [_whole(x) for x in contexts]
+    held, head = _distinct(np.concatenate(heads))
+    of_head = np.concatenate([_spread(x, np.uint32) for x in sizes]).astype(np.int64)
+    parts = [_spread(x, np.uint32) for x in following]
+    context = np.repeat(head, of_head)
+    n = np.concatenate([_spread(x, np.uint32) for x in counts]).astype(np.int64)
+    codes, triple = _distinct(context << 32 | np.concatenate(parts).astype(np.int64))
+    total = np.bincount(triple, n, len(codes)).astype(np.int64)
+    seen = np.bincount(codes >> 32, total, len(held))
+    some = total > 0
+    gain = np.bincount(codes[some] >> 32, total[some] * np.log(total[some] / seen[codes[some] >> 32]), len(held))
+    gain -= np.bincount(head, np.concatenate([_spread(x, np.float32) for x in sums]), len(held))
+    kept = (gain > DIVERGENCE)[head]
+    back = zip(_split(total[triple], [len(x) for x in parts]), _split(kept, [len(x) for x in heads]))
+    one = [_squeeze(x.astype(np.uint8)) for x in _split(retained, [len(x) for x in own])]
+    return _answers(shard, groups, 2, one, [_framed([_squeeze(t.astype(np.uint32)), _squeeze(k.astype(np.uint8))]) for t, k in back])
+
+
+def _scoring(shards: int, model):
+    """The scores of a group's texts."""
+
+    def run(answers: pa.Table, packed: pa.Table) -> pa.Table:
+        told = answers.to_pylist()
+        g = Scored(packed.to_pylist()[0], told, shards, model.value)
+        _, total, kinds, _ = model.value
+        g.triples(g.pair_known, g.ends)
+        triples, starts = g.triple_order()
+        mine = sorted((a for a in told if a["step"] == 2), key=lambda a: a["shard"])
+        retained = np.zeros(len(g.words), bool)
+        retained[g.context_order()] = np.concatenate([np.empty(0, np.uint8), *(_spread(a["one"], np.uint8) for a in mine)]).astype(bool)
+        frames = [_unframed(a["two"]) for a in mine]
+        seen = np.empty(len(triples), np.int64)
+        seen[triples] = np.concatenate([np.empty(0, np.uint32), *(_spread(f[0], np.uint32) for f in frames)])
+        kept = np.concatenate([np.empty(0, np.uint8), *(_spread(f[1], np.uint8) for f in frames)]).astype(bool)
+        whole = np.empty(len(triples), bool)
+        whole[triples] = np.repeat(kept, np.diff(np.append(starts, len(triples))))
+        best = np.where(retained[g.left], g.after, g.root[g.right])
+        deep = smoothed(seen, g.context_seen, g.after[g.last_pair])
+        logs = np.log10(best)[g.pair]
+        logs[g.at] = np.log10(np.where(whole | (g.context_seen > HOT), deep, best[g.last_pair]))[g.triple]
+        base = np.log10(g.known + 0.5) - np.log10(total + 0.5 * (kinds + 1))
+        n = len(g.held)
+        return pa.table(
+            {
+                "id": packed.column("ids").combine_chunks().flatten(),
+                "held_out": g.held,
+                "n_tokens": np.bincount(g.text, minlength=n).astype(np.int64),
+                "n_known": np.bincount(g.text, g.known[g.tokens] > 0, n).astype(np.int64),
+                "base_score": np.bincount(g.text, base[g.tokens], n),
+                "score": np.bincount(g.text, logs, n),
+            }
         )
 
-
-class Slots:
-    """A hash table of distinct windows; only windows that are in it may be looked up."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.shift = np.uint64(64 - (2 * len(keys) + 8).bit_length())
-        home = self._home(keys)
-        order = np.argsort(home, kind="stable")
-        at = np.arange(len(keys))
-        place = np.maximum.accumulate(home[order] - at) + at  # a taken slot moves a window on to the next
-        self.keys = np.full(int(place[-1]) + 1, np.iinfo(np.uint64).max, np.uint64)
-        self.values = np.zeros(len(self.keys), values.dtype)
-        self.keys[place], self.values[place] = keys[order], values[order]
-
-    def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
-    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
-        slot = self._home(keys)
-        wrong = np.flatnonzero(self.keys[slot] != keys)
-        while len(wrong):
-            slot[wrong] += 1
-            wrong = wrong[self.keys[slot[wrong]] != keys[wrong]]
-        return self.values[slot]
-
-
-def _sum(scored: pa.Table, packed: pa.Table) -> pa.Table:
-    """(row, score, n_tokens) of a group's texts by the logs of its windows."""
-    keys = np.concatenate([_unpacked(x) for x in scored.column("windows").to_pylist()])
-    logs = Slots(keys, np.concatenate([np.frombuffer(x, np.float32) for x in scored.column("logs").to_pylist()]))
-    held = packed.to_pylist()[0]
-    whole = pa.decompress(held["texts"], decompressed_size=held["size"], codec="zstd", asbytes=True)
-    ends = np.cumsum(np.frombuffer(held["sizes"], np.int64)).tolist()
-    texts = [whole[i:j].decode("utf-8", "surrogatepass") for i, j in zip([0, *ends], ends)]
-    score, tokens = [], []
-    for part in _grouped(texts, SYMBOLS_AT_ONCE):
-        own, owner = _windows(part)
-        score.append(np.bincount(owner, logs[own], len(part)))
-        last = own & _low(1)
-        tokens.append(np.bincount(owner, (last == SPACE) | (last == END), len(part)))
-    return pa.table({"row": np.frombuffer(held["rows"], np.int64), "score": np.concatenate(score), "n_tokens": np.concatenate(tokens).astype(np.int64)})
-
-
-def tree_scores(placed: DataFrame) -> DataFrame:
-    """(row, score, n_tokens) of (row, held_out, text)."""
-    size = placed.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    counted = materialize(placed.mapInArrow(_count(max(LEAST_SHARDS, size // SHARD)), "shard int, group long, windows binary, counts binary"), "windows")
-    short = counted.where("shard = -1").select("windows", "counts").mapInArrow(_top_count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
-    order = np.argsort(short.column("w").to_numpy())
-    keys, n = short.column("w").to_numpy()[order].astype(np.uint64), short.column("n").to_numpy()[order]
-    uniform = np.full(len(keys), 1.0 / (SYMBOLS + 1))
-    top = placed.sparkSession.sparkContext.broadcast((keys, *deepen(keys, n, range(TOP), uniform, uniform)))
-    scored = counted.where("shard >= 0").groupBy("shard").applyInArrow(_grow_shard(top), "group long, windows binary, logs binary")
-    packed = placed.mapInArrow(_packed, "group long, rows binary, sizes binary, size long, texts binary")
-    return scored.groupBy("group").cogroup(packed.groupBy("group")).applyInArrow(_sum, "row long, score double, n_tokens long")
-
-
-class Tree:
-    """The tree in memory, as grow() makes it of few counts; the shards must give the same scores. Retained contexts. follow[d]: (node of depth d) * width + symbol -> node of depth d + 1 or -1; logs: node * width + symbol -> log10."""
-
-    def __init__(self, alphabet: np.ndarray, follow: list[np.ndarray], state: list[np.ndarray], logs: np.ndarray):
-        self.alphabet, self.follow, self.state, self.logs = alphabet, follow, state, logs
-
-    def score(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros(len(texts))
-        at = 0
-        for group in _grouped(texts, SYMBOLS_AT_ONCE):
-            out[at : at + len(group)] = self._score(group)
-            at += len(group)
-        return out
-
-    def _score(self, texts: list[str]) -> np.ndarray:
-        stream, owner = _stream(texts)
-        width = int(self.alphabet.max()) + 1
-        coded = self.alphabet[stream].astype(np.int64)
-        n = len(coded)
-        best = np.zeros(n, np.int64)  # distribution for the symbol at i: longest retained context that ends at i - 1
-        node = np.zeros(n + 1, np.int64)  # depth-d context that ends before i
-        for depth in range(DEPTH):
-            longer = np.full(n + 1, -1, np.int64)
-            have = node[:-1] >= 0
-            if len(self.follow[depth]):
-                longer[1:][have] = self.follow[depth][node[:-1][have] * width + coded[have]]
-            node = longer
-            known = node[:n] >= 0
-            state = np.where(known, self.state[depth + 1][node[:n]] if len(self.state[depth + 1]) else -1, -1)
-            best = np.where(state >= 0, state, best)
-        real = owner >= 0
-        logs = self.logs[best[real] * width + coded[real]]
-        return np.bincount(owner[real], weights=logs, minlength=len(texts))
-
-
-def grow(level) -> Tree:
-    """The tree of counts that level(depth) gives."""
-    mask = (1 << BITS) - 1
-    _, _, x, n = level(0)
-    alphabet = np.zeros(SYMBOLS, np.int64)  # code 0: symbols never seen in training
-    alphabet[np.unique(x)] = np.arange(1, len(np.unique(x)) + 1)
-    width = int(alphabet.max()) + 1
-    root = np.zeros(width, np.float32)
-    np.add.at(root, alphabet[x], n)
-    distinct = max(1.0, float((root > 0).sum()))
-    uniform = 1.0 / (SYMBOLS + 1)  # unseen symbols share code 0, each with this probability
-    smooth = ((root + ESCAPE * distinct * uniform) / (root.sum() + ESCAPE * distinct)).astype(np.float32)[None, :]
-    before = np.zeros(1, np.int64)
-    kept, logs = [np.zeros(1, np.int64)], [np.log10(smooth)]
-    for depth in range(1, DEPTH + 1):
-        contexts, row, x, n = level(depth)
-        order = np.argsort(contexts, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        contexts = contexts[order]
-        counts = np.zeros((len(contexts), width), np.float32)
-        np.add.at(counts, (place[row], alphabet[x]), n)
-        # a suffix is at least as frequent, so every context has its parent
-        parent = np.searchsorted(before, contexts & ((1 << BITS * (depth - 1)) - 1))
-        grown = np.empty_like(counts)
-        gain = np.zeros(len(contexts))
-        for at in range(0, len(contexts), 8192):
-            c, up = counts[at : at + 8192], smooth[parent[at : at + 8192]]
-            total, weight = c.sum(1, keepdims=True), ESCAPE * (c > 0).sum(1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain[at : at + 8192] = np.where(c > 0, c * np.log(c / total / up), 0).sum(1)
-            grown[at : at + 8192] = (c + weight * up) / (total + weight)
-        keep = gain > DIVERGENCE
-        kept.append(contexts[keep])
-        logs.append(np.log10(grown[keep]))
-        before, smooth = contexts, grown
-        del counts
-    nodes = [k for k in kept]
-    for depth in range(DEPTH, 1, -1):  # prefixes lead to a node, so they must be nodes
-        nodes[depth - 1] = np.union1d(nodes[depth - 1], nodes[depth] >> BITS)
-    follow, state, first = [], [], 0
-    for depth in range(DEPTH + 1):
-        step = np.full(len(nodes[depth]) * width, -1, np.int32)
-        if depth < DEPTH and len(nodes[depth + 1]):
-            above = nodes[depth + 1]
-            step[np.searchsorted(nodes[depth], above >> BITS) * width + alphabet[above & mask]] = np.arange(len(above))
-        follow.append(step)
-        own = np.full(len(nodes[depth]), -1, np.int32)
-        own[np.searchsorted(nodes[depth], kept[depth])] = first + np.arange(len(kept[depth]))
-        first += len(kept[depth])
-        state.append(own)
-    return Tree(alphabet, follow, state, np.concatenate([x.ravel() for x in logs]).astype(np.float32))
+    return run
 
 
 def with_fold(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return docs.withColumn("held_out", F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT, F.lit(False)))
 
 
-def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, first, trained, rows): for each distinct token of a group of texts, its count in training texts and, as 16-bit pairs,
-    the place in the group and the count for each text that has it (a count above 65,535 takes several pairs)."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, TASK_ROWS):
-            part = batch.slice(at, TASK_ROWS)
-            number: defaultdict = defaultdict()
-            number.default_factory = number.__len__
-            ids, sizes = [], []
-            for text in part.column(2).to_pylist():
-                own = list(map(number.__getitem__, words(text or "")))
-                ids.append(np.array(own, np.int64))
-                sizes.append(len(own))
-            key = np.concatenate(ids) * TASK_ROWS + np.repeat(np.arange(len(sizes)), sizes)
-            key, count = np.unique(key, return_counts=True)
-            learns = ~np.array(part.column(1).to_pylist(), bool)
-            trained = np.bincount(key // TASK_ROWS, weights=count * learns[key % TASK_ROWS], minlength=len(number))
-            parts = -(-count // 0xFFFF)
-            last = np.cumsum(parts) - 1
-            pairs = np.empty((int(parts.sum()), 2), np.uint16)
-            pairs[:, 0] = np.repeat(key % TASK_ROWS, parts)
-            pairs[:, 1] = 0xFFFF
-            pairs[last, 1] = count - (parts - 1) * 0xFFFF
-            held = np.bincount(key // TASK_ROWS, weights=parts, minlength=len(number)).astype(np.int64)
-            offsets = np.append(0, np.cumsum(held * 4)).astype(np.int32)
-            packed = pa.Array.from_buffers(pa.binary(), len(number), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs.tobytes())])
-            first = np.full(len(number), part.column(0)[0].as_py(), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(list(number), pa.binary()), pa.array(first), pa.array(trained.astype(np.int64)), packed], names=["token", "first", "trained", "rows"])
-
-
-def _partial(total: int, distinct: int):
-    """(first, logs, known): for each group of texts, the sums over the tokens that a task has seen, one array a group."""
-    scale = np.log10(total + 0.5 * (distinct + 1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-
-        def out():
-            held = list(sums.values())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int64()), pa.array([h[0].tobytes() for h in held], pa.binary()), pa.array([h[1].astype(np.int32).tobytes() for h in held], pa.binary())], names=["first", "logs", "known"]
-            )
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            c = batch.column(1).to_numpy()
-            packed = batch.column(2)
-            offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
-            pairs = np.frombuffer(packed.buffers()[2], np.uint16, (offsets[-1] - offsets[0]) // 2, offsets[0]).reshape(-1, 2)
-            each = np.diff(offsets) // 4
-            groups, group = np.unique(batch.column(0).to_numpy(), return_inverse=True)
-            place = np.repeat(group * TASK_ROWS, each) + pairs[:, 0]
-            n = pairs[:, 1].astype(float)
-            size = len(groups) * TASK_ROWS
-            logs = np.bincount(place, np.repeat(np.log10(c + 0.5) - scale, each) * n, size)
-            known = np.bincount(place, np.repeat(c > 0, each) * n, size)
-            for k, first in enumerate(groups.tolist()):
-                own = slice(k * TASK_ROWS, (k + 1) * TASK_ROWS)
-                held = np.stack([logs[own], known[own]])
-                sums[first] = sums[first] + held if first in sums else held
-            if len(sums) > 512:
-                yield out()
-                sums = {}
-        if sums:
-            yield out()
-
-    return run
-
-
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(first, logs, known) sorted by first -> (row, logs, known) of each text with words. A log is never 0."""
-    current, logs, known = None, None, None
-
-    def out():
-        at = np.flatnonzero(logs)
-        return pa.RecordBatch.from_arrays([pa.array(current + at, pa.int64()), pa.array(logs[at]), pa.array(known[at])], names=["row", "logs", "known"])
-
-    for batch in batches:
-        for first, a, b in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if first != current:
-                if current is not None:
-                    yield out()
-                current, logs, known = first, np.zeros(TASK_ROWS), np.zeros(TASK_ROWS, np.int64)
-            logs += np.frombuffer(a, float)
-            known += np.frombuffer(b, np.int32)
-    if current is not None:
-        yield out()
+def shard_count(characters: int) -> int:
+    """A shard for each SHARD characters; beyond 4,096 shards they grow to 16 times that, so that questions stay long."""
+    return max(LEAST_SHARDS, min(characters // SHARD, max(4096, characters // (16 * SHARD))))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs."""
-    base = with_fold(docs.select(id_col, text), id_col)
-    # rows are told apart by their place in the input, which is the same whenever a task is run again
-    placed = base.select(F.monotonically_increasing_id().alias("row"), "held_out", F.col(id_col).alias("_id"), text)
-    own = materialize(tree_scores(placed.select("row", "held_out", F.col(text).alias("text"))), "scores")
-    tokens = placed.select("row", "held_out", text).mapInArrow(_postings, "token binary, first long, trained long, rows binary")
-    tokens = materialize(tokens, "postings")
-    counts = materialize(tokens.groupBy("token").agg(F.sum("trained").alias("c")), "counts")
-    ends = base.where(~F.col("held_out")).count()
-    n, v = counts.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    n, v = n + ends, v + (ends > 0)
-    met = tokens.select("token", "first", "rows").join(counts, "token").select("first", "c", "rows")
-    partial = met.mapInArrow(_partial(n, v), "first long, logs binary, known binary")
-    sums = partial.repartition("first").sortWithinPartitions("first").mapInArrow(_merge, "row long, logs double, known long")
-    end_log = float(np.log10(ends + 0.5) - np.log10(n + 0.5 * (v + 1)))
-    ids = placed.select("row", "held_out", F.col("_id"))
-    joined = ids.join(own, "row").join(sums, "row", "left")
-    return joined.select(
-        F.col("_id").alias(id_col),
-        "held_out",
-        "n_tokens",
-        (F.coalesce("known", F.lit(0)) + (1 if ends else 0)).cast("long").alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.coalesce("logs", F.lit(0.0)) + end_log).alias("base_score"),
-        "score",
-    )
+    rows = with_fold(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "id")
+    placed = rows.select(F.monotonically_increasing_id().alias("row"), "id", "held_out", "text")  # names the groups; seen by one job only
+    kind = placed.schema["id"].dataType
+    schema = StructType([StructField("group", LongType()), StructField("ids", ArrayType(kind))])
+    for name, other in (("held", "binary"), ("sizes", "binary"), ("words", "binary"), ("tokens", "binary"), ("ends", "long"), ("size", "long")):
+        schema = schema.add(name, other)
+    packed = materialize(placed.mapInArrow(_packing, schema), "groups")
+    size, ends = packed.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0))).first()
+    shards = shard_count(size)
+    packed = packed.drop("ends", "size")
+    counts = materialize(packed.mapInArrow(_asking(shards), QUESTION).groupBy("shard").applyInArrow(_counting, ANSWER), "counts")
+    total, kinds = counts.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    total, kinds = total + ends, kinds + (ends > 0)
+    spelled = counts.where("spelled is not null").select("spelled", "times").mapInArrow(_unpacked_spelling, "key long, n long")
+    spelled = spelled.groupBy("key").agg(F.sum("n").alias("n")).toArrow().sort_by("key")  # at most 258 bytes for each context and cell
+    model = Spelling(spelled.column("key").to_numpy(), spelled.column("n").to_numpy())
+    model = docs.sparkSession.sparkContext.broadcast((model, total, kinds, ends))
+    told = counts.drop("total", "kinds", "spelled", "times")
+    again = told.groupBy("group").cogroup(packed.groupBy("group")).applyInArrow(_asking_again(shards, model), QUESTION)
+    more = again.groupBy("shard").applyInArrow(_deciding, ANSWER).drop("total", "kinds", "spelled", "times")
+    schema = StructType([StructField("id", kind)])
+    for name, other in (("held_out", "boolean"), ("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
+        schema = schema.add(name, other)
+    done = told.unionByName(more).groupBy("group").cogroup(packed.groupBy("group")).applyInArrow(_scoring(shards, model), schema)
+    return done.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
