@@ -23,7 +23,7 @@ no frequent word meets in one task. There are more groups and shards as the inpu
 is the only broadcast. The divergence of one-word contexts is summed by the groups: each pair counts in the first group that has it.
 
 Base: log10((c + 0.5) / (N + 0.5 * (V + 1))) with the exact corpus counts from the same answers. Words are counted as
-text; pairs and triples are told apart by 56 and 80 bits of hashes.
+text; pairs and triples are told apart by 52 and 72 to 80 bits of hashes.
 
 Defined results: null text is the empty text (one token, the end); repeated rows are scored each, null
 ids are held in; ties do not occur, as scores do not depend on an order; very long texts are a group of their own and whole;
@@ -49,6 +49,8 @@ CONTEXT = 2
 MIN_COUNT = 2
 DIVERGENCE = 8.0
 ESCAPE, GROWTH = 5.0, 0.7
+NAT = 64  # parts of a nat that a group's share of a divergence is rounded to
+PAIR_BITS = 52
 HOT = 1 << 20  # occurrences of a context whose words are dealt over shards
 SPELLED = 3
 CELLS = {2: 1 << 14, 3: 1 << 15}
@@ -129,10 +131,11 @@ def _cells(runs: np.ndarray, depth: int) -> np.ndarray:
 
 def spelling_counts(known: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(context and byte, count) over distinct words, for contexts of all depths."""
-    runs, _ = _runs(known)
+    runs, place = _distinct(_runs(known)[0])
+    n = np.bincount(place, minlength=len(runs))
     keys = np.concatenate([_cells(runs, d) * 256 + (runs & np.uint64(255)).astype(np.int64) for d in range(SPELLED + 1)])
     found, place = _distinct(keys)
-    return found, np.bincount(place, minlength=len(found))
+    return found, np.bincount(place, np.tile(n, SPELLED + 1), len(found)).astype(np.int64)
 
 
 class Spelling:
@@ -240,27 +243,26 @@ class Group:
         before[self.first] = 0
         pairs, self.pair = _distinct(before << 32 | self.tokens)
         self.left, self.right = pairs >> 32, pairs & 0xFFFFFFFF
-        self.keys = _mix(_mix(self.hashes[self.left] + STEP) + self.hashes[self.right]) >> np.uint64(8)
+        self.keys = _mix(_mix(self.hashes[self.left] + STEP) + self.hashes[self.right]) >> np.uint64(64 - PAIR_BITS)
         self.word_counts = np.bincount(self.tokens[self.trained], minlength=len(self.words))
         self.pair_counts = np.bincount(self.pair[self.trained], minlength=len(pairs))
-        self.context_shard = ((self.hashes >> np.uint64(20)) % self.shards).astype(np.int64)
-        self.word_shard = self.context_shard.copy()
-        self.word_shard[0] = -1  # the end is counted beside
-        self.pair_shard = ((self.keys >> np.uint64(20)) % self.shards).astype(np.int64)
+        self.word_shard = _shard(self.hashes, shards)
+        self.pair_shard = _shard(self.keys << np.uint64(64 - PAIR_BITS), shards)
+        self.by_hash = np.argsort(self.hashes, kind="stable")
+
+    # keys are dealt to shards by ranges, so the order of keys is an order of shards
 
     def context_order(self) -> np.ndarray:
         """Words, and the end before a text, that may be contexts."""
         used = np.zeros(len(self.words), bool)
         used[self.left] = True
-        order = np.lexsort((self.hashes, self.context_shard))
-        return order[(used & (self.known >= MIN_COUNT))[order]]
+        return self.by_hash[(used & (self.known >= MIN_COUNT))[self.by_hash]]
 
     def word_order(self) -> np.ndarray:
-        order = np.argsort(self.word_shard, kind="stable")
-        return order[1:]  # without the end
+        return self.by_hash[self.by_hash > 0]  # the end is counted beside
 
     def pair_order(self) -> np.ndarray:
-        return np.lexsort((self.keys, self.pair_shard))
+        return np.argsort(self.keys)  # pairs with one key have one answer
 
     def triples(self, seen: np.ndarray, ends: int) -> None:
         """Distinct runs of three tokens of which training has the first two MIN_COUNT times. seen: occurrences of each pair."""
@@ -277,19 +279,28 @@ class Group:
         self.context, self.next = codes // len(self.words), codes % len(self.words)
         self.triple_counts = np.bincount(place[self.trained[self.at]], minlength=len(codes))
         self.context_seen = np.append(seen, ends)[self.context]
-        self.context_keys = (np.append(self.keys, np.uint64(0)) >> np.uint64(8))[self.context]
-        short = (self.hashes >> np.uint64(32)).astype(np.uint32)
-        self.next_keys = short[self.next]
-        dealt = np.where(self.context_seen > HOT, _mix(self.context_keys + self.hashes[self.next]), _mix(self.context_keys))
-        self.triple_shard = ((dealt >> np.uint64(20)) % self.shards).astype(np.int64)
-
-    def triple_order(self) -> tuple[np.ndarray, np.ndarray]:
-        """The order of triples, and where a shard's context begins in it."""
-        order = np.lexsort((self.next_keys, self.context_keys, self.triple_shard))
-        keys, shard = self.context_keys[order], self.triple_shard[order]
-        first = np.ones(len(order), bool)
-        first[1:] = (keys[1:] != keys[:-1]) | (shard[1:] != shard[:-1])
-        return order, np.flatnonzero(first)
+        self.context_keys = (np.append(self.keys, np.uint64(0)) >> np.uint64(PAIR_BITS - 48))[self.context]
+        short = (self.hashes >> np.uint64(32)).astype(np.uint32)[self.next]
+        self.next_keys = np.where(self.context_seen < 1 << 16, short >> np.uint32(8), short)  # one byte less tells few apart as well
+
+    def triple_order(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The order of triples, where each context (a hot one: each triple) begins in it, and the shards of these."""
+        n = len(self.context)
+        first = np.ones(n, bool)
+        first[1:] = (self.context[1:] != self.context[:-1]) | (self.context_seen[1:] > HOT)
+        heads = np.flatnonzero(first)
+        keys = self.context_keys[heads]
+        route = np.where(self.context_seen[heads] > HOT, _mix(keys + self.hashes[self.next[heads]]), keys << np.uint64(16))
+        order = np.argsort(route, kind="stable")
+        sizes = np.diff(np.append(heads, n))[order]
+        starts = np.cumsum(sizes) - sizes
+        triples = np.arange(n) + np.repeat(heads[order] - starts, sizes)
+        return triples, starts, _shard(route[order], int(self.shards))
+
+
+def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    """The range of 64-bit keys that each key is in."""
+    return (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
 
 def _differences(keys: np.ndarray) -> bytes:
@@ -444,6 +455,11 @@ def _unframed(whole: bytes) -> list[bytes]:
     return out
 
 
+def _rounded(nats: np.ndarray) -> np.ndarray:
+    """Nats as whole parts of 1 / NAT; beyond what a number of 32 bits holds, a test's answer is clear."""
+    return np.clip(np.rint(nats * NAT), -(1 << 31), (1 << 31) - 1).astype(np.int32)
+
+
 def _asking_again(shards: int, model):
     """What a group's own pairs add to the divergence of words, and its triples with their training counts and, for each
     context, the sum of the logs of their chances after one word."""
@@ -453,16 +469,17 @@ def _asking_again(shards: int, model):
         gain = np.bincount(g.left[g.owned], _divergence(g.pair_known, g.known[g.left], g.root[g.right])[g.owned], len(g.words))
         own = g.context_order()
         g.triples(g.pair_known, g.ends)
-        triples, starts = g.triple_order()
+        triples, starts, shard = g.triple_order()
         logs = g.triple_counts * np.log(g.after[g.last_pair])
         sums = np.add.reduceat(logs[triples], starts) if len(starts) else np.empty(0)
         heads, ends = triples[starts], np.append(starts, len(triples))
+        gain, sums = _rounded(gain), _rounded(sums)
         rows = []
-        for k, of_words, of_heads in _parts(g.context_shard[own], g.triple_shard[heads]):
+        for k, of_words, of_heads in _parts(g.word_shard[own], shard):
             mine = own[of_words]
             at = triples[ends[of_heads.start] : ends[of_heads.stop]]
-            asked = (_differences(g.context_keys[heads[of_heads]]), _squeeze(np.diff(ends[of_heads.start : of_heads.stop + 1]).astype(np.uint32)), _squeeze(sums[of_heads].astype(np.float32)))
-            rows.append((k, _differences(g.hashes[mine]), _squeeze(gain[mine].astype(np.float32)), _framed(asked), _framed([_squeeze(g.next_keys[at]), _squeeze(g.triple_counts[at].astype(np.uint32))])))
+            asked = (_differences(g.context_keys[heads[of_heads]]), _squeeze(np.diff(ends[of_heads.start : of_heads.stop + 1]).astype(np.uint32)), _squeeze(sums[of_heads]))
+            rows.append((k, _differences(g.hashes[mine]), _squeeze(gain[mine]), _framed(asked), _framed([_squeeze(g.next_keys[at]), _squeeze(g.triple_counts[at].astype(np.uint32))])))
         return pa.Table.from_batches([_questions(packed.column("group")[0].as_py(), rows)])
 
     return run
@@ -472,7 +489,7 @@ def _deciding(rows: pa.Table) -> pa.Table:
     """Which of a shard's contexts are retained, and how often training has its triples, for each group that asks."""
     groups, shard = rows.column("group").to_pylist(), rows.column("shard")[0].as_py()
     own = [_whole(x) for x in rows.column("one").to_pylist()]
-    gain = np.concatenate([_spread(x, np.float32) for x in rows.column("two").to_pylist()])
+    gain = np.concatenate([_spread(x, np.int32) for x in rows.column("two").to_pylist()]) / NAT
     keys, place = _distinct(np.concatenate(own))
     retained = (np.bincount(place, gain, len(keys)) > DIVERGENCE)[place]
     contexts, sizes, sums = zip(*(_unframed(x) for x in rows.column("three").to_pylist()))
@@ -488,7 +505,7 @@ def _deciding(rows: pa.Table) -> pa.Table:
     seen = np.bincount(codes >> 32, total, len(held))
     some = total > 0
     gain = np.bincount(codes[some] >> 32, total[some] * np.log(total[some] / seen[codes[some] >> 32]), len(held))
-    gain -= np.bincount(head, np.concatenate([_spread(x, np.float32) for x in sums]), len(held))
+    gain -= np.bincount(head, np.concatenate([_spread(x, np.int32) for x in sums]) / NAT, len(held))
     kept = (gain > DIVERGENCE)[head]
     back = zip(_split(total[triple], [len(x) for x in parts]), _split(kept, [len(x) for x in heads]))
     one = [_squeeze(x.astype(np.uint8)) for x in _split(retained, [len(x) for x in own])]
@@ -503,7 +520,7 @@ def _scoring(shards: int, model):
         g = Scored(packed.to_pylist()[0], told, shards, model.value)
         _, total, kinds, _ = model.value
         g.triples(g.pair_known, g.ends)
-        triples, starts = g.triple_order()
+        triples, starts, _ = g.triple_order()
         mine = sorted((a for a in told if a["step"] == 2), key=lambda a: a["shard"])
         retained = np.zeros(len(g.words), bool)
         retained[g.context_order()] = np.concatenate([np.empty(0, np.uint8), *(_spread(a["one"], np.uint8) for a in mine)]).astype(bool)
