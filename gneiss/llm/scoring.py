@@ -175,8 +175,12 @@ class Spelling:
 # Groups of texts
 
 
-def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, id, held_out, text) -> a row a group: its distinct words, and the texts as numbers of words, 0 being the end."""
+def _packing(limit: int):
+    return lambda batches: _packed(batches, limit)
+
+
+def _packed(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """(row, id, held_out, text) -> a row a group of `limit` characters: its distinct words, and the texts as numbers of words, 0 being the end."""
     ids, held, sizes, parts, number, size, name, kind = [], [], [], [], None, 0, None, None
 
     def start():
@@ -215,7 +219,7 @@ def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes.append(len(own) + 1)
                 parts.append(np.fromiter(map(number.__getitem__, [*own, b""]), np.uint32, len(own) + 1))
                 size += len(text or "") + 1
-                if size >= GROUP:
+                if size >= limit:
                     yield out()
                     start()
     if ids:
@@ -226,7 +230,7 @@ class Group:
     """A packed group: tokens and the text of each, distinct words and distinct pairs with their places among shards."""
 
     def __init__(self, row: dict, shards: int):
-        self.shards = np.uint64(shards)
+        self.shards = shards
         said = _spread(row["words"], np.uint8).tobytes()
         self.words = [b"", *(said.split(b" ") if said else [])]
         self.tokens = _spread(row["tokens"], np.uint32).astype(np.int64)
@@ -287,15 +291,15 @@ class Group:
         """The order of triples, where each context (a hot one: each triple) begins in it, and the shards of these."""
         n = len(self.context)
         first = np.ones(n, bool)
-        first[1:] = (self.context[1:] != self.context[:-1]) | (self.context_seen[1:] > HOT)
+        first[1:] = (self.context[1:] != self.context[:-1]) | (self.context_seen[1:] > self.hot)
         heads = np.flatnonzero(first)
         keys = self.context_keys[heads]
-        route = np.where(self.context_seen[heads] > HOT, _mix(keys + self.hashes[self.next[heads]]), keys << np.uint64(16))
+        route = np.where(self.context_seen[heads] > self.hot, _mix(keys + self.hashes[self.next[heads]]), keys << np.uint64(16))
         order = np.argsort(route, kind="stable")
         sizes = np.diff(np.append(heads, n))[order]
         starts = np.cumsum(sizes) - sizes
         triples = np.arange(n) + np.repeat(heads[order] - starts, sizes)
-        return triples, starts, _shard(route[order], int(self.shards))
+        return triples, starts, _shard(route[order], self.shards)
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -415,7 +419,7 @@ class Scored(Group):
 
     def __init__(self, row: dict, answers: list[dict], shards: int, model):
         super().__init__(row, shards)
-        spelling, total, kinds, ends = model
+        spelling, total, kinds, ends, self.hot = model
         self.ends = ends
         self.known = np.zeros(len(self.words), np.int64)
         mine = sorted((a for a in answers if a["step"] == 1), key=lambda a: a["shard"])
@@ -518,7 +522,7 @@ def _scoring(shards: int, model):
     def run(answers: pa.Table, packed: pa.Table) -> pa.Table:
         told = answers.to_pylist()
         g = Scored(packed.to_pylist()[0], told, shards, model.value)
-        _, total, kinds, _ = model.value
+        _, total, kinds, _, _ = model.value
         g.triples(g.pair_known, g.ends)
         triples, starts, _ = g.triple_order()
         mine = sorted((a for a in told if a["step"] == 2), key=lambda a: a["shard"])
@@ -533,7 +537,7 @@ def _scoring(shards: int, model):
         best = np.where(retained[g.left], g.after, g.root[g.right])
         deep = smoothed(seen, g.context_seen, g.after[g.last_pair])
         logs = np.log10(best)[g.pair]
-        logs[g.at] = np.log10(np.where(whole | (g.context_seen > HOT), deep, best[g.last_pair]))[g.triple]
+        logs[g.at] = np.log10(np.where(whole | (g.context_seen > g.hot), deep, best[g.last_pair]))[g.triple]
         base = np.log10(g.known + 0.5) - np.log10(total + 0.5 * (kinds + 1))
         n = len(g.held)
         return pa.table(
@@ -559,7 +563,7 @@ def shard_count(characters: int) -> int:
     return max(LEAST_SHARDS, min(characters // SHARD, max(4096, characters // (16 * SHARD))))
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", group: int = GROUP, hot: int = HOT) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs."""
     rows = with_fold(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "id")
     placed = rows.select(F.monotonically_increasing_id().alias("row"), "id", "held_out", "text")  # names the groups; seen by one job only
@@ -567,7 +571,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     schema = StructType([StructField("group", LongType()), StructField("ids", ArrayType(kind))])
     for name, other in (("held", "binary"), ("sizes", "binary"), ("words", "binary"), ("tokens", "binary"), ("ends", "long"), ("size", "long")):
         schema = schema.add(name, other)
-    packed = materialize(placed.mapInArrow(_packing, schema), "groups")
+    packed = materialize(placed.mapInArrow(_packing(group), schema), "groups")
     size, ends = packed.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0))).first()
     shards = shard_count(size)
     packed = packed.drop("ends", "size")
@@ -577,7 +581,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     spelled = counts.where("spelled is not null").select("spelled", "times").mapInArrow(_unpacked_spelling, "key long, n long")
     spelled = spelled.groupBy("key").agg(F.sum("n").alias("n")).toArrow().sort_by("key")  # at most 258 bytes for each context and cell
     model = Spelling(spelled.column("key").to_numpy(), spelled.column("n").to_numpy())
-    model = docs.sparkSession.sparkContext.broadcast((model, total, kinds, ends))
+    model = docs.sparkSession.sparkContext.broadcast((model, total, kinds, ends, hot))
     told = counts.drop("total", "kinds", "spelled", "times")
     again = told.groupBy("group").cogroup(packed.groupBy("group")).applyInArrow(_asking_again(shards, model), QUESTION)
     more = again.groupBy("shard").applyInArrow(_deciding, ANSWER).drop("total", "kinds", "spelled", "times")

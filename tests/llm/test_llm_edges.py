@@ -150,48 +150,135 @@ def test_em_finds_the_better_labeller():
     assert (accuracy >= 0).all() and (accuracy <= 1).all()
 
 
-def test_tree_by_shards_is_the_tree_in_memory(spark, monkeypatch):
-    import random
+def plain_tree(rows, held):
+    """The suffix tree with dictionaries: functions that score a text and tell the divergence of a context."""
+    import math
     from collections import Counter, defaultdict
 
-    import numpy as np
+    end = b""
+    train = [scoring.words(t) + [end] for k, t in rows if not held[k]]
+    words = Counter(w for d in train for w in d)
+    total, kinds = sum(words.values()), len(words)
+    spelled = defaultdict(Counter)
+
+    def cell(run, depth):
+        context = (run >> 9) & ((1 << 9 * depth) - 1)
+        if depth in scoring.CELLS:
+            context = ((context * int(scoring.STEP)) % (1 << 64) >> 40) % scoring.CELLS[depth]
+        return depth, context
+
+    def runs(word):
+        s = [256] * 3 + list(word) + [32]
+        return [sum(s[i - k] << 9 * k for k in range(4)) for i in range(3, len(s))]
+
+    for w in words:
+        for run in runs(w) if w else []:
+            for depth in range(4):
+                spelled[cell(run, depth)][run & 511] += 1
+
+    def spell(word):
+        if not word:
+            return 1 / 257
+        out = 256 / 257
+        for run in runs(word):
+            p = 1 / 256
+            for depth in range(4):
+                own = spelled.get(cell(run, depth))
+                if own:
+                    p = (own[run & 511] + len(own) * p) / (sum(own.values()) + len(own))
+            out *= p
+        return out
+
+    follow = defaultdict(Counter)
+    for d in train:
+        s = [end, end, *d]
+        for i in range(2, len(s)):
+            follow[(s[i - 1],)][s[i]] += 1
+            follow[s[i - 2], s[i - 1]][s[i]] += 1
+
+    def chance(context, x):
+        if not context:
+            return (words[x] + max(1, kinds) * spell(x)) / (total + max(1, kinds))
+        below, n = chance(context[1:], x), sum(follow[context].values()) if context in follow else 0
+        m = scoring.ESCAPE * n**scoring.GROWTH
+        return (follow[context][x] + m * below) / (n + m) if n >= scoring.MIN_COUNT else below
+
+    def gain(context):
+        n = sum(follow[context].values()) if context in follow else 0
+        return sum(k * math.log(k / n / chance(context[1:], x)) for x, k in follow[context].items()) if n >= scoring.MIN_COUNT else 0.0
+
+    def contexts(text):
+        s = [end, end, *scoring.words(text), end]
+        return [((s[i - 2], s[i - 1]), (s[i - 1],), s[i]) for i in range(2, len(s))]
+
+    def score(text):
+        return sum(math.log10(chance(next((c for c in (two, one) if gain(c) > scoring.DIVERGENCE), ()), x)) for two, one, x in contexts(text))
+
+    def nearest(text):
+        """How near the divergence of one of its contexts is to the limit."""
+        return min(abs(gain(c) - scoring.DIVERGENCE) for two, one, _ in contexts(text) for c in (two, one))
+
+    return score, gain, nearest
+
+
+def tree_rows():
+    import random
 
     rng = random.Random(5)
-    names = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    names = ["".join(rng.choice("abcdeé漢") for _ in range(rng.randint(1, 7))) for _ in range(60)]
     rows = [(k, " ".join(rng.choice(names[: 5 + k % 50]) for _ in range(rng.randint(0, 80)))) for k in range(300)]
-    monkeypatch.setattr(scoring, "GROUP", 2000)  # many groups, many shards
-    got = {r["doc_id"]: r for r in scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    counted = Counter(w for k, t in rows if not got[k]["held_out"] for w in scoring.windows([t]).tolist())
+    return rows + [(1000, None), (1001, ""), (1002, " \n"), (1003, rows[7][1]), (1004, rows[7][1] + " never\udc80seen words")]
 
-    def level(depth):
-        held = defaultdict(Counter)
-        for w, n in counted.items():
-            held[(w >> scoring.BITS) & ((1 << scoring.BITS * depth) - 1)][w & ((1 << scoring.BITS) - 1)] += n
-        held = {c: x for c, x in held.items() if not depth or sum(x.values()) >= 2}
-        flat = [(i, x, n) for i, own in enumerate(held.values()) for x, n in own.items()]
-        return np.array(list(held), np.int64), *(np.array(v, np.int64) for v in zip(*flat))
 
-    want = scoring.grow(level).score([t for _, t in rows])
-    assert [got[k]["score"] for k, _ in rows] == pytest.approx(want.tolist(), rel=1e-4)
+@pytest.mark.parametrize("hot", [scoring.HOT, 10])
+def test_tree_is_that_of_dictionaries(spark, hot):
+    """Many groups and shards, and hot contexts dealt over shards, against a plain implementation."""
+    rows = [(k, t and t.replace("\udc80", "x")) for k, t in tree_rows()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+    got = {r["doc_id"]: r for r in scoring.score(docs, group=2000, hot=hot).collect()}
+    assert len(got) == len(rows)
+    score, gain, nearest = plain_tree(rows, {k: r["held_out"] for k, r in got.items()})
+    pairs = {p for _, t in rows[:300] for p in zip(scoring.words(t), scoring.words(t)[1:])}
+    assert 20 < sum(gain(p) > scoring.DIVERGENCE for p in pairs) < len(pairs) - 20
+    clear = [(k, t) for k, t in rows if nearest(t) > 30 / 2 / scoring.NAT]  # each group's share of a divergence is rounded
+    assert len(clear) > 0.5 * len(rows)
+    assert [got[k]["score"] for k, _ in clear] == pytest.approx([score(t) for _, t in clear], rel=1e-9 if hot > 10 else 0.05)
 
 
-def test_tree_keeps_contexts_of_large_corpora(spark):
-    """A context's evidence counts the same however much other text there is."""
-    rows = [(k, "qz qj qz qj qz qj " * 5) for k in (2, 3, 4)]
-    small = scoring.score(spark.createDataFrame(rows + [(100, "other")], "doc_id long, text string"))
-    large = scoring.score(spark.createDataFrame(rows + [(100 + k, PROSE * 1000) for k in range(200)], "doc_id long, text string"))
-    a, b = ({r["doc_id"]: r["score"] / r["n_tokens"] for r in x.collect()} for x in (small, large))
-    assert b[2] > 1.5 * a[2]
+def test_scores_behind_a_shuffle(spark):
+    """Groups are named once, so rows that come in another order on every read stay whole."""
+    rows = [(k, f"w{k} " * (k % 7) + "same words here") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").groupBy("doc_id").agg(F.max("text").alias("text"))
+    got = {r["doc_id"]: r["n_tokens"] for r in scoring.score(docs).collect()}
+    assert got == {k: k % 7 + 4 for k, _ in rows}
 
 
-def test_six_symbols_of_context(spark):
-    """What follows "abcde" is told by the symbol before it."""
-    import random
+def test_no_training_text(spark):
+    """All held out: N = V = 0, and words are spelled uniformly."""
+    import math
+    import zlib
+
+    ids = [k for k in range(200) if zlib.crc32(str(k).encode()) % 5 == 1][:3]
+    got = scoring.score(spark.createDataFrame([(k, "ab") for k in ids], "doc_id long, text string")).collect()
+    assert {(r["train_tokens"], r["n_known"], r["n_tokens"]) for r in got} == {(0, 0, 2)}
+    assert all(r["score"] == pytest.approx(math.log10(256 / 257 / 256**3 / 257)) for r in got)
+
+
+def test_held_out_texts_score_better_than_the_base(spark):
+    rows = scoring.op10_lm_scoring(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert rows[0] > rows[1]
+
+
+def test_chances_sum_to_one():
+    import itertools
+
+    import numpy as np
 
-    rng = random.Random(1)
-    rows = [(k, " ".join(rng.choice(["1abcde7", "2abcde8"]) for _ in range(20))) for k in range(100, 160)] + [(1, "1abcde7 2abcde8 " * 3), (2, "1abcde8 2abcde7 " * 3)]
-    got = {r["doc_id"]: r["score"] for r in scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[1] > got[2] + 3
+    model = scoring.Spelling(*scoring.spelling_counts([b"ab", b"abc", b"c"]))
+    assert sum(model.chance([bytes(x) for n in range(1, 4) for x in itertools.product(b"abcd", repeat=n)])) < 1
+    seen = np.array([3, 2, 0, 0])
+    parent = np.array([0.5, 0.2, 0.2, 0.1])
+    assert scoring.smoothed(seen, np.full(4, 5), parent).sum() == pytest.approx(1)
 
 
 @pytest.mark.parametrize(

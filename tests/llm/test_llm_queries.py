@@ -138,17 +138,6 @@ def test_base_score_and_tree(spark, documents):
         assert -8 * len(documents[r["doc_id"]].encode()) - 8 < r["score"] < 0
 
 
-def test_tree_is_a_distribution():
-    rows = np.array([[0, 0, 0], [0, 1, 5], [0, 2, 3], [1, 1, 2]])
-    tree = scoring.grow(lambda d: (np.array([0]) if d == 0 else np.array([97], np.int64) if d == 1 else np.empty(0, np.int64), *((np.zeros(3, int), np.array([97, 98, 256]), np.array([400, 300, 100])) if d == 0 else (np.zeros(2, int), np.array([97, 98]), np.array([10, 380])) if d == 1 else (np.empty(0, int),) * 3)))
-    assert rows.shape == (4, 3)
-    width = int(tree.alphabet.max()) + 1
-    unseen = scoring.SYMBOLS + 1 - (width - 1)
-    for state in tree.logs.reshape(-1, width):
-        p = 10.0 ** state.astype(float)
-        assert p[1:].sum() + unseen * p[0] == pytest.approx(1, abs=1e-4)
-
-
 def test_pipeline_is_its_stages(spark, documents):
     import corpus_pipeline
 
