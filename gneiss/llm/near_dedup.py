@@ -10,7 +10,7 @@ path, one coordinate, or two with a probability of 1 / threshold - 1, so that a
 child on average and no path dies out. A node's classes branch by their minwise token at the chosen coordinates. Nodes of up to NODE
 classes stop branching and are compared exhaustively by signature; larger ones branch on, level by level in Spark (only node
 ids and class ids move; signatures are met once a level). What is larger still after LEVELS levels holds
-classes that agree almost everywhere; it is dealt into parts of NODE classes.
+classes that agree almost everywhere; it is dealt into parts of NODE classes, which round 1 compares.
 
 A pair at the threshold is missed in one tree with probability q(k) at depth k (q(1) = 0.16, q(3) = 0.36,
 q(6) = 0.52), in all 12 trees with 7e-11 to 4e-4; the signature estimate (64 registers of 8 bits, margin of 4.5 standard
@@ -20,15 +20,19 @@ No group's pairs are all written. Round 1: of each node's similar pairs a maximu
 proposed (fewer edges than classes) and confirmed. Round 2: only nodes in which an edge was refused between
 components that are still apart, and dealt nodes whose parts are not one component, are compared again, and
 all their similar pairs between different components are confirmed (similar by a finer sketch too, so that texts just
-below the threshold, of which a large group has many, are few). In dealt nodes, all classes outside the
-node's largest component meet all of its parts, so no link between components is lost there.
+below the threshold, of which a large group has many, are few). A node with more than NODE classes outside its
+largest component (texts on a common template that do not link) branches on, up to FURTHER levels, and children of one component are
+left out, so its work grows little faster than its classes. In dealt nodes, the few classes outside the
+node's largest component meet all of its parts, each pair in one part, so no link between components is lost there; the same
+holds, at a quadratic price, for what FURTHER levels have not split.
 
 Confirmation reads whole texts again: each proposed pair's larger id is sent to its smaller one, sorted
 behind it, with hot centres dealt over salted copies, and compared as sets one after the other.
 
 Defined results: null or empty text has n_shingles 0, is its own component and is kept; repeated rows (equal
-id) are one node of the graph and each gets a row; null ids are never linked (component null, kept);
-an empty table gives no rows; further columns are kept by dedup().
+id) are one node of the graph and each gets a row of link(), and dedup() keeps one row of an id; null ids are never linked (component
+null, kept); very long texts are whole; of equal texts the smallest id is kept, so there are no ties; an empty table gives no rows;
+link() reads no further columns, dedup() keeps them whatever their names.
 """
 
 from __future__ import annotations
@@ -41,14 +45,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gneiss.llm.columns import private
 from gneiss.operators.components import connected_components
-from gneiss.session import materialize, table
+from gneiss.session import checkpoint, materialize, table
 
 PERCENT = 80
 COORDINATES = 64
 TREES = 12
 NODE = 64
 LEVELS = 6
+FURTHER = 30
 MARGIN = 4.5
 BINS = 512
 EMPTY = 255
@@ -187,6 +193,29 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.array(out, np.uint64).view(np.int64)), pa.array(ids, pa.int64())], names=["node", "doc_id"])
 
 
+def _branch_further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, sign, [(node, used)]) -> (node, used, doc_id) of the children: like _branch, but a path takes no coordinate twice, as
+    that would double its nodes without splitting them. used: a bit for each coordinate taken."""
+    for batch in batches:
+        ids, out, masks = [], [], []
+        for doc_id, sign, nodes in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            tokens = np.frombuffer(sign, np.uint32).tolist()
+            for held in nodes:
+                node, used = held["node"] & MASK, held["used"] & MASK
+                free = [c for c in range(COORDINATES) if not used >> c & 1]
+                h = _mixed(node + STEP)
+                first = free[h % len(free)]
+                chosen = [first]
+                if (h >> 32) / 2**32 < 100 / PERCENT - 1:
+                    free.remove(first)
+                    chosen.append(free[(h >> 8) % len(free)])
+                for c in chosen:
+                    ids.append(doc_id)
+                    out.append(_child(node, c, tokens[c]))
+                    masks.append(used | 1 << c)
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in (out, masks)] + [pa.array(ids, pa.int64())], names=["node", "used", "doc_id"])
+
+
 def leaves(classes: DataFrame) -> DataFrame:
     """(node, doc_id, dealt): every node with 2 to NODE classes; dealt: the number of parts of a larger one, else 1."""
     small = classes.select("doc_id", "sign")
@@ -293,21 +322,22 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, doc_id, component, sign, wide, n) sorted by part -> (a, b): similar pairs of different components.
+    """(part, doc_id, component, sign, wide, n, own) sorted by part -> (a, b): similar pairs of different components.
 
-    Two classes outside a dealt node's main component meet in all parts; duplicates go later."""
+    A class has one part of its own; of two classes that are guests in a part, this part is none's. Duplicates go later."""
     least = _floor() * COORDINATES
-    for _, ids, components, signs, wides, counts in _groups(batches, 6):
+    for _, ids, components, signs, wides, counts, home in _groups(batches, 7):
         if len(ids) < 2:
             continue
-        names, kinds, sizes = np.array(ids), np.array(components), np.array(counts)
+        names, kinds, sizes, home = np.array(ids), np.array(components), np.array(counts), np.array(home)
         few = sizes <= BINS
         whole = [frozenset(np.frombuffer(w, np.uint32).tolist()) if f else None for w, f in zip(wides, few)]
         wide = None if few.all() else np.array([binned(np.frombuffer(w, np.uint32)) if f else np.frombuffer(w, np.uint8) for w, f in zip(wides, few)])
         rows = np.frombuffer(b"".join(signs), np.uint8).reshape(len(ids), COORDINATES)
         a, b = [], []
-        for i in range(len(ids) - 1):
-            other = np.flatnonzero(kinds[i + 1 :] != kinds[i]) + i + 1
+        at = np.arange(len(ids))
+        for i in np.flatnonzero(home).tolist():
+            other = np.flatnonzero((kinds != kinds[i]) & (~home | (at > i)))
             if len(other):
                 near = other[(rows[other] == rows[i]).sum(1) >= least]
                 if few[i] and few[near].all():
@@ -405,7 +435,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int
         wides = sets.select("class", "wide", "n_shingles").join(held.select(F.col("doc_id").alias("class")).distinct(), "class", "left_semi")
         wides = wides.groupBy("class").agg(F.first("wide").alias("wide"), F.first("n_shingles").alias("n"))
         known_more = signs.join(wides.withColumnRenamed("class", "doc_id"), "doc_id")
-        more = materialize(_second(held, known_more, named), "second").join(links.select("a", "b"), ["a", "b"], "left_anti")
+        more = materialize(_second(_still_open(held, classes, named), known_more), "second").join(links.select("a", "b"), ["a", "b"], "left_anti")
         if not more.isEmpty():
             late = materialize(confirm(more, texts, size), "late").where("ok").select("a", "b")
             comps = materialize(connected_components(good.unionByName(late)), "components")
@@ -423,23 +453,52 @@ def _labelled(df: DataFrame, named: DataFrame, column: str, label: str) -> DataF
     return df.join(own, column, "left").withColumn(label, F.coalesce(label, column))
 
 
-def _second(leaf: DataFrame, signs: DataFrame, named: DataFrame) -> DataFrame:
+def _still_open(leaf: DataFrame, classes: DataFrame, named: DataFrame) -> DataFrame:
+    """(node, doc_id, component, main, n_node) of nodes with several components, of which at most NODE classes are outside the main one.
+
+    Others branch on."""
+    signs = classes.select(F.col("class").alias("doc_id"), "sign")
+    level, found = leaf.select("node", F.lit(0).cast("long").alias("used"), "doc_id"), None
+    for depth in range(FURTHER + 1):
+        rows = materialize(_labelled(level, named, "doc_id", "component"), f"open{depth}")
+        by = rows.groupBy("node", "component").agg(F.count("*").alias("n"))
+        sizes = by.groupBy("node").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n_node"), F.max("n").alias("n_main"), F.count("*").alias("components"))
+        sizes = sizes.where("components > 1").withColumn("wide", F.lit(depth < FURTHER) & (F.col("n_node") - F.col("n_main") > NODE) & (F.col("n_node") > 2 * NODE))
+        held = rows.join(sizes.select("node", "main", "n_node", "wide"), "node")
+        done = held.where(~F.col("wide")).select("node", "doc_id", "component", "main", "n_node")
+        found = done if found is None else found.unionByName(done)
+        if depth == FURTHER:
+            break
+        large = materialize(held.where("wide").select("node", "used", "doc_id"), f"wide{depth}")
+        if large.isEmpty():
+            break
+        again = large.groupBy("doc_id").agg(F.collect_list(F.struct("node", "used")).alias("nodes"))
+        level = signs.join(again, "doc_id").select("doc_id", "sign", "nodes").mapInArrow(_branch_further, "node long, used long, doc_id long")
+    return found
+
+
+def _second(mixed: DataFrame, signs: DataFrame) -> DataFrame:
     """Similar pairs between different components in the nodes that are still open."""
-    rows = materialize(_labelled(leaf.join(signs, "doc_id"), named, "doc_id", "component"), "open_rows")
-    by = rows.groupBy("node", "component").agg(F.count("*").alias("n"))
-    largest = by.groupBy("node").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("components"))
-    mixed = rows.join(largest.where("components > 1"), "node")
-    own = F.pmod(F.xxhash64("doc_id", "node"), F.col("dealt")).cast("int")
-    every = F.sequence(F.lit(0), F.col("dealt") - 1)
-    dealt = mixed.withColumn("_p", F.explode(F.when(F.col("component") == F.col("main"), F.array(own)).otherwise(every)))
-    placed = dealt.select(F.xxhash64("node", "_p").alias("part"), "doc_id", "component", "sign", "wide", "n")
+    parts = F.ceil(F.col("n_node") / F.lit(NODE)).cast("int")
+    home = F.pmod(F.xxhash64("doc_id", "node"), parts).cast("int")
+    every = F.sequence(F.lit(0), parts - 1)
+    dealt = mixed.withColumn("p", F.explode(F.when(F.col("component") == F.col("main"), F.array(home)).otherwise(every))).withColumn("own", F.col("p") == home)
+    placed = dealt.select(F.xxhash64("node", "p").alias("part"), "doc_id", "component", "own").join(signs, "doc_id")
+    placed = placed.select("part", "doc_id", "component", "sign", "wide", "n", "own")
     return placed.repartition("part").sortWithinPartitions("part").mapInArrow(_apart, "a long, b long").distinct()
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
-    """docs without the rows whose group has a smaller id."""
-    gone = materialize(link(docs, id_col, text, size).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    """One row of docs for each group: that of its smallest id."""
+    linked = materialize(link(docs, id_col, text, size).select("doc_id", "kept"), "linked")
+    name, number = private(docs, "gone", "times")
+    gone = linked.where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    left = docs.join(gone, docs[id_col] == F.col(name), "left_anti")
+    repeated = checkpoint(linked.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias(name)).agg(F.count("*").alias(number)).where(F.col(number) > 1))
+    if repeated.isEmpty():
+        return left
+    held = F.col(id_col) == F.col(name)
+    return left.join(repeated, held, "left_anti").unionByName(left.join(repeated, held, "left_semi").dropDuplicates([id_col]))
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
