@@ -6,13 +6,15 @@ expectation-maximisation estimates for every labeller the chance of each vote gi
 the share of poor documents, from these counts alone. The posterior of a pattern is the label that trains a
 linear scorer over hashed features (words, word shapes, repeated neighbours), which decides: reject below THRESHOLD.
 
-The scorer is fitted on a bounded sample of weakly labelled documents: of SAMPLE documents or fewer, taken by a hash of the id so
-that the sample does not depend on order (that bound is a parameter). Votes, EM and scoring cover all
+The scorer is fitted on a bounded sample of weakly labelled documents: the SAMPLE documents (a parameter) with the smallest
+hashes of id and text, so that the sample does not depend on order and is no larger whatever the ids are. Votes, EM and scoring cover all
 documents and whole texts. Features of a document are term frequencies scaled to a length below one, so long texts
 are no larger than short ones and a few words are weak evidence.
 
-Defined results: null, empty and wordless texts get no vote, score 0 and are rejected; equal texts get equal scores; an
-empty table gives no rows (nothing is fitted); further columns are kept by filter_documents().
+Defined results: null, empty and wordless texts get no vote, score 0 and are rejected; equal texts get equal scores, so
+repeated rows and ties are kept or go together; ids, null or repeated, decide nothing but the sample; very long texts are whole; an
+empty table gives no rows (nothing is fitted); further columns are kept whatever their names, but with_score() replaces one of the
+name that it is asked for.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gneiss.llm.columns import private
 from gneiss.session import table
 
 SAMPLE = 8_000
@@ -151,17 +154,24 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return at, value / np.sqrt((value * value).sum() + SHORT)
 
 
+def sample_limit(n: int, sample: int) -> int:
+    """The hash up to which `sample` of n evenly hashed rows lie, and by 8 standard deviations more."""
+    wanted = sample + 8 * sample**0.5
+    return (1 << 63) - 1 if n <= wanted else int((1 << 64) * wanted / n) - (1 << 63)
+
+
 def _sampled(posterior: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            y, at, value = [], [], []
-            for text in batch.column(0).to_pylist():
+            place, y, at, value = [], [], [], []
+            for own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 places, values = features(text)
                 if len(places):
+                    place.append(own)
                     y.append(posterior.get("".join("?01"[v + 1] for v in votes(text)), 0.0))
                     at.append(places.astype(np.uint16).tobytes())
                     value.append(values.astype(np.float16).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(y, pa.float64()), pa.array(at, pa.binary()), pa.array(value, pa.binary())], names=["y", "at", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(y, pa.float64()), pa.array(at, pa.binary()), pa.array(value, pa.binary())], names=["place", "y", "at", "value"])
 
     return run
 
@@ -198,10 +208,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample: int
     counted = docs.select(text).mapInArrow(_voting, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
     posterior, accuracy = expectation_maximisation([r["pattern"] for r in counted], [r["n"] for r in counted])
     n = sum(r["n"] for r in counted)
-    parts = 1 << 20
-    share = parts if n <= sample else int(parts * sample / n)
-    chosen = docs.where(F.pmod(F.xxhash64(id_col), F.lit(parts)) < share).select(text)
-    rows = chosen.mapInArrow(_sampled(posterior), "y double, at binary, value binary").collect()
+    place, said = F.xxhash64(F.col(id_col), F.col(text)).alias("place"), F.col(text).alias("text")
+    limit = sample_limit(n, sample)
+    chosen = docs.select(place, said).where(F.col("place") <= limit)
+    made = chosen.mapInArrow(_sampled(posterior), "place long, y double, at binary, value binary")
+    rows = made.orderBy("place").limit(sample).collect()  # the hash gives somewhat more; equal rows have equal hashes
     rows.sort(key=lambda r: (r["at"], r["value"], r["y"]))  # the order of tasks must not matter
     return fit_scorer(rows), posterior, accuracy
 
@@ -219,7 +230,8 @@ def with_score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", name
 
 def filter_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without those that the classifier rejects."""
-    return with_score(docs, id_col, text, "_quality_score").where(F.col("_quality_score") >= THRESHOLD).drop("_quality_score")
+    (name,) = private(docs, "quality_score")
+    return with_score(docs, id_col, text, name).where(F.col(name) >= THRESHOLD).drop(name)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
