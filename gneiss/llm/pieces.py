@@ -12,7 +12,8 @@ path (any other change costs more than these N - 1 do alone), so A* runs for tho
 merged best first. The result is exact; ties go to the earlier place, then to the search order.
 
 Defined results: null and empty text have no pieces, score 0, one segmentation and decode to ''; repeated
-rows are encoded each; very long texts are whole; an empty table gives no rows; further columns are kept by encode_column().
+rows are encoded each; very long texts are whole; an empty table gives no rows; further columns are kept by encode_column(), but
+those with the name of an output (ids, n_pieces, score, alternatives, round_trip) are replaced.
 Decoding the ids gives the text back exactly.
 """
 
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gneiss.llm.columns import private
 from gneiss.session import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -236,16 +238,14 @@ class Pieces:
         return "".join(out)[1:]
 
 
-_made: dict[int, Pieces] = {}
+_made: list[tuple[list, Pieces]] = []
 
 
 def _pieces(shared) -> Pieces:
-    """One encoder for each worker: its cache serves all tasks that the worker runs."""
-    key = id(shared.value)
-    if key not in _made:
-        _made.clear()
-        _made[key] = Pieces(shared.value)
-    return _made[key]
+    """One encoder for each worker: its cache serves all tasks that the worker runs. The vocabulary is held, so its identity tells."""
+    if not _made or _made[0][0] is not shared.value:
+        _made[:] = [(shared.value, Pieces(shared.value))]
+    return _made[0][1]
 
 
 def _encoding(shared, n: int):
@@ -271,8 +271,9 @@ def encode_column(docs: DataFrame, text: str = "text", model: str = MODEL, n: in
     """docs with ids, n_pieces, score, alternatives (JSON: the 2nd to nth best as score and edits) and round_trip."""
     shared = docs.sparkSession.sparkContext.broadcast(load_model(model))
     names = ["ids", "n_pieces", "score", "alternatives", "round_trip"]
-    rest = [f for f in docs.schema.fields if f.name not in names]
-    kept = docs.select(*[F.col(f"`{f.name}`") for f in rest], F.col(f"`{text}`").alias("_encoded_text"))
+    rest = [f for f in docs.schema.fields if f.name.lower() not in names]
+    (own,) = private(docs, "encoded")
+    kept = docs.select(*[F.col(f"`{f.name}`") for f in rest], F.col(f"`{text}`").alias(own))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + ["ids array<int>", "n_pieces long", "score double", "alternatives string", "round_trip boolean"])
     return kept.mapInArrow(_encoding(shared, n), schema)
 
