@@ -14,7 +14,8 @@ has `need` words, from each place of a template word on. All of it happens in th
 a fixed list, so nothing is shuffled but the frequency counts of its words (one row a word).
 
 Defined results: null is the empty text, with 0 words and no labels; a repeated row gives a
-repeated result; an empty table gives no rows.
+repeated result; equal scores are reported as one; very long texts are whole; an empty table gives no rows; further columns are kept, but
+those with the name of an output are replaced.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gneiss.llm.columns import private
 from gneiss.session import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -86,6 +88,7 @@ def word_order(df: DataFrame, text: str) -> list[str]:
 def scan(df: DataFrame, text: str = "text", order: list[str] | None = None) -> DataFrame:
     """df with n_words, n_base, first_word, last_word, base_labels, labels, score."""
     order = order if order is not None else word_order(df, text)
+    low_, norm_, list_, hits_, wide_, base_ = private(df, "low", "norm", "list", "hits", "wide", "base")
     rank = {w: i for i, w in enumerate(order)}
     rules, lengths, prefixes = [], [], set()
     for t in templates():
@@ -124,49 +127,49 @@ def scan(df: DataFrame, text: str = "text", order: list[str] | None = None) -> D
         found = F.flatten(F.transform(held, lambda h: F.array_compact(F.array(*[one(h, *r, n) for r, n in zip(rules, lengths)]))))
         return F.filter(found, lambda h: h["score"] >= CONTAINMENT - 1e-9)
 
-    base = df.withColumn("_low", _lowered(F.col(text)))
-    base = base.withColumn("_norm", F.trim(F.regexp_replace("_low", SEPARATORS, " ")))
-    base = base.withColumn("_list", F.when(F.col("_norm") == "", F.array().cast("array<string>")).otherwise(F.split("_norm", " ")))
-    base = base.withColumn("n_words", F.size("_list").cast("long"))
-    may = F.arrays_overlap(F.col("_list"), _array(sorted(prefixes)))
+    base = df.withColumn(low_, _lowered(F.col(text)))
+    base = base.withColumn(norm_, F.trim(F.regexp_replace(low_, SEPARATORS, " ")))
+    base = base.withColumn(list_, F.when(F.col(norm_) == "", F.array().cast("array<string>")).otherwise(F.split(norm_, " ")))
+    base = base.withColumn("n_words", F.size(list_).cast("long"))
+    may = F.arrays_overlap(F.col(list_), _array(sorted(prefixes)))
     none = F.array().cast("array<struct<label:string,score:double>>")
-    base = base.withColumn("_hits", F.when(may, F.flatten(F.transform(F.split("_low", "\n"), containment))).otherwise(none))
-    across = F.when(may & F.contains(F.col("_low"), F.lit("\n")), wrapped(F.col("_list"))).otherwise(none)
-    base = base.withColumn("_hits", F.concat("_hits", across))
+    base = base.withColumn(hits_, F.when(may, F.flatten(F.transform(F.split(low_, "\n"), containment))).otherwise(none))
+    across = F.when(may & F.contains(F.col(low_), F.lit("\n")), wrapped(F.col(list_))).otherwise(none)
+    base = base.withColumn(hits_, F.concat(hits_, across))
     # each word between two spaces of its own, so that neighbouring places do not share one
     any_phrase = F.lit(False)
     for p in PHRASES:
-        any_phrase = any_phrase | F.contains(F.col("_norm"), F.lit(p))
-    base = base.withColumn("_wide", F.when(any_phrase, F.concat(F.lit(" "), F.replace(F.col("_norm"), F.lit(" "), F.lit("  ")), F.lit(" "))).otherwise(""))
+        any_phrase = any_phrase | F.contains(F.col(norm_), F.lit(p))
+    base = base.withColumn(wide_, F.when(any_phrase, F.concat(F.lit(" "), F.replace(F.col(norm_), F.lit(" "), F.lit("  ")), F.lit(" "))).otherwise(""))
     counts, firsts, lasts, labels = [], [], [], []
     for p, label in PHRASES.items():
         wide = f" {p.replace(' ', '  ')} "
-        n = (F.length("_wide") - F.length(F.replace(F.col("_wide"), F.lit(wide), F.lit("")))) / F.lit(len(wide))
-        before = F.substring_index(F.col("_wide"), wide, 1)
-        after = F.substring_index(F.col("_wide"), wide, -1)
+        n = (F.length(wide_) - F.length(F.replace(F.col(wide_), F.lit(wide), F.lit("")))) / F.lit(len(wide))
+        before = F.substring_index(F.col(wide_), wide, 1)
+        after = F.substring_index(F.col(wide_), wide, -1)
         def words(c): return (F.length(c) - F.length(F.replace(c, F.lit("  "), F.lit(" ")))) + F.when(F.length(c) > 0, 1).otherwise(0)
         found = n > 0
         counts.append(n.cast("long"))
         firsts.append(F.when(found, words(before)))
         lasts.append(F.when(found, F.col("n_words") - words(after) - len(p.split())))
         labels.append(F.when(found, F.lit(label)))
-    some = F.col("_wide") != ""
+    some = F.col(wide_) != ""
     base = base.withColumns(
         {
             "n_base": F.when(some, sum(counts[1:], counts[0])).otherwise(0).cast("long"),
             "first_word": F.when(some, F.least(*firsts)).cast("long"),
             "last_word": F.when(some, F.greatest(*lasts)).cast("long"),
-            "_base": F.when(some, F.array_compact(F.array(*labels))).otherwise(F.array().cast("array<string>")),
+            base_: F.when(some, F.array_compact(F.array(*labels))).otherwise(F.array().cast("array<string>")),
         }
     )
-    scores = F.transform("_hits", lambda h: h["score"])
+    scores = F.transform(hits_, lambda h: h["score"])
     return base.withColumns(
         {
-            "base_labels": F.array_join(F.array_sort("_base"), ","),
-            "labels": F.array_join(F.array_sort(F.array_union("_base", F.transform("_hits", lambda h: h["label"]))), ","),
-            "score": F.when(F.size("_base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(scores), F.lit(0.0))),
+            "base_labels": F.array_join(F.array_sort(base_), ","),
+            "labels": F.array_join(F.array_sort(F.array_union(base_, F.transform(hits_, lambda h: h["label"]))), ","),
+            "score": F.when(F.size(base_) > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(scores), F.lit(0.0))),
         }
-    ).drop("_low", "_norm", "_list", "_hits", "_wide", "_base")
+    ).drop(low_, norm_, list_, hits_, wide_, base_)
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,10 +178,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     sep = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-    rules = ",\n  ".join("('%s', [%s], %d)" % (t["label"], ", ".join(f"'{w}'" for w in t["words"]), t["need"]) for t in templates())
+    rules = ",\n  ".join("('%s', [%s], %d, %d)" % (t["label"], ", ".join(f"'{w}'" for w in t["words"]), t["need"], t["length"]) for t in templates())
     phrases = ",\n  ".join(f"('{p}', '{label}')" for p, label in PHRASES.items())
     return f"""
-WITH rules(label, words, need) AS (VALUES
+WITH rules(label, words, need, length) AS (VALUES
   {rules}),
 phrases(phrase, label) AS (VALUES
   {phrases}),
@@ -190,7 +193,12 @@ places AS (
 base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
                 string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY doc_id),
 lines AS (SELECT doc_id, list_distinct(regexp_split_to_array(line, '{sep}')) AS ws FROM (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM d)),
-hits AS (SELECT doc_id, label, len(list_intersect(ws, words)) / len(words) AS score FROM lines, rules WHERE len(list_intersect(ws, words)) >= need),
+starts AS (SELECT doc_id, ws, label, words, need, length, unnest(range(0, len(ws))) AS i FROM w, rules
+           WHERE contains(low, chr(10)) AND len(list_intersect(list_distinct(ws), words)) >= need),
+across AS (SELECT doc_id, label, need, words, max(len(list_intersect(list_distinct(ws[i + 1 : i + length]), words))) AS n
+           FROM starts WHERE list_contains(words, ws[i + 1]) GROUP BY doc_id, label, need, words),
+hits AS (SELECT doc_id, label, len(list_intersect(ws, words)) / len(words) AS score FROM lines, rules WHERE len(list_intersect(ws, words)) >= need
+         UNION ALL SELECT doc_id, label, n / len(words) FROM across WHERE n >= need),
 named AS (SELECT doc_id, label FROM hits UNION SELECT doc_id, label FROM places),
 joined AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM named GROUP BY doc_id)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
