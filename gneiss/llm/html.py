@@ -16,8 +16,10 @@ notices, comments and the like).
 The winners are broadcast only if they are counted to be at most 50,000 (a host name and a 64-bit path
 each); beyond that they are joined by a shuffle, with each host's pages dealt over SALTS parts.
 
-Defined results: null html is the empty text; an empty or textless page has text '' and n_chars 0; a null
-or odd url is the host ''; repeated rows are kept; an empty table gives no rows.
+Defined results: null html is the empty text; an empty or textless page has text '' and n_chars 0; pages with a null
+or odd url have no host, so no consensus, and use their own best container; of paths with equal votes the larger name wins; very long pages are read
+whole; an element of furniture that is never closed ends with an element around it or before the next article or heading;
+repeated rows are kept; an empty table gives no rows; further columns are kept whatever their names, but text and n_chars are replaced.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gneiss.llm.columns import private
 from gneiss.session import checkpoint, table
 
 BROADCAST_ROWS = 50_000
@@ -51,6 +54,9 @@ FURNITURE = frozenset(
     "search searchform pagination pager copyright skip hidden contentinfo complementary".split()
 )
 
+#: Words of these attributes that mark content.
+CONTENT = frozenset("article content main post story entry".split())
+
 #: Elements whose end tag may be omitted, the start tags that end them, and elements within which those do not.
 ENDED_BY = {
     "p": BLOCKS,
@@ -88,6 +94,11 @@ def _attributes(raw: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(raw)} if raw.strip() not in ("", "/") else {}
 
 
+def _content(attributes: dict[str, str]) -> bool:
+    """Whether class, id or role name an element as content."""
+    return any(w in CONTENT for k in ("class", "id", "role") for name in attributes.get(k, "").split() for w in WORD.findall(CAMEL.sub("-", name).lower()))
+
+
 def _furniture(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     if tag in DROPPED or tag == "header" and not inside:
         return True
@@ -99,7 +110,7 @@ def _furniture(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     if not said.strip():
         return False
     words = {w for name in said.split() for w in WORD.findall(CAMEL.sub("-", name).lower())}
-    if tag in ("article", "main") or words & {"article", "content", "main", "post", "story", "entry"}:
+    if tag in ("article", "main") or words & CONTENT:
         return bool(words & {"comment", "comments", "ad", "ads", "advert", "sidebar", "related", "footer", "nav"})
     return bool(words & FURNITURE)
 
@@ -175,7 +186,9 @@ def blocks(html: str) -> list[tuple[str, int, tuple]]:
         if _furniture(tag, attributes, inside):
             if tag in BLOCKS:
                 block = None
-            at = _after_implied(html, at, tag, {t for t, _, _ in stack}) if tag in ENDED_BY else _after(html, at, tag, True)
+            around = {t for t, _, _ in stack}
+            behind = _after_implied(html, at, tag, around) if tag in ENDED_BY else _after(html, at, tag, True)
+            at = behind if behind >= 0 else _broken_off(html, at, around)
             continue
         if tag in CLOSES_P:
             block = None
@@ -194,7 +207,7 @@ def blocks(html: str) -> list[tuple[str, int, tuple]]:
             label = " ".join(sorted(DIGITS.sub("#", attributes.get("class", "")).split()))
             above = chain[-1][1] if chain else ""
             chain = (*chain, (number, f"{above}/{tag}.{label}" if label else f"{above}/{tag}"))
-            inside = inside or tag in ("article", "main")
+            inside = inside or tag in ("article", "main") or _content(attributes)
     found_blocks = []
     for b in out:
         text = SPACE.sub(" ", "".join(b.parts)).strip()
@@ -206,12 +219,23 @@ def blocks(html: str) -> list[tuple[str, int, tuple]]:
 def _after(html: str, at: int, tag: str, nested: bool) -> int:
     """Behind the end tag of an element whose content is left out."""
     depth = 1
-    for found in re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.S | re.I).finditer(html, at) if nested else re.compile(rf"(x)?(?!x)x|<(/){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(html, at):
+    for found in re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.S | re.I).finditer(html, at) if nested else re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(html, at):
+        if not nested:
+            return found.end()
         if found.group(2) is None:
             continue
         depth += -1 if found.group(2) else 1
-        if depth == 0 or not nested:
+        if depth == 0:
             return found.end()
+    return -1 if nested else len(html)
+
+
+def _broken_off(html: str, at: int, around: set[str]) -> int:
+    """Where a left-out element that is never closed is taken to end."""
+    for found in re.compile(r"<(/?)([a-z][a-z0-9]*)(?=[\s/>])", re.I).finditer(html, at):
+        tag = found.group(2).lower()
+        if found.group(1) and tag in around or not found.group(1) and tag in ("main", "article", "h1"):
+            return found.start()
     return len(html)
 
 
@@ -305,7 +329,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[str, int], float] = {}
         for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             host = host_of(url)
-            for path, score in scores(blocks(html or "")).items():
+            for path, score in scores(blocks(html or "")).items() if host else ():  # pages without a host have no consensus
                 key = (host, path_id(path))
                 total[key] = total.get(key, 0.0) + score
         yield pa.RecordBatch.from_pydict({"host": [k[0] for k in total], "path": pa.array([k[1] for k in total], pa.int64()), "score": pa.array(list(total.values()), pa.float64())})
@@ -318,9 +342,10 @@ def winners(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     return checkpoint(total.groupBy("host").agg(F.max_by("path", F.struct("score", "path")).alias("path")))
 
 
-def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """pages with text and n_chars."""
-    won = winners(pages, url, html).select(F.col("host").alias("_host"), F.col("path").alias("_path"))
+def extract(pages: DataFrame, url: str = "url", html: str = "html", limit: int = BROADCAST_ROWS) -> DataFrame:
+    """pages with text and n_chars. limit: hosts whose winning paths are broadcast; more are joined, with salted hot hosts."""
+    h, won_host, path, salt, own_salt = private(pages, "h", "host", "path", "salt", "own_salt")
+    won = winners(pages, url, html).select(F.col("host").alias(won_host), F.col("path").alias(path))
 
     @F.pandas_udf("string")
     def host(urls):
@@ -331,15 +356,15 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
         return htmls.combine(paths, lambda h, p: main_text(h, None if p is None or p != p else int(p)))
 
     # the path travels as text: pandas would turn a long with nulls into a float
-    won = won.withColumn("_path", F.col("_path").cast("string"))
-    rows = pages.withColumn("_h", host(F.col(url)))
-    if won.count() <= BROADCAST_ROWS:
-        joined = rows.join(F.broadcast(won), F.col("_h") == F.col("_host"), "left")
+    won = won.withColumn(path, F.col(path).cast("string"))
+    rows = pages.withColumn(h, host(F.col(url)))
+    if won.count() <= limit:
+        joined = rows.join(F.broadcast(won), F.col(h) == F.col(won_host), "left")
     else:
-        salted = won.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.withColumn("_s", F.pmod(F.xxhash64(html), F.lit(SALTS)).cast("int"))
-        joined = rows.join(salted, (F.col("_h") == F.col("_host")) & (F.col("_s") == F.col("_salt")), "left").drop("_s", "_salt")
-    found = joined.withColumn("text", text(F.col(html), F.col("_path"))).drop("_h", "_host", "_path")
+        salted = won.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn(own_salt, F.pmod(F.xxhash64(html), F.lit(SALTS)).cast("int"))
+        joined = rows.join(salted, (F.col(h) == F.col(won_host)) & (F.col(own_salt) == F.col(salt)), "left").drop(salt, own_salt)
+    found = joined.withColumn("text", text(F.col(html), F.col(path))).drop(h, won_host, path)
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
