@@ -12,7 +12,8 @@ key) runs out of key bits and goes on with the tie bits, so it is split as well.
 single row above the limit, forms a shard of its own with oversize = true.
 
 Defined results: a null key is the key ''; null or empty text has 0 bytes and is still placed;
-repeated rows are all kept; an empty table gives no rows; further columns are not touched.
+repeated rows and equal keys are all kept, told apart by their place; a very long text is a shard of its own; an empty table gives no rows;
+shard() gives key, bytes and placement of each row and reads no further columns; write_shards() writes whole rows, further columns too, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gneiss.llm.columns import private
 from gneiss.session import materialize, table
 
 LIMIT_BYTES = 1 << 20
@@ -109,16 +111,19 @@ def _assign(placed: DataFrame, found: DataFrame) -> DataFrame:
 
 def write_shards(df: DataFrame, path: str, key: str = "doc_id", payload: str = "text", limit: int = LIMIT_BYTES) -> None:
     """Write whole rows, one folder for each shard."""
-    rows = materialize(addresses(df, key, payload), "rows")
-    found = directory(rows, limit)
+    bits, size, cell, depth, name, whole = private(df, "bits", "bytes", "cell", "depth", "shard", "whole")
+    placed = addresses(df.select(F.struct("*").alias(whole), F.col(key).alias("_k"), F.col(payload).alias("_p")), "_k", "_p")
+    rows = materialize(placed.select(F.col("_bits").alias(bits), F.col("_bytes").alias(size), f"{whole}.*"), "rows")
+    found = directory(rows.select(F.col(bits).alias("_bits"), F.col(size).alias("_bytes")), limit)
     depths = sorted(r[0] for r in found.select("depth").distinct().collect())
     if not depths:
-        df.withColumn("shard", F.lit("")).write.parquet(path)
+        df.withColumn(name, F.lit("")).write.parquet(path)
         return
-    rows = rows.withColumn("_c", F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), F.substring("_bits", 1, d).alias("prefix")) for d in depths])))
-    held = found.select(F.col("depth").alias("_d"), F.col("prefix").alias("shard"))
-    placed = rows.join(held, (F.col("_c.depth") == F.col("_d")) & (F.col("_c.prefix") == F.col("shard"))).drop("_c", "_d", "_bits", "_bytes")
-    placed.withColumn("shard", F.concat(F.lit("s"), "shard")).repartition("shard").write.partitionBy("shard").parquet(path)
+    rows = rows.withColumn(cell, F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), F.substring(bits, 1, d).alias("prefix")) for d in depths])))
+    held = found.select(F.col("depth").alias(depth), F.col("prefix").alias(name))
+    placed = rows.join(held, (F.col(cell)["depth"] == F.col(depth)) & (F.col(cell)["prefix"] == F.col(name))).drop(cell, depth, bits, size)
+    # a shard is at most `limit` bytes, or one row, so it may meet in one task
+    placed.withColumn(name, F.concat(F.lit("s"), name)).repartition(name).write.partitionBy(name).parquet(path)
 
 
 def op3_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

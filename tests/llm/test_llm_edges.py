@@ -381,3 +381,132 @@ def test_license_notices_wrapped_over_lines(spark):
     assert got[1] == ("mit", 1.0) and got[2] == ("gpl,lgpl", 1.0)  # most words of the lgpl are the same
     assert got[3] == got[4] == got[5] == ("", 0.0)
     assert got[6] == ("mit", 0.8)
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ("<div class='post'><header><h1>Head</h1></header><p>{a}</p></div>", "Head\n\n{a}"),
+        ("<nav><a href='#'>menu</a><article><h1>Head</h1><p>{a}</p></article>", "Head\n\n{a}"),
+        ("<div><aside>side <b>bar</b></div><article><p>{a}</p></article>", "{a}"),
+    ],
+)
+def test_html_headers_and_broken_furniture(spark, body, text):
+    a = "A long part of the article in words. " * 9
+    page = f"<html><body><header>Top</header>{body.format(a=a)}<footer>foot</footer></body></html>"
+    got = html.extract(spark.createDataFrame([(1, "https://h.example/1", page)], "page_id long, url string, html string")).collect()
+    assert [r["text"] for r in got] == [text.format(a=a.strip())]
+
+
+def test_html_hosts_by_join_and_pages_without_host(spark):
+    a = "A long part of the article in words. " * 9
+    one, two = f"<body><div class='x'><p>{a}</p></div></body>", f"<body><div class='y'><p>{a}</p></div><div class='x'><p>short</p></div></body>"
+    rows = [(k, f"https://h{k % 7}.example/{k}", one) for k in range(60)] + [(k, None, one) for k in range(100, 130)] + [(200, "//h.example/x", two), (201, "", two)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(map(str, html.extract(pages).collect()))
+    assert got == sorted(map(str, html.extract(pages, limit=0).collect()))
+    assert sum(a.strip() in r for r in got) == len(rows)  # pages without a host do not decide for one another
+
+
+def test_decontamination_by_join_and_ids(spark):
+    """Every way of joining gives the same; null and repeated ids of documents and items do not mix."""
+    import random
+
+    rng = random.Random(3)
+    items = [(k if k % 5 else None, " ".join(f"v{rng.randrange(5000)}" for _ in range(n))) for k, n in enumerate([2, 4, 5, 9, 19, 20, 25, 60, 150, 300, 700, 2000])]
+    items += [(3, "another text under one id of nine words all"), (3, "another text under one id of nine words all")]
+    docs = [(k if k % 4 else None, f"before {k} " + " ".join(x for i, x in enumerate(t.split()) if i != 7) + " after") for k, (_, t) in enumerate(items)]
+    docs += [(100, items[-3][1][:6000]), (100, "harmless"), (None, "harmless too"), (101, None)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(str, decontamination.contaminated(d, b).collect()))
+    assert got == sorted(map(str, decontamination.contaminated(d, b, rows=0, keys=0).collect()))
+
+    def grams(text, n):
+        w = text.lower().split()
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+    want = set()
+    for doc_id, text in docs:
+        for item_id, item in items:
+            n = min(5, len(item.split()))
+            own = grams(item, n)
+            common = len(own & grams(text or "", n))
+            if 100 * common >= 80 * len(own):
+                want.add((doc_id, text, item_id, item, common))
+    rows = decontamination.contaminated(d, b).collect()
+    assert sorted((str(r["_id"]), str(r["item_id"]), r["n_common"]) for r in rows) == sorted((str(a), str(c), n) for a, _, c, _, n in want)
+    left = decontamination.decontaminate(d.withColumn("bad_id", F.lit(1)).withColumn("_key", F.lit(2)), b).collect()
+    assert sorted(str(r["text"]) for r in left) == sorted(str(t) for k, t in docs if not any((k, t) == (x[0], x[1]) for x in want))
+
+
+def test_templated_texts_branch_on(spark):
+    """Many texts on one template, none alike enough but two: the pair is found, no other is linked, and large nodes are split."""
+    template = [f"t{i}" for i in range(170)]
+    rows = [(k, " ".join(template + [f"u{k}x{i}" for i in range(29)])) for k in range(180)]
+    rows.append((500, " ".join(template + [f"u3x{i}" for i in range(27)] + ["z1", "z2"])))
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**{k: k for k in range(180)}, 500: 3}
+
+
+def test_dedup_keeps_one_row_of_an_id(spark):
+    rows = [(1, "one two three four five six"), (1, "one two three four five six"), (2, "one two three four five six"), (3, "other"), (None, "other"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("gone", F.lit(0)).withColumn("times", F.lit(0))
+    got = near_dedup.dedup(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["1", "3", "None", "None"] and got[0].asDict().keys() == {"doc_id", "text", "gone", "times"}
+
+
+def test_sample_of_the_classifier_is_bounded(spark):
+    assert quality.sample_limit(100, 8000) == (1 << 63) - 1
+    for n in (10**5, 10**10, 10**14):
+        share = (quality.sample_limit(n, 8000) + (1 << 63)) / 2**64
+        assert 8000 < share * n < 9000
+    docs = spark.createDataFrame([(None, f"{PROSE} {k}") for k in range(300)] + [(7, "### !!! same $$$")] * 300, "doc_id long, text string")
+    seen = []
+    keep = quality.fit_scorer
+    quality.fit_scorer = lambda rows: seen.append(len(rows)) or keep(rows)
+    try:
+        quality.fit(docs, sample=50)
+    finally:
+        quality.fit_scorer = keep
+    assert seen == [50]
+
+
+def test_em_is_that_of_dictionaries():
+    """Dawid-Skene written out, over patterns one by one."""
+    import math
+
+    counts = {"1111111?": 800, "0011111?": 60, "1100000?": 20, "00000000": 120, "1?1?1?1?": 33, "0?0?1?0?": 12}
+    post = {p: 0.1 if p.count("0") > p.count("1") else 0.6 if "0" in p else 0.95 for p in counts}
+    for _ in range(quality.ROUNDS):
+        prior, chance = {}, {}
+        for y in (0, 1):
+            share = {p: post[p] if y else 1 - post[p] for p in counts}
+            prior[y] = max(1.0, sum(counts[p] * share[p] for p in counts)) / sum(counts.values())
+            for k in range(8):
+                held = {v: 0.5 + sum(counts[p] * share[p] for p in counts if p[k] == v) for v in "01"}
+                for v in "01":
+                    chance[y, k, v] = held[v] / (held["0"] + held["1"])
+        for p in counts:
+            logs = [math.log(prior[y]) + sum(math.log(chance[y, k, v]) for k, v in enumerate(p) if v != "?") for y in (0, 1)]
+            post[p] = 1 / (1 + math.exp(max(-60, min(60, logs[0] - logs[1]))))
+    got, _ = quality.expectation_maximisation(list(counts), list(counts.values()))
+    assert {p: got[p] for p in counts} == pytest.approx(post, abs=1e-6)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_private_names_do_not_clash(spark, name):
+    """Columns with the names that operators use inside, in any case."""
+    used = ("gone", "times", "done", "Row", "own", "_key", "_bits", "_bytes", "quality_score", "encoded", "low", "NORM", "list", "hits", "wide", "base", "_id", "_t", "_words", "bad_id", "bad_key", "h", "host", "path", "salt", "own_salt", "group", "held_out")
+    docs = spark.createDataFrame([(1, PROSE), (2, None), (3, PROSE + "end")], "doc_id long, text string").withColumns({n: F.lit(f"kept {n}") for n in used})
+    rows = OPERATORS[name](docs).collect()
+    assert rows
+    if name in ("1d", "2", "4", "5", "6", "7", "8"):
+        assert all(r[n] == f"kept {n}" for r in rows for n in used)
+
+
+def test_write_shards_keeps_rows(spark, tmp_path):
+    docs = spark.createDataFrame([(k, "x" * (k % 300), "kept") for k in range(400)], "doc_id long, text string, lang string")
+    sharding.write_shards(docs, str(tmp_path / "out"), limit=5000)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(tuple, back.select("doc_id", "text", "lang").collect())) == sorted(map(tuple, docs.collect()))
+    assert back.groupBy("shard").agg(F.sum(F.length("text")).alias("n")).where("n > 5000").count() == 0
