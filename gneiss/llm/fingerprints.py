@@ -9,17 +9,17 @@ text. A phrase boundary depends on a bounded neighbourhood, so equal substrings
 phrases at any offset.
 
 The fingerprint is a one-permutation MinHash of the distinct phrase names of the upper levels (those with mean phrase
-lengths of about 8 to 60 code points): 64 registers of 16 bits, in hex. Likeness is the share of equal registers among those filled in
+lengths of about 8 to 60 code points): 64 registers of 32 bits, in hex. Likeness is the share of equal registers among those filled in
 either. Every level is computed for whole batches of texts by vector operations, linear in the text;
 memory is bounded by the batch (texts are taken until CODE_POINTS are together).
 
-The edited text of a document needs the next document. Documents are range-partitioned on their id, once, by
-boundaries that are ids themselves; the first document of each range is also sent to the range
-before it (and the very first to the last), so no range needs another one's data.
+The edited text of a document needs the next document. Documents are range-partitioned on their id, once, and sorted;
+each range is read in order, so a document's next one is at hand, but for the last of a range. Each range also hands out its first and its last document, and a small
+join gives the last of each range its next one (the very last: the very first).
 
 Defined results: null text is empty text; the empty text has the fingerprint of 64 empty registers, and
-two empty fingerprints have likeness 1; equal ids are ordered by text; null ids come first; an only document is its own next
-one; an empty table gives no rows.
+two empty fingerprints have likeness 1; equal ids are ordered by text, so repeated rows follow one another; null ids come first; very long
+texts are whole; an only document is its own next one; an empty table gives no rows; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -29,10 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gneiss.session import table
+from gneiss.session import materialize, table
 
 REGISTERS = 64
 LEVELS = 4
@@ -42,7 +43,8 @@ RANGE_BYTES = 8 << 20
 #: Odd multipliers of a 64-bit finaliser.
 MIX_1, MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 STEP = np.uint64(0x9E3779B97F4A7C15)
-EMPTY = 0xFFFF
+EMPTY = 0xFFFFFFFF
+CUT = 64  # characters of a text that ranges are cut by, after the id
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -103,14 +105,14 @@ def _registers(names: np.ndarray, text: np.ndarray, n: int, into: np.ndarray) ->
     """Minimum of the hashes of a text's names in each of its registers."""
     h = _mix(names + STEP)
     slot = text * REGISTERS + (h & np.uint64(REGISTERS - 1)).astype(np.int64)
-    value = ((h >> np.uint64(40)) % np.uint64(EMPTY)).astype(np.uint16)
+    value = ((h >> np.uint64(24)) % np.uint64(EMPTY)).astype(np.uint32)
     np.minimum.at(into, slot, value)
 
 
 def fingerprints(texts: list[str]) -> np.ndarray:
     """A row of registers for each text."""
     n = len(texts)
-    out = np.full(n * REGISTERS, EMPTY, np.uint16)
+    out = np.full(n * REGISTERS, EMPTY, np.uint32)
     sizes = np.array([len(t) for t in texts], np.int64)
     if sizes.sum():
         codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -129,8 +131,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(filled.any(1), equal / np.maximum(filled.sum(1), 1), 1.0)
 
 
-def _hex(rows: np.ndarray) -> list[str]:
-    return [r.astype(">u2").tobytes().hex() for r in rows]
+def _packed(rows: np.ndarray) -> list[bytes]:
+    return [r.astype(">u4").tobytes() for r in rows]
 
 
 def edited(text: str, following: str) -> str:
@@ -138,81 +140,89 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+RESULT = "doc_id long, n_chars long, sha binary, print binary, edited_print binary, near_edited double, near_next double"
+SCHEMA = f"range long, edge int, text string, {RESULT}"
 
 
-def _rows(ids: list, texts: list[str]) -> pa.RecordBatch:
-    """Results for all texts but the last, which is only the follower of the one before."""
-    changed = [edited(a, b) for a, b in zip(texts, texts[1:])]
-    prints = fingerprints(texts)
+def _results(ids: list, texts: list[str], following: list[str]) -> list[pa.Array]:
+    """The columns of RESULT."""
+    n = len(texts)
+    changed = [edited(a, b) for a, b in zip(texts, following)]
+    chain = texts[1:] == following[:-1]
+    prints = fingerprints([*texts, following[-1]] if chain else texts + following)
+    after = prints[1:] if chain else prints[n:]
     of_edited = fingerprints(changed)
-    own = prints[:-1]
-    return pa.RecordBatch.from_pydict(
-        {
-            "doc_id": pa.array(ids[:-1], pa.int64()),
-            "n_chars": pa.array([len(t) for t in texts[:-1]], pa.int64()),
-            "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
-            "fingerprint": _hex(own),
-            "edited_fingerprint": _hex(of_edited),
-            "near_edited": likeness(own, of_edited),
-            "near_next": likeness(own, prints[1:]),
-        }
-    )
-
-
-def _partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (range, follower, doc_id, text) sorted by range, follower, doc_id, text; a range ends with its follower."""
-    ids, texts, size, current, closed = [], [], 0, None, False
-
-    def done():
-        return len(texts) > 1
-
+    return [
+        pa.array(ids, pa.int64()),
+        pa.array([len(t) for t in texts], pa.int64()),
+        pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in changed], pa.binary()),
+        pa.array(_packed(prints[:n]), pa.binary()),
+        pa.array(_packed(of_edited), pa.binary()),
+        pa.array(likeness(prints[:n], of_edited), pa.float64()),
+        pa.array(likeness(prints[:n], after), pa.float64()),
+    ]
+
+
+def _in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of a range, sorted -> SCHEMA: results of all but the last one (edge 0), and the first (1) and the last (2) as texts."""
+    number = TaskContext.get().partitionId()
+    names = ["range", "edge", "text", *(f.split()[0] for f in RESULT.split(", "))]
+
+    def edge(kind: int, doc_id, text: str) -> pa.RecordBatch:
+        blank = [pa.nulls(1, t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([kind], pa.int32()), pa.array([text], pa.string()), pa.array([doc_id], pa.int64()), *blank], names=names)
+
+    def done() -> pa.RecordBatch:
+        n = len(ids) - 1
+        made = _results(ids[:-1], texts[:-1], texts[1:])
+        return pa.RecordBatch.from_arrays([pa.array([number] * n, pa.int64()), pa.array([0] * n, pa.int32()), pa.nulls(n, pa.string()), *made], names=names)
+
+    ids, texts, size, started = [], [], 0, False
     for batch in batches:
-        for rng, follower, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if rng != current:
-                if done():
-                    yield _rows(ids, texts)
-                ids, texts, size, current, closed = [], [], 0, rng, False
-            if closed:  # further followers with the same id
-                continue
-            closed = follower == 1
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if not started:
+                started = True
+                yield edge(1, doc_id, text)
             ids.append(doc_id)
             texts.append(text)
             size += len(text)
-            if size >= CODE_POINTS and done():
-                yield _rows(ids, texts)
+            if size >= CODE_POINTS and len(ids) > 1:
+                yield done()
                 ids, texts, size = ids[-1:], texts[-1:], len(texts[-1])
-    if done():
-        yield _rows(ids, texts)
+    if len(ids) > 1:
+        yield done()
+    if started:
+        yield edge(2, ids[-1], texts[-1])
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
-    """(range, follower, doc_id, text): each range in order, closed by the first document of the next one."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    seen = rows.agg(F.count("*"), F.sum(F.octet_length("text")), F.min("doc_id"), F.sum(F.col("doc_id").isNull().cast("int"))).first()
-    n, size, least, nulls = seen[0], seen[1] or 0, seen[2], seen[3] or 0
-    if ranges is None:
-        ranges = max(1, -(-size // RANGE_BYTES))
-    cuts = []
-    if least is not None and ranges > 1:
-        share = [i / ranges for i in range(1, ranges)]
-        cuts = sorted({int(x) for x in rows.approxQuantile("doc_id", share, 0.1 / ranges)} - {least})
-    # quantiles are ids of the table, so each cut is the first id of its range; null ids are a range of their own
-    cuts = ([least] if nulls and least is not None else []) + cuts
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else None
-    at = F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
-    at = F.when(F.col("doc_id").isNull(), 0).otherwise(at).cast("int")
-    start = F.col("doc_id").isin(cuts) if cuts else F.lit(False)
-    very_first = F.col("doc_id").isNull() if nulls else (F.col("doc_id") == F.lit(least).cast("long"))
-    own = F.struct(at.alias("range"), F.lit(0).alias("follower"))
-    before = F.when(F.coalesce(start, F.lit(False)), F.struct((at - 1).alias("range"), F.lit(1).alias("follower")))
-    wrap = F.when(F.coalesce(very_first, F.lit(False)), F.struct(F.lit(len(cuts)).alias("range"), F.lit(1).alias("follower")))
-    placed = rows.withColumn("_p", F.explode(F.array_compact(F.array(own, before, wrap)))).select("_p.range", "_p.follower", "doc_id", "text")
-    return placed.repartition(max(1, len(cuts) + 1), "range").sortWithinPartitions("range", "follower", F.col("doc_id").asc_nulls_first(), "text")
+def _at_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, following) -> RESULT."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            ids, texts, following = (c.to_pylist() for c in batch.slice(at, 64).columns)
+            yield pa.RecordBatch.from_arrays(_results(ids, texts, following), names=[f.split()[0] for f in RESULT.split(", ")])
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
-    return with_next(docs, id_col, text, ranges).mapInArrow(_partition, SCHEMA)
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row of docs."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if ranges is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        ranges = max(1, -(-size // RANGE_BYTES))
+    order = F.col("doc_id").asc_nulls_first()
+    # the beginning of a text only cuts the ranges of one id; within a range whole texts are sorted
+    dealt = rows.repartitionByRange(ranges, order, F.substring("text", 1, CUT)).sortWithinPartitions(order, "text")
+    made = materialize(dealt.mapInArrow(_in_range, SCHEMA), "fingerprints")
+    names = [f.split()[0] for f in RESULT.split(", ")]
+    first = made.where("edge = 1").select(F.col("range").alias("next"), F.col("text").alias("following"))
+    # one number for each range, so a row for each RANGE_BYTES of text
+    numbers = first.select("next").agg(F.sort_array(F.collect_list("next")).alias("n"))
+    follow = numbers.select(F.explode(F.arrays_zip(F.col("n").alias("range"), F.concat(F.slice("n", 2, F.greatest(F.size("n"), F.lit(1))), F.slice("n", 1, 1)).alias("next"))).alias("p")).select("p.range", "p.next")
+    last = made.where("edge = 2").select("range", "doc_id", "text").join(follow, "range").join(first, "next")
+    ends = last.select("doc_id", "text", "following").mapInArrow(_at_edges, RESULT)
+    every = made.where("edge = 0").select(*names).unionByName(ends)
+    code = lambda c: F.lower(F.hex(c))
+    return every.select("doc_id", "n_chars", code("sha").alias("edited_sha256"), code("print").alias("fingerprint"), code("edited_print").alias("edited_fingerprint"), "near_edited", "near_next")
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
