@@ -183,10 +183,22 @@ def test_fingerprint_shares_parts_at_any_offset():
 
 
 def test_next_document_across_ranges(spark):
-    rows = [(k, f"text {k} " + "abc" * k) for k in range(40)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    one = sorted(map(tuple, fingerprints.fingerprint_documents(docs, ranges=1).collect()))
-    assert one == sorted(map(tuple, fingerprints.fingerprint_documents(docs, ranges=7).collect()))
+    rows = [(k, f"text {k} " + "abc" * k) for k in range(40)] + [(7, f"same id {k}") for k in range(60)] + [(None, "no id"), (None, None), (50, None), (51, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    one = sorted(map(str, fingerprints.fingerprint_documents(docs, ranges=1).collect()))
+    assert len(one) == len(rows)
+    assert one == sorted(map(str, fingerprints.fingerprint_documents(docs, ranges=7).collect()))
+    assert one == sorted(map(str, fingerprints.fingerprint_documents(docs, ranges=500).collect()))
+    (alone,) = fingerprints.fingerprint_documents(docs.where("doc_id = 50"), ranges=3).collect()
+    assert (alone["n_chars"], alone["near_next"]) == (0, 1.0)
+
+
+def test_likeness_of_long_unrelated_texts():
+    import random
+
+    one, two = ("".join(random.Random(k).choices("abcdefghij klmno", k=3_000_000)) for k in (1, 2))
+    a, b = fingerprints.fingerprints([one, two])
+    assert fingerprints.likeness(a[None], b[None])[0] < 0.05
 
 
 def test_em_finds_the_better_labeller():
