@@ -20,7 +20,7 @@ No group's pairs are all written. Round 1: of each node's similar pairs a maximu
 proposed (fewer edges than classes) and confirmed. Round 2: only nodes in which an edge was refused between
 components that are still apart, and dealt nodes whose parts are not one component, are compared again, and
 all their similar pairs between different components are confirmed (similar by a finer sketch too, so that texts just
-below the threshold, of which a large group has many, are few). A node with more than NODE classes outside its
+below the threshold, of which a large group has many, are few). A node with more than OUTSIDE classes outside its
 largest component (texts on a common template that do not link) branches on, up to FURTHER levels, and children of one component are
 left out, so its work grows little faster than its classes. In dealt nodes, the few classes outside the
 node's largest component meet all of its parts, each pair in one part, so no link between components is lost there; the same
@@ -55,6 +55,7 @@ TREES = 12
 NODE = 64
 LEVELS = 6
 FURTHER = 30
+OUTSIDE = 8 * NODE  # guests that each part of a dealt node takes at most
 MARGIN = 4.5
 BINS = 512
 EMPTY = 255
@@ -454,7 +455,7 @@ def _labelled(df: DataFrame, named: DataFrame, column: str, label: str) -> DataF
 
 
 def _still_open(leaf: DataFrame, classes: DataFrame, named: DataFrame) -> DataFrame:
-    """(node, doc_id, component, main, n_node) of nodes with several components, of which at most NODE classes are outside the main one.
+    """(node, doc_id, component, main, n_node) of nodes with several components, of which at most OUTSIDE classes are outside the main one.
 
     Others branch on."""
     signs = classes.select(F.col("class").alias("doc_id"), "sign")
@@ -463,7 +464,7 @@ def _still_open(leaf: DataFrame, classes: DataFrame, named: DataFrame) -> DataFr
         rows = materialize(_labelled(level, named, "doc_id", "component"), f"open{depth}")
         by = rows.groupBy("node", "component").agg(F.count("*").alias("n"))
         sizes = by.groupBy("node").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n_node"), F.max("n").alias("n_main"), F.count("*").alias("components"))
-        sizes = sizes.where("components > 1").withColumn("wide", F.lit(depth < FURTHER) & (F.col("n_node") - F.col("n_main") > NODE) & (F.col("n_node") > 2 * NODE))
+        sizes = sizes.where("components > 1").withColumn("wide", F.lit(depth < FURTHER) & (F.col("n_node") - F.col("n_main") > OUTSIDE))
         held = rows.join(sizes.select("node", "main", "n_node", "wide"), "node")
         done = held.where(~F.col("wide")).select("node", "doc_id", "component", "main", "n_node")
         found = done if found is None else found.unionByName(done)
