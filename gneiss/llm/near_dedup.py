@@ -55,7 +55,7 @@ TREES = 12
 NODE = 64
 LEVELS = 6
 FURTHER = 30
-OUTSIDE = 8 * NODE  # guests that each part of a dealt node takes at most
+OUTSIDE = 32 * NODE  # guests that each part of a dealt node takes at most
 MARGIN = 4.5
 BINS = 512
 EMPTY = 255
