@@ -12,8 +12,8 @@ def connected_components(edges: DataFrame, max_iterations: int = 64) -> DataFram
     """(node, component): component is the smallest node that can be reached. edges: (a, b), of one orderable type.
 
     Alternates large-star and small-star, which needs a logarithmic number of rounds on
-    long chains too. A hub is no hot key: its neighbours are reduced to their minimum by partial aggregation, and the
-    join back to the minimum has one row on that side. Loops (a = b) keep isolated nodes.
+    long chains too. A hub's neighbours are reduced to their minimum by partial aggregation; the join back to the minimum has one
+    row on that side and all of the hub's edges on the other, which adaptive execution splits (skew join). Loops (a = b) keep isolated nodes.
     Not converging within max_iterations is an error.
     """
     loops = edges.where("a = b").select(F.col("a").alias("node"))
@@ -27,7 +27,8 @@ def connected_components(edges: DataFrame, max_iterations: int = 64) -> DataFram
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         rows = checkpoint(small.where("u <> v").distinct())
-        now = rows.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
+        # the sets of two rounds are told apart by their size and 192 bits of order-independent hashes
+        now = rows.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)"))).first()
         if now == before:
             return nodes.join(rows.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")), "node", "left").select(
                 "node", F.coalesce("component", "node").alias("component")

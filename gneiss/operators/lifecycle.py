@@ -65,11 +65,17 @@ def snapshot_absences(records: DataFrame, batches: DataFrame, domain: list[str])
     return had.join(now, [*domain, "run_id", "record_id"], "left_anti").select(*domain, "run_id", "previous_run", "record_id").distinct()
 
 
-def interval_changes(events: DataFrame, batches: DataFrame, domain: list[str]) -> DataFrame:
-    """Events of each batch's interval [previous acquired, acquired): equality on the domain, then the range."""
+def interval_changes(events: DataFrame, batches: DataFrame, domain: list[str], bucket_seconds: int = 86_400) -> DataFrame:
+    """Events of each batch's interval [previous acquired, acquired).
+
+    Equality on the domain and a bucket of time, then the range: a domain's intervals tile its time, so an event meets the one or two
+    intervals that touch its bucket, and a hot domain is spread over its buckets."""
     order = Window.partitionBy(*domain).orderBy("acquired", "run_id")
+    bucket = lambda c: F.floor(F.unix_timestamp(F.col(c).cast("timestamp")) / bucket_seconds)
     spans = batches.withColumn("since", F.lag("acquired").over(order)).where("since is not null")
-    return events.join(spans, domain).where((F.col("at") >= F.col("since")) & (F.col("at") < F.col("acquired")))
+    spans = spans.withColumn("_bucket", F.explode(F.sequence(bucket("since"), bucket("acquired"))))
+    met = events.withColumn("_bucket", bucket("at")).join(spans, [*domain, "_bucket"])
+    return met.where((F.col("at") >= F.col("since")) & (F.col("at") < F.col("acquired"))).drop("_bucket")
 
 
 def revocations(inactive: DataFrame, nodes: DataFrame, memberships: DataFrame) -> DataFrame:

@@ -2,31 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Entries of a nested list.
 MAX_TITLES = MAX_IDENTIFIERS = MAX_RELATIONS = 64
 MAX_PARENT_CANDIDATES = 16
-#: Order of languages and roles of titles.
-LANGUAGE_RANK = {"en": 0, "fr": 1, "de": 2, "es": 3}
-ROLE_RANK = {"PRIMARY": 0, "ORIGINAL": 1, "TRANSLATION": 2, "ALIAS": 3}
+#: Order of languages and roles of titles, and the rank of other roles.
+LANGUAGES = ("zh-hans", "zh-hant", "zh", "en", "und")
+ROLE_RANK = {"PRIMARY": 0, "TITLE": 1, "ALIAS": 10}
+OTHER_ROLE = 5
 
 
-def _ranked(column: str, ranks: dict[str, int]) -> Column:
+def _ranked(value: Column, ranks: dict[str, int], other: int) -> Column:
     pairs = [F.lit(x) for kv in ranks.items() for x in kv]
-    return F.coalesce(F.create_map(*pairs)[F.col(column)], F.lit(len(ranks)))
+    return F.coalesce(F.create_map(*pairs)[value], F.lit(other))
 
 
 def bounded(df: DataFrame, key: str, name: str, item: Column, limit: int) -> DataFrame:
     """(key, name, name_overflow): sorted distinct items, cut to the limit, with the number cut."""
-    lists = df.groupBy(key).agg(F.array_sort(F.collect_set(item)).alias("_all"))
-    return lists.select(key, F.slice("_all", 1, limit).alias(name), F.greatest(F.size("_all") - limit, F.lit(0)).alias(f"{name}_overflow"))
+    once = df.select(key, item.alias("_item")).distinct()
+    # the window's limit is applied before its shuffle too, so a hot key's list is never longer than the limit
+    ranked = once.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("_item"))).where(F.col("_r") <= limit)
+    lists = ranked.groupBy(key).agg(F.array_sort(F.collect_list("_item")).alias(name))
+    sizes = once.groupBy(key).agg(F.greatest(F.count("*") - limit, F.lit(0)).cast("int").alias(f"{name}_overflow"))
+    return lists.join(sizes, key)
 
 
 def titles(fields: DataFrame, limit: int = MAX_TITLES) -> DataFrame:
     """Titles by language rank, language, role rank, lower-cased text, text."""
-    item = F.struct(_ranked("language", LANGUAGE_RANK).alias("r"), F.col("language"), _ranked("role", ROLE_RANK).alias("rr"), F.lower("title").alias("low"), F.col("title"), F.col("role"))
+    language = F.regexp_replace(F.lower(F.coalesce("language", F.lit("und"))), "_", "-")
+    ranks = {x: i for i, x in enumerate(LANGUAGES)}
+    role = _ranked(F.upper(F.coalesce("role", F.lit("OTHER"))), ROLE_RANK, OTHER_ROLE)
+    item = F.struct(_ranked(language, ranks, len(ranks)).alias("r"), language.alias("language"), role.alias("rr"), F.lower("title").alias("low"), F.col("title"), F.col("role"))
     out = bounded(fields, "entity_key", "titles", item, limit)
     return out.withColumn("titles", F.transform("titles", lambda x: F.struct(x["language"].alias("language"), x["role"].alias("role"), x["title"].alias("title"))))
 

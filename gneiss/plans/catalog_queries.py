@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gneiss.operators import closure, digests, identity, lifecycle, projection, resolution
+from gneiss.operators import closure, composites, digests, identity, lifecycle, policy, projection, resolution
 from gneiss.session import table
 
 QUERIES: dict = {}
@@ -450,12 +450,12 @@ def calibrated_scores(spark, d):
 # --- projection ---------------------------------------------------------------------------------------------------
 
 
-@query("""WITH t AS (SELECT DISTINCT o_custkey AS entity_key, CASE o_orderstatus WHEN 'F' THEN 'en' WHEN 'O' THEN 'fr' ELSE 'xx' END AS language, CASE o_orderpriority WHEN '1-URGENT' THEN 'PRIMARY' WHEN '2-HIGH' THEN 'ORIGINAL' ELSE 'ALIAS' END AS role, o_orderpriority AS title FROM orders),
-r AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY CASE language WHEN 'en' THEN 0 WHEN 'fr' THEN 1 ELSE 4 END, language, CASE role WHEN 'PRIMARY' THEN 0 WHEN 'ORIGINAL' THEN 1 ELSE 3 END, lower(title), title, role) AS n FROM t)
+@query("""WITH t AS (SELECT DISTINCT o_custkey AS entity_key, CASE o_orderstatus WHEN 'F' THEN 'en' WHEN 'O' THEN 'zh-hant' ELSE 'fr' END AS language, CASE o_orderpriority WHEN '1-URGENT' THEN 'PRIMARY' WHEN '2-HIGH' THEN 'ORIGINAL' ELSE 'ALIAS' END AS role, o_orderpriority AS title FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY CASE language WHEN 'zh-hans' THEN 0 WHEN 'zh-hant' THEN 1 WHEN 'zh' THEN 2 WHEN 'en' THEN 3 WHEN 'und' THEN 4 ELSE 5 END, language, CASE role WHEN 'PRIMARY' THEN 0 WHEN 'TITLE' THEN 1 WHEN 'ALIAS' THEN 10 ELSE 5 END, lower(title), title, role) AS n FROM t)
 SELECT entity_key, string_agg(language || '/' || role || '/' || title, ';' ORDER BY n) FILTER (n <= 3) AS titles, greatest(count(*) - 3, 0)::INTEGER AS titles_overflow FROM r GROUP BY 1""")
 def bounded_titles(spark, d):
     o = table(spark, d, "orders")
-    language = F.when(F.col("o_orderstatus") == "F", "en").when(F.col("o_orderstatus") == "O", "fr").otherwise("xx")
+    language = F.when(F.col("o_orderstatus") == "F", "EN").when(F.col("o_orderstatus") == "O", "zh_Hant").otherwise("fr")
     role = F.when(F.col("o_orderpriority") == "1-URGENT", "PRIMARY").when(F.col("o_orderpriority") == "2-HIGH", "ORIGINAL").otherwise("ALIAS")
     rows = o.select(F.col("o_custkey").alias("entity_key"), language.alias("language"), role.alias("role"), F.col("o_orderpriority").alias("title"))
     out = projection.titles(rows, 3)
@@ -597,3 +597,144 @@ def music_exactness(spark, d):
     p = table(spark, d, "part")
     rows = p.select("p_partkey", F.when(F.col("p_brand").endswith("1"), "recording").otherwise("work").alias("kind"), F.when(F.col("p_size") % 2 == 0, F.col("p_size")).alias("recording_id"), F.lit(0).alias("n_conflicts"), F.when(F.col("p_size") <= 20, 1).otherwise(2).alias("n_variants"))
     return curation.music_exactness(rows).select("p_partkey", "exact")
+
+
+# --- composites ---------------------------------------------------------------------------------------------------
+
+
+@query("""WITH r(source, target, effective_at) AS (SELECT c_custkey, CASE WHEN c_custkey % 20 = 0 THEN c_custkey - 10 ELSE c_custkey - 1 END, CASE WHEN c_custkey % 30 = 0 THEN DATE '2030-01-01' ELSE DATE '1990-01-01' END FROM customer WHERE c_custkey % 10 = 0 AND c_custkey > 10),
+live AS (SELECT * FROM r WHERE effective_at <= DATE '2000-01-01'),
+m AS (SELECT o_orderkey AS node_id, o_custkey AS entity_key FROM orders)
+SELECT m.node_id, coalesce(b.target, a.target, m.entity_key) AS entity_key, c_nationkey AS level, c_mktsegment AS kind, 'ACTIVE' AS status
+FROM m LEFT JOIN live a ON a.source = m.entity_key LEFT JOIN live b ON b.source = a.target JOIN customer ON c_custkey = coalesce(b.target, a.target, m.entity_key)""")
+def resolved_memberships(spark, d):
+    c = table(spark, d, "customer")
+    m = table(spark, d, "orders").select(F.col("o_orderkey").alias("node_id"), F.col("o_custkey").alias("entity_key"), F.lit(1).alias("membership_key"), F.to_date(F.lit("1990-01-01")).alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    key = F.col("c_custkey")
+    r = c.where((key % 10 == 0) & (key > 10)).select(
+        key.alias("source"), F.when(key % 20 == 0, key - 10).otherwise(key - 1).alias("target"), F.when(key % 30 == 0, F.to_date(F.lit("2030-01-01"))).otherwise(F.to_date(F.lit("1990-01-01"))).alias("effective_at")
+    )
+    ledger = c.select(key.alias("entity_key"), F.col("c_nationkey").alias("level"), F.col("c_mktsegment").alias("kind"), F.lit("ACTIVE").alias("status"))
+    return composites.resolved_memberships(m, r, ledger, F.to_date(F.lit("2000-01-01")))
+
+
+@query("""WITH a AS (SELECT l.*, o_orderdate, l_returnflag AS policy, l_shipdate + to_days(l_quantity::INTEGER * 20) AS until FROM lineitem l JOIN orders ON o_orderkey = l_orderkey),
+s AS (SELECT CASE WHEN l_returnflag = 'R' AND l_linenumber % 2 = 0 THEN 'FENCED' WHEN l_returnflag = 'R' THEN 'NO_RIGHTS'
+  WHEN l_shipdate > TIMESTAMP '1996-01-01' OR l_linestatus = 'F' AND until <= TIMESTAMP '1996-01-01' THEN 'NOT_VALID'
+  WHEN l_returnflag = 'N' AND o_orderdate + INTERVAL 365 DAY <= TIMESTAMP '1996-01-01' THEN 'EXPIRED_LEASE'
+  WHEN l_orderkey % 7 = 0 THEN 'NOT_CURRENT' END AS reason, l_partkey FROM a)
+SELECT CASE WHEN reason IS NOT NULL THEN 'WITHHELD' WHEN l_partkey % 3 = 0 THEN 'UNRESOLVED' ELSE 'RESOLVED' END AS outcome, coalesce(reason, '') AS reason,
+  count(*) AS n, coalesce(sum(CASE WHEN reason IS NULL AND l_partkey % 3 <> 0 THEN l_partkey * 2 END), 0)::BIGINT AS entities FROM s GROUP BY 1, 2""")
+def eligible_assertions(spark, d):
+    at = F.expr("TIMESTAMP_NTZ '1996-01-01 00:00:00'")
+    li = table(spark, d, "lineitem").join(table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
+    until = F.col("l_shipdate") + F.make_dt_interval((F.col("l_quantity").cast("int") * 20))
+    policy_id, digest = F.col("l_returnflag"), F.lower("l_returnflag")
+    envelope = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate")
+    rows = li.select(
+        envelope.alias("assertion_id"),
+        F.lit("ACTIVE").alias("status"),
+        envelope.alias("envelope_key"),
+        F.col("l_linestatus").alias("run_id"),
+        policy_id.alias("policy_id"),
+        digest.alias("policy_digest"),
+        F.col("o_orderdate").alias("observed_at"),
+        F.col("l_shipdate").alias("valid_from"),
+        F.when(F.col("l_linestatus") == "F", until).alias("valid_to"),
+        F.col("l_partkey").alias("node_id"),
+        "l_orderkey",
+        (F.col("l_linenumber") % 2).alias("half"),
+    )
+    product = F.concat_ws("/", "policy_id", F.col("half").cast("string"))
+    records = rows.select("envelope_key", "run_id", product.alias("product_id"), "policy_id", "policy_digest").distinct()
+    products = rows.select(product.alias("product_id"), "policy_id").distinct()
+    rights = spark.createDataFrame([("A", "a", True, None), ("N", "n", True, 365), ("R", "r", False, None)], "policy_id string, policy_digest string, allowed boolean, max_age_days int")
+    fences = spark.createDataFrame([("R/0", "R", "DISPLAY"), ("A/0", "A", "TRAIN")], "product_id string, policy_id string, action string").withColumn("effective_at", F.expr("TIMESTAMP_NTZ '1995-01-01 00:00:00'"))
+    current = rows.where("l_orderkey % 7 <> 0").select("envelope_key", "run_id")
+    members = table(spark, d, "part").where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("node_id"), (F.col("p_partkey") * 2).alias("entity_key"))
+    done = composites.eligible_assertions(rows.drop("half", "l_orderkey"), records, products, rights, fences, current, members, at, ["DISPLAY", "SEARCH"])
+    return done.groupBy("outcome", F.coalesce("reason", F.lit("")).alias("reason")).agg(F.count("*").alias("n"), F.coalesce(F.sum("entity_key"), F.lit(0)).alias("entities"))
+
+
+@query("""WITH e AS (SELECT event_type AS domain, user_id AS record_id, date_trunc('day', ts) AS day, CASE WHEN event_id % 11 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM events),
+b AS (SELECT DISTINCT domain, day, CASE WHEN day = min(day) OVER (PARTITION BY domain) OR dayofmonth(day) % 4 = 0 THEN 'SNAPSHOT' ELSE 'DELTA' END AS kind FROM e),
+s AS (SELECT domain, day, lag(day) OVER (PARTITION BY domain ORDER BY day) AS prev FROM b WHERE kind = 'SNAPSHOT')
+SELECT DISTINCT s.domain, epoch(s.day)::BIGINT AS run_id, epoch(s.prev)::BIGINT AS previous_run, h.record_id FROM s JOIN e h ON h.domain = s.domain AND h.day >= s.prev AND h.day < s.day AND h.operation = 'UPSERT'
+WHERE NOT EXISTS (SELECT 1 FROM e n WHERE n.domain = s.domain AND n.day = s.day AND n.record_id = h.record_id AND n.operation = 'UPSERT')""")
+def snapshot_diff_absence(spark, d):
+    day = F.date_trunc("day", F.col("ts").cast("timestamp"))
+    e = table(spark, d, "events").select(F.col("event_type").alias("domain"), F.col("user_id").alias("record_id"), day.alias("acquired"), F.when(F.col("event_id") % 11 == 0, "DELETE").otherwise("UPSERT").alias("operation"))
+    e = e.withColumn("run_id", F.unix_timestamp("acquired"))
+    first = F.min("acquired").over(Window.partitionBy("domain"))
+    b = e.select("domain", "run_id", "acquired").distinct().withColumn("kind", F.when((F.col("acquired") == first) | (F.dayofmonth("acquired") % 4 == 0), "SNAPSHOT").otherwise("DELTA"))
+    return composites.snapshot_events(e.drop("acquired"), b, ["domain"])
+
+
+@query("""WITH e(node, label) AS (SELECT 'o' || o_orderkey, 'MOVIE' FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'o' || o_orderkey, 'OTHER' FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT 'c' || c_custkey, 'TV_SERIES_GROUP' FROM customer UNION ALL SELECT 'n' || n_nationkey, 'UNKNOWN' FROM nation UNION ALL SELECT 's' || s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'UNKNOWN' ELSE 'PERSON' END FROM supplier),
+chosen AS (SELECT DISTINCT 'o' || o_orderkey AS node, 'MEDIA' AS role FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT DISTINCT 'c' || o_custkey, 'PARENT' FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT DISTINCT 'n' || c_nationkey, 'PARENT' FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'F'),
+credit AS (SELECT 's' || l_suppkey AS node, max(CASE WHEN l_linenumber = 1 THEN 'PERSON' ELSE 'ORGANIZATION' END) AS hint FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F' GROUP BY 1)
+SELECT node, label, role FROM chosen JOIN e USING (node) UNION ALL SELECT node, CASE WHEN label = 'UNKNOWN' THEN hint ELSE label END, 'CREDIT' FROM credit JOIN e USING (node)""")
+def media_selection(spark, d):
+    o, c, li = table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "lineitem")
+    name = lambda letter, column: F.concat(F.lit(letter), F.col(column).cast("string"))
+    entities = o.select(name("o", "o_orderkey").alias("node"), F.when(F.col("o_orderstatus") == "F", "MOVIE").otherwise("OTHER").alias("label"))
+    entities = entities.unionByName(c.select(name("c", "c_custkey").alias("node"), F.lit("TV_SERIES_GROUP").alias("label")))
+    entities = entities.unionByName(table(spark, d, "nation").select(name("n", "n_nationkey").alias("node"), F.lit("UNKNOWN").alias("label")))
+    entities = entities.unionByName(table(spark, d, "supplier").select(name("s", "s_suppkey").alias("node"), F.when(F.col("s_suppkey") % 2 == 0, "UNKNOWN").otherwise("PERSON").alias("label")))
+    edges = o.select(name("o", "o_orderkey").alias("source"), F.lit("P179").alias("property"), name("c", "o_custkey").alias("target"))
+    edges = edges.unionByName(c.select(name("c", "c_custkey").alias("source"), F.lit("P361").alias("property"), name("n", "c_nationkey").alias("target")))
+    edges = edges.unionByName(li.select(name("o", "l_orderkey").alias("source"), F.when(F.col("l_linenumber") == 1, "P57").otherwise("P272").alias("property"), name("s", "l_suppkey").alias("target")))
+    return composites.media_selection(entities, edges, ["MOVIE"], ["P179", "P361"], {"P57": "PERSON", "P272": "ORGANIZATION"})
+
+
+@query("""WITH k AS (SELECT p_brand || p_size AS blocking_key, p_partkey AS entity_key FROM part UNION SELECT 'alias:' || p_brand || p_size, p_partkey FROM part WHERE p_size % 2 = 0 UNION SELECT p_brand || p_size, -p_partkey FROM part WHERE p_size > 45),
+i AS (SELECT l_orderkey AS node_id, CASE WHEN l_linenumber % 2 = 0 THEN 'alias:' ELSE '' END || p_brand || p_size AS blocking_key FROM lineitem JOIN part ON p_partkey = l_partkey)
+SELECT node_id, entity_key, count(DISTINCT blocking_key) AS n_keys FROM i JOIN k USING (blocking_key) GROUP BY ALL""")
+def candidate_links(spark, d):
+    p = table(spark, d, "part")
+    own = F.concat(F.col("p_brand"), F.col("p_size").cast("string"))
+    stored = p.select(own.alias("blocking_key"), F.col("p_partkey").alias("entity_key"))
+    aliases = p.where("p_size % 2 = 0").select(own.alias("alias_key"), F.concat(F.lit("alias:"), own).alias("blocking_key")).distinct()
+    assigned = p.where("p_size > 45").select(own.alias("blocking_key"), (-F.col("p_partkey")).alias("entity_key"))
+    li = table(spark, d, "lineitem").join(p.select(F.col("p_partkey").alias("l_partkey"), own.alias("k")), "l_partkey")
+    nodes = li.select(F.col("l_orderkey").alias("node_id"), F.concat(F.when(F.col("l_linenumber") % 2 == 0, "alias:").otherwise(""), "k").alias("blocking_key"))
+    return composites.candidate_links(nodes, composites.known_identifiers(stored, aliases, assigned))
+
+
+@query("""SELECT l_suppkey AS subject_entity, 'shipped' AS predicate, o_custkey AS object_entity, l_orderkey * 10 + l_linenumber AS assertion_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_custkey % 4 <> 0""")
+def relation_objects(spark, d):
+    li = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("subject_entity"), F.lit("shipped").alias("predicate"), F.col("l_orderkey").alias("object_node"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("assertion_id"))
+    return composites.relation_objects(li, table(spark, d, "orders").where("o_custkey % 4 <> 0").select(F.col("o_orderkey").alias("node_id"), F.col("o_custkey").alias("entity_key")))
+
+
+@query("""WITH a AS (SELECT l_suppkey AS entity, CASE l_linenumber WHEN 1 THEN 'title' WHEN 2 THEN 'genre' WHEN 3 THEN 'score' WHEN 4 THEN 'release_year' ELSE 'rating_average' END AS predicate, l_returnflag AS value, l_orderkey * 10 + l_linenumber AS id,
+  CASE l_linestatus WHEN 'F' THEN 'tmdb-research' ELSE 'imdb-non-commercial-datasets' END AS source, CASE WHEN l_quantity > 25 THEN 'en' END AS language FROM lineitem),
+r AS (SELECT *, CASE WHEN predicate = 'title' THEN '{"language":' || CASE WHEN language IS NULL THEN 'null' ELSE '"' || language || '"' END || ',"region":null,"titleRole":"PRIMARY"}' WHEN predicate = 'genre' THEN '{"vocabulary":null}' ELSE '{}' END AS scope_json,
+  CASE source WHEN 'tmdb-research' THEN 1 ELSE 0 END AS rank FROM a),
+one AS (SELECT entity, predicate, scope_json, value, id FROM r WHERE predicate IN ('title', 'release_year') QUALIFY rank = min(rank) OVER (PARTITION BY entity, predicate, scope_json))
+SELECT entity, predicate, scope_json, arg_min(value, id) AS value, min(id) AS winner, CASE WHEN count(DISTINCT value) = 1 THEN 'SELECTED' ELSE 'CONFLICTED' END AS status FROM one GROUP BY 1, 2, 3
+UNION ALL SELECT entity, predicate, scope_json, value, arg_min(id, (rank, id)), 'SET' FROM r WHERE predicate IN ('genre', 'score') GROUP BY 1, 2, 3, 4""")
+def policy_resolution(spark, d):
+    li, n = table(spark, d, "lineitem"), F.col("l_linenumber")
+    rows = li.select(
+        F.col("l_suppkey").alias("entity"),
+        F.lit("FIELD").alias("kind"),
+        F.when(n == 1, "title").when(n == 2, "genre").when(n == 3, "score").when(n == 4, "release_year").otherwise("rating_average").alias("predicate"),
+        F.col("l_returnflag").alias("value"),
+        (F.col("l_orderkey") * 10 + n).alias("assertion_id"),
+        F.when(F.col("l_linestatus") == "F", "tmdb-research").otherwise("imdb-non-commercial-datasets").alias("source"),
+        F.to_json(F.struct(F.when(F.col("l_quantity") > 25, "en").alias("language"), F.lit("PRIMARY").alias("titleRole"), F.lit("x").alias("other"))).alias("qualifiers_json"),
+    )
+    return policy.resolve(rows).drop("kind")
+
+
+@query("""WITH n AS (SELECT unnest(range(0, (SELECT count(*) FROM orders))) AS id), c AS (SELECT id, id // 8 AS c FROM n)
+SELECT id AS node_id, 'c' || lpad(c::VARCHAR, 12, '0') AS blocking_key FROM c UNION ALL SELECT id, 'c' || lpad((c + 1)::VARCHAR, 12, '0') FROM c WHERE c % 20 = 0 AND id % 8 = 0 AND id + 8 < (SELECT count(*) FROM orders)""")
+def synthetic_identities(spark, d):
+    return composites.synthetic_identities(spark, table(spark, d, "orders").count())
+
+
+@query("""SELECT l_returnflag AS policy_id, l_linestatus AS product_id, count(*) AS n FROM lineitem WHERE l_returnflag <> CASE l_linestatus WHEN 'F' THEN 'A' ELSE 'N' END GROUP BY ALL""")
+def policy_owners(spark, d):
+    products = spark.createDataFrame([("F", "A"), ("O", "N")], "product_id string, policy_id string")
+    return composites.policy_owners(table(spark, d, "lineitem").select(F.col("l_returnflag").alias("policy_id"), F.col("l_linestatus").alias("product_id")), products)

@@ -14,17 +14,17 @@ MAPPERS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
 #: Predicates of cast and crew categories; others are CREDITED.
 PRINCIPALS = {
-    "actor": "PERFORMED_BY",
-    "actress": "PERFORMED_BY",
-    "self": "APPEARED",
+    "actor": "CAST_MEMBER",
+    "actress": "CAST_MEMBER",
     "director": "DIRECTED_BY",
     "writer": "WRITTEN_BY",
     "producer": "PRODUCED_BY",
     "composer": "COMPOSED_BY",
-    "cinematographer": "PHOTOGRAPHED_BY",
-    "editor": "EDITED_BY",
-    "production_designer": "DESIGNED_BY",
+    "cinematographer": "DIRECTOR_OF_PHOTOGRAPHY",
+    "editor": "FILM_EDITOR",
     "archive_footage": "ARCHIVE_FOOTAGE",
+    "archive_sound": "ARCHIVE_SOUND",
+    "self": "SELF",
 }
 
 
@@ -117,7 +117,7 @@ def _crew(df):
 @mapper("title.principals")
 def _principals(df):
     pairs = [F.lit(x) for kv in PRINCIPALS.items() for x in kv]
-    predicate = F.coalesce(F.create_map(*pairs)[F.col("category")], F.lit("CREDITED"))
+    predicate = F.coalesce(F.create_map(*pairs)[F.lower("category")], F.lit("CREDITED"))
     return assertions(df, "tconst", [relation(predicate, F.col("nconst"), category=F.col("category"), job=F.col("job"), character=F.col("characters"), order=F.col("ordering"))])
 
 
@@ -137,7 +137,21 @@ def _names(df):
 
 
 #: Entity-dump properties by what they become.
-PROPERTY_RELATIONS = {"P57": "DIRECTED_BY", "P58": "WRITTEN_BY", "P161": "PERFORMED_BY", "P162": "PRODUCED_BY", "P86": "COMPOSED_BY", "P179": "PART_OF_SERIES", "P361": "PART_OF", "P4908": "PART_OF_SEASON", "P272": "PRODUCED_BY", "P750": "DISTRIBUTED_BY", "P449": "BROADCAST_BY", "P144": "BASED_ON", "P155": "FOLLOWS"}
+PROPERTY_RELATIONS = {
+    "P57": "DIRECTED_BY",
+    "P58": "WRITTEN_BY",
+    "P161": "CAST_MEMBER",
+    "P162": "PRODUCED_BY",
+    "P344": "DIRECTOR_OF_PHOTOGRAPHY",
+    "P1040": "FILM_EDITOR",
+    "P725": "VOICE_ACTOR",
+    "P272": "PRODUCTION_COMPANY",
+    "P179": "PART_OF_SERIES",
+    "P361": "PART_OF",
+    "P4908": "SEASON",
+    "P155": "FOLLOWS",
+    "P156": "FOLLOWED_BY",
+}
 PROPERTY_SETS = {"P364": "language", "P495": "country", "P136": "genre"}
 PROPERTY_DATES = {"P577": "release_date", "P580": "premiered", "P582": "ended"}
 PROPERTY_NUMBERS = {"P2047": "runtime_minutes", "P1113": "episode_count", "P2437": "season_count"}
@@ -239,7 +253,7 @@ for _product in ("news", "learning", "sports", "animation"):
 
 
 #: Crew jobs by predicate; others are CREDITED.
-JOBS = {"Director": "DIRECTED_BY", "Writer": "WRITTEN_BY", "Screenplay": "WRITTEN_BY", "Producer": "PRODUCED_BY", "Original Music Composer": "COMPOSED_BY", "Director of Photography": "PHOTOGRAPHED_BY", "Editor": "EDITED_BY", "Production Design": "DESIGNED_BY"}
+JOBS = {"Director": "DIRECTED_BY", "Writer": "WRITTEN_BY", "Screenplay": "WRITTEN_BY", "Producer": "PRODUCED_BY", "Executive Producer": "PRODUCED_BY", "Director of Photography": "DIRECTOR_OF_PHOTOGRAPHY", "Editor": "FILM_EDITOR", "Original Music Composer": "COMPOSED_BY"}
 
 
 @mapper("tmdb")
@@ -281,7 +295,7 @@ def _tmdb(df):
             F.transform(array("$.production_countries", "struct<iso_3166_1:string>"), lambda c: field("country", c["iso_3166_1"])),
             F.transform(array("$.spoken_languages", "struct<iso_639_1:string>"), lambda c: field("language", c["iso_639_1"])),
             F.transform(image, lambda i: field("image_path", i["path"], imageType=i["kind"])),
-            F.transform(array("$.credits.cast", "struct<id:string,character:string,order:string>"), lambda c: relation("PERFORMED_BY", c["id"], character=c["character"], order=c["order"])),
+            F.transform(array("$.credits.cast", "struct<id:string,character:string,order:string>"), lambda c: relation("CAST_MEMBER", c["id"], character=c["character"], order=c["order"])),
             F.transform(array("$.credits.crew", "struct<id:string,job:string,department:string>"), lambda c: relation(F.coalesce(jobs[c["job"]], F.lit("CREDITED")), c["id"], job=c["job"], department=c["department"])),
             F.transform(array("$.combined_credits.cast", "struct<id:string,character:string>"), lambda c: relation("PERFORMED_IN", c["id"], character=c["character"])),
             F.transform(array("$.combined_credits.crew", "struct<id:string,job:string>"), lambda c: relation("WORKED_ON", c["id"], job=c["job"])),

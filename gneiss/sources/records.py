@@ -102,18 +102,23 @@ def statements(entities: DataFrame) -> DataFrame:
     return best.select("id", "property", F.explode("best").alias("statement"))
 
 
+#: Sites that end like a Wikipedia and are none.
+OTHER_WIKIS = ["commonswiki", "incubatorwiki", "mediawiki", "metawiki", "specieswiki", "testwiki", "wikidatawiki"]
+
+
 def wikipedia_count(sitelinks: str = "sitelinks"):
     """Number of language Wikipedias that link to an entity."""
-    other = ["commonswiki", "specieswiki", "metawiki", "mediawikiwiki", "wikidatawiki", "sourceswiki", "incubatorwiki", "outreachwiki"]
-    return F.size(F.filter(F.map_keys(sitelinks), lambda k: k.endswith("wiki") & ~k.isin(other)))
+    return F.size(F.filter(F.map_keys(sitelinks), lambda k: k.rlike("^[a-z0-9_-]+wiki$") & ~k.isin(OTHER_WIKIS)))
 
 
 def read_tsv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """A headed TSV without quoting, \\N for null. Other headers and ragged rows are errors."""
+    """Headed TSV files without quoting, \\N for null. Other headers, in any of the files, and ragged rows are errors."""
     names = TSV_HEADERS[dataset].split()
-    raw = spark.read.text(path).select(F.split("value", "\t").alias("c"))
-    first = spark.read.text(path).first()
-    if first is None or first[0].split("\t") != names:
+    lines = spark.read.text(path)
+    raw = lines.select(F.split("value", "\t").alias("c"), F.input_file_name().alias("file"))
+    header = F.col("c") == F.array(*[F.lit(n) for n in names])
+    heads = raw.where(header).agg(F.count("*").alias("n"), F.count_distinct("file").alias("files")).first()
+    if not heads["n"] or heads["n"] != heads["files"] or heads["n"] != len(lines.inputFiles()):
         raise SourceError(f"{dataset}: header drift")
     ragged = raw.where(F.size("c") != len(names)).limit(1).count()
     if ragged:
@@ -122,6 +127,17 @@ def read_tsv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     return rows.select(*[F.nullif(F.get("c", F.lit(i)), F.lit("\\N")).alias(n) for i, n in enumerate(names)])
 
 
+def page_records(pages: DataFrame, payload: str = "payload") -> DataFrame:
+    """(page, position, id, payload): the objects of JSON array pages, in order. Pages that are no array and objects without an id are errors."""
+    rows = pages.select("page", F.from_json(payload, "array<string>").alias("items"))
+    if not rows.where("items is null").isEmpty():
+        raise SourceError("a page is no JSON array")
+    out = rows.select("page", F.posexplode("items").alias("position", "payload")).withColumn("id", F.get_json_object("payload", "$.id"))
+    if not out.where("id is null").isEmpty():
+        raise SourceError("an object without an id")
+    return out.select("page", "position", "id", "payload")
+
+
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType) -> DataFrame:
     """XML records by row tag. Document types and entities are refused before parsing."""
     unsafe = spark.read.text(path).where(F.upper("value").rlike("<!(DOCTYPE|ENTITY)")).limit(1).count()

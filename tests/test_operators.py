@@ -88,3 +88,42 @@ def test_windows_drop_nothing(spark):
     got = digests.windows(spark.range(101), "id", 10).collect()
     assert sorted((r["window"], r["first"], r["last"], r["n"]) for r in got)[-1] == (10, 100, 100, 1)
     assert sum(r["n"] for r in got) == 101
+
+
+def test_policy_has_the_fixed_rules(spark):
+    from gneiss.operators import policy
+
+    held = {(r["kind"], r["predicate"]): r for r in policy.rules(spark).collect()}
+    assert len(policy.NAMESPACES.split()) == 38
+    assert (held["FIELD", "title"]["operator"], held["FIELD", "title"]["scope"], held["FIELD", "title"]["sources"][0]) == ("SINGLE", ["language", "region", "titleRole"], "imdb-non-commercial-datasets")
+    assert held["FIELD", "runtime_minutes"]["sources"][0] == "musicbrainz-core-dump" and held["RELATIONSHIP", "part_of_series"]["operator"] == "SINGLE"
+    rows = [
+        ("e", "FIELD", "title", "A", "a1", "elsewhere", '{"language":"en"}'),
+        ("e", "FIELD", "title", "B", "b1", "europeana-oai-edm", '{"language":"en"}'),
+        ("e", "FIELD", "rating_average", "7", "r1", "imdb-non-commercial-datasets", "{}"),
+        ("e", "RELATIONSHIP", "part_of", "x", "x1", "tmdb-research", "{}"),
+        ("e", "RELATIONSHIP", "part_of", "y", "y1", "tmdb-research", "{}"),
+        ("e", "RELATIONSHIP", "title", "x", "t1", "tmdb-research", "{}"),
+    ]
+    df = spark.createDataFrame(rows, "entity string, kind string, predicate string, value string, assertion_id string, source string, qualifiers_json string")
+    got = {(r["kind"], r["predicate"]): (r["value"], r["status"]) for r in policy.resolve(df).collect()}
+    assert got == {("FIELD", "title"): ("B", "SELECTED"), ("RELATIONSHIP", "part_of"): (None, "CONFLICTED")}
+
+
+def test_composites_fail_closed(spark):
+    from gneiss.operators import composites
+
+    day = dt.date(2024, 1, 1)
+    at = F.lit(dt.date(2024, 2, 1))
+    member = "node_id string, entity_key string, membership_key int, valid_from date, valid_to date"
+    ledger = spark.createDataFrame([("e", "WORK", "k", "ACTIVE"), ("t", "WORK", "k", "TOMBSTONED")], "entity_key string, level string, kind string, status string")
+    none = spark.createDataFrame([], "source string, target string, effective_at date")
+    for rows, error in (([("n", "e", 1, day, None), ("n", "f", 2, day, None)], "several_entities"), ([("n", "x", 1, day, None)], "missing"), ([("n", "t", 1, day, None)], "tombstoned")):
+        with pytest.raises(ValueError, match=error):
+            composites.resolved_memberships(spark.createDataFrame(rows, member), none, ledger, at)
+    batches = spark.createDataFrame([("d", "r1", day, "DELTA"), ("d", "r2", day + dt.timedelta(days=2), "SNAPSHOT")], "domain string, run_id string, acquired date, kind string")
+    with pytest.raises(ValueError, match="baseline"):
+        composites.snapshot_events(spark.createDataFrame([("d", "a", "UPSERT", "r1")], "domain string, record_id string, operation string, run_id string"), batches, ["domain"])
+    assert len(composites.fetch_bounded(spark.range(3), 3)) == 3
+    with pytest.raises(ValueError):
+        composites.fetch_bounded(spark.range(4), 3)
