@@ -46,6 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gneiss.llm.columns import private
+from gneiss.llm.workers import trimmed
 from gneiss.operators.components import connected_components
 from gneiss.session import checkpoint, materialize, table
 
@@ -146,7 +147,7 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             n, keys, signs, wides = [], [], [], []
             for text in batch.column(1).to_pylist():
                 items = shingles(text, size)
@@ -220,7 +221,7 @@ def _branch_further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def leaves(classes: DataFrame) -> DataFrame:
     """(node, doc_id, dealt): every node with 2 to NODE classes; dealt: the number of parts of a larger one, else 1."""
     small = classes.select("doc_id", "sign")
-    level = small.withColumn("nodes", F.lit(None).cast("array<long>")).mapInArrow(_branch, "node long, doc_id long")
+    level = small.withColumn("nodes", F.lit(None).cast("array<long>")).mapInArrow(trimmed(_branch), "node long, doc_id long")
     found = None
     for depth in range(1, LEVELS + 1):
         level = materialize(level, f"level{depth}")
@@ -233,7 +234,7 @@ def leaves(classes: DataFrame) -> DataFrame:
             if large.isEmpty():
                 break
             again = large.groupBy("doc_id").agg(F.collect_list("node").alias("nodes"))  # at most TREES * 2^depth nodes a class
-            level = small.join(again, "doc_id").select("doc_id", "sign", "nodes").mapInArrow(_branch, "node long, doc_id long")
+            level = small.join(again, "doc_id").select("doc_id", "sign", "nodes").mapInArrow(trimmed(_branch), "node long, doc_id long")
     return found
 
 
@@ -382,9 +383,9 @@ def confirm(pairs: DataFrame, texts: tuple[DataFrame, DataFrame], size: int) ->
     centres = salted.select(F.col("a").alias("class"), "a", "salt", F.lit(0).alias("role")).distinct()
     places = wanted.unionByName(centres).groupBy("class").agg(F.collect_list(F.struct("a", "salt", "role")).alias("places"))
     places = places.join(led, "class").groupBy("doc_id").agg(F.collect_list(F.struct("class", "places")).alias("held"), F.max("several").alias("several"))
-    spread = rows.join(places, "doc_id").select("doc_id", "text", "held", "several").mapInArrow(_placing(size), "key long, role int, a long, b long, text string")
+    spread = rows.join(places, "doc_id").select("doc_id", "text", "held", "several").mapInArrow(trimmed(_placing(size)), "key long, role int, a long, b long, text string")
     # an id with repeated rows gives its text more than once: the pair's answer is the same
-    checked = spread.repartition("key").sortWithinPartitions("key", "role").mapInArrow(_confirming(size), "a long, b long, ok boolean")
+    checked = spread.repartition("key").sortWithinPartitions("key", "role").mapInArrow(trimmed(_confirming(size)), "a long, b long, ok boolean")
     return checked.distinct()
 
 
@@ -407,7 +408,7 @@ def _placing(size: int):
 def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 2) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = materialize(source.mapInArrow(_sets(size), "doc_id long, n_shingles long, class long, sign binary, wide binary"), "sets")
+    sets = materialize(source.mapInArrow(trimmed(_sets(size)), "doc_id long, n_shingles long, class long, sign binary, wide binary"), "sets")
     # a class's text is read from its smallest document
     known = sets.where("class is not null and doc_id is not null")
     classes = materialize(known.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("sign").alias("sign")), "classes")
@@ -415,7 +416,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int
     signs = materialize(_small_sign(classes.select(F.col("class").alias("doc_id"), "sign")), "signs")
     part = F.xxhash64("node", F.pmod(F.xxhash64("doc_id", "node"), F.col("dealt")))
     compared = leaf.join(signs, "doc_id").select(part.alias("part"), "node", "doc_id", "sign")
-    forest = compared.repartition("part").sortWithinPartitions("part").mapInArrow(_forests, "a long, b long, node long")
+    forest = compared.repartition("part").sortWithinPartitions("part").mapInArrow(trimmed(_forests), "a long, b long, node long")
     forest = materialize(forest, "forest")
     pairs = forest.select("a", "b").distinct()
     # an id that occurs with several texts is one document: its classes are linked
@@ -474,7 +475,7 @@ def _still_open(leaf: DataFrame, classes: DataFrame, named: DataFrame) -> DataFr
         if large.isEmpty():
             break
         again = large.groupBy("doc_id").agg(F.collect_list(F.struct("node", "used")).alias("nodes"))
-        level = signs.join(again, "doc_id").select("doc_id", "sign", "nodes").mapInArrow(_branch_further, "node long, used long, doc_id long")
+        level = signs.join(again, "doc_id").select("doc_id", "sign", "nodes").mapInArrow(trimmed(_branch_further), "node long, used long, doc_id long")
     return found
 
 
@@ -486,14 +487,14 @@ def _second(mixed: DataFrame, signs: DataFrame) -> DataFrame:
     dealt = mixed.withColumn("p", F.explode(F.when(F.col("component") == F.col("main"), F.array(home)).otherwise(every))).withColumn("own", F.col("p") == home)
     placed = dealt.select(F.xxhash64("node", "p").alias("part"), "doc_id", "component", "own").join(signs, "doc_id")
     placed = placed.select("part", "doc_id", "component", "sign", "wide", "n", "own")
-    return placed.repartition("part").sortWithinPartitions("part").mapInArrow(_apart, "a long, b long").distinct()
+    return placed.repartition("part").sortWithinPartitions("part").mapInArrow(trimmed(_apart), "a long, b long").distinct()
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
     """One row of docs for each group: that of its smallest id."""
     linked = materialize(link(docs, id_col, text, size).select("doc_id", "kept"), "linked")
     name, number = private(docs, "gone", "times")
-    gone = linked.where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    gone = materialize(linked.where("not kept").select(F.col("doc_id").alias(name)).distinct(), "gone")  # its own size decides how it is joined
     left = docs.join(gone, docs[id_col] == F.col(name), "left_anti")
     repeated = checkpoint(linked.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias(name)).agg(F.count("*").alias(number)).where(F.col(number) > 1))
     if repeated.isEmpty():

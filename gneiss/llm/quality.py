@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gneiss.llm.columns import private
+from gneiss.llm.workers import trim, trimmed
 from gneiss.session import table
 
 SAMPLE = 8_000
@@ -205,13 +206,13 @@ def score_text(text: str | None, model: np.ndarray) -> float:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> tuple[np.ndarray, dict[str, float], np.ndarray]:
     """(scorer, posterior by vote pattern, accuracy of each labeller)."""
-    counted = docs.select(text).mapInArrow(_voting, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
+    counted = docs.select(text).mapInArrow(trimmed(_voting), "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
     posterior, accuracy = expectation_maximisation([r["pattern"] for r in counted], [r["n"] for r in counted])
     n = sum(r["n"] for r in counted)
     place, said = F.xxhash64(F.col(id_col), F.col(text)).alias("place"), F.col(text).alias("text")
     limit = sample_limit(n, sample)
     chosen = docs.select(place, said).where(F.col("place") <= limit)
-    made = chosen.mapInArrow(_sampled(posterior), "place long, y double, at binary, value binary")
+    made = chosen.mapInArrow(trimmed(_sampled(posterior)), "place long, y double, at binary, value binary")
     rows = made.orderBy("place").limit(sample).collect()  # the hash gives somewhat more; equal rows have equal hashes
     rows.sort(key=lambda r: (r["at"], r["value"], r["y"]))  # the order of tasks must not matter
     return fit_scorer(rows), posterior, accuracy
@@ -223,7 +224,9 @@ def with_score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", name
 
     @F.pandas_udf("double")
     def score(texts):
-        return texts.map(lambda t: score_text(t, shared.value), na_action=None)
+        out = texts.map(lambda t: score_text(t, shared.value), na_action=None)
+        trim()  # once a batch
+        return out
 
     return docs.withColumn(name, score(F.col(text)))
 
