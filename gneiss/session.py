@@ -11,6 +11,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Batches that go to Python workers: (the setting's default, ours). Texts are long, so rows and bytes of a batch are bounded lower.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000")}
+
 _shipped: set[str] = set()
 
 
@@ -19,6 +22,9 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
+    for name, (usual, ours) in BATCHES.items():
+        if spark.conf.get(name, usual) == usual:
+            spark.conf.set(name, ours)
     package = Path(__file__).resolve().parent
     target = Path(tempfile.mkdtemp(prefix="gneiss-code-")) / "gneiss_code.zip"
     with zipfile.ZipFile(target, "w") as archive:
