@@ -123,10 +123,10 @@ def effective_memberships(spark, d):
     return lifecycle.effective_memberships(_memberships(spark, d), at).select("node_id", "entity_key", "membership_key")
 
 
-@query("""WITH m AS (SELECT l_suppkey AS node_id, l_linenumber AS entity_key, l_quantity AS valid_from, l_shipdate AS valid_to FROM lineitem WHERE l_returnflag <> 'N')
+@query("""WITH m AS (SELECT l_suppkey AS node_id, l_linenumber AS entity_key, l_quantity AS valid_from, l_shipdate AS valid_to FROM lineitem)
 SELECT node_id, entity_key, valid_from, count(DISTINCT valid_to) AS n_closures FROM m GROUP BY ALL HAVING count(DISTINCT valid_to) > 1""")
 def closure_conflicts(spark, d):
-    rows = table(spark, d, "lineitem").where("l_returnflag <> 'N'").select(F.col("l_suppkey").alias("node_id"), F.col("l_linenumber").alias("entity_key"), F.col("l_quantity").alias("valid_from"), F.col("l_shipdate").alias("valid_to"))
+    rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("node_id"), F.col("l_linenumber").alias("entity_key"), F.col("l_quantity").alias("valid_from"), F.col("l_shipdate").alias("valid_to"))
     return lifecycle.closure_conflicts(rows)
 
 
@@ -158,9 +158,9 @@ def current_assertions(spark, d):
     return lifecycle.current_assertions(a, env, F.expr("TIMESTAMP_NTZ '1994-01-01 00:00:00'"), ["l_orderkey"]).select("l_orderkey", "l_linenumber")
 
 
-@query("""SELECT o_orderstatus AS run_id, count(*) AS n_records, sum(l_linenumber)::BIGINT AS lines FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P' GROUP BY 1""")
+@query("""SELECT o_orderstatus AS run_id, count(*) AS n_records, sum(l_linenumber)::BIGINT AS lines FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""")
 def bound_records(spark, d):
-    li = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey")).where("o_orderstatus <> 'P'").select(F.col("o_orderstatus").alias("run_id"), "l_linenumber")
+    li = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_orderstatus").alias("run_id"), "l_linenumber")
     runs = li.groupBy("run_id").agg(F.count("*").alias("record_count"))
     bound = lifecycle.bind_records(li, runs, runs.select("run_id"))
     return bound.groupBy("run_id").agg(F.count("*").alias("n_records"), F.sum("l_linenumber").alias("lines"))
@@ -245,9 +245,9 @@ def unique_or_null(spark, d):
     return identity.unique_or_null(table(spark, d, "lineitem"), ["l_suppkey", "l_linenumber"], "l_linestatus", "status")
 
 
-@query("""WITH r AS (SELECT l_orderkey AS child, min(l_suppkey) AS a, max(l_suppkey) AS b, count(DISTINCT l_suppkey) AS np, count(DISTINCT l_linenumber) AS ns, min(l_linenumber) AS said FROM lineitem WHERE l_linenumber <= 2 AND l_quantity > 20 GROUP BY 1),
-f AS (SELECT o_orderkey AS child, (o_orderkey % 3 + 1)::INTEGER AS field FROM orders WHERE o_orderkey % 2 = 0),
-p AS (SELECT s_suppkey AS parent, 'E' || s_nationkey AS e, CASE WHEN s_nationkey < 20 THEN 'SEASON' ELSE 'SERIES' END AS t FROM supplier WHERE s_suppkey % 9 <> 0),
+@query("""WITH r AS (SELECT l_orderkey AS child, min(l_suppkey) AS a, max(l_suppkey) AS b, count(DISTINCT l_suppkey) AS np, count(DISTINCT l_linenumber) AS ns, min(l_linenumber) AS said FROM lineitem GROUP BY 1),
+f AS (SELECT o_orderkey AS child, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 3 + 1 END::INTEGER AS field FROM orders),
+p AS (SELECT s_suppkey AS parent, CASE WHEN s_suppkey % 9 <> 0 THEN 'E' || s_nationkey END AS e, CASE WHEN s_nationkey < 20 THEN 'SEASON' ELSE 'SERIES' END AS t FROM supplier),
 j AS (SELECT o_orderkey AS child, CASE WHEN o_orderstatus = 'P' THEN 'SERIES' ELSE 'SEASON' END AS ct, r.a AS parent, np, ns, said, field, e, t, coalesce(field, said) AS ordinal
   FROM orders LEFT JOIN r ON r.child = o_orderkey LEFT JOIN f ON f.child = o_orderkey LEFT JOIN p ON p.parent = r.a),
 m AS (SELECT *, CASE WHEN coalesce(np, 0) = 0 THEN 'NO_PARENT' WHEN np > 1 THEN 'AMBIGUOUS_PARENT' WHEN coalesce(t, '') <> ct THEN 'PARENT_TYPE' WHEN e IS NULL THEN 'PARENT_UNRESOLVED'
@@ -256,11 +256,11 @@ SELECT child, mode, e AS parent_entity, ordinal, CASE WHEN mode = 'PLACED' THEN
 def parent_placement(spark, d):
     o = table(spark, d, "orders")
     children = o.select(F.col("o_orderkey").alias("child"), F.when(F.col("o_orderstatus") == "P", "SERIES").otherwise("SEASON").alias("child_type"))
-    li = table(spark, d, "lineitem").where("l_linenumber <= 2 AND l_quantity > 20")
+    li = table(spark, d, "lineitem")
     relations = li.select(F.col("l_orderkey").alias("child"), F.col("l_suppkey").alias("parent"), F.col("l_linenumber").alias("ordinal"))
-    ordinals = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("child"), (F.col("o_orderkey") % 3 + 1).cast("int").alias("ordinal"))
-    s = table(spark, d, "supplier").where("s_suppkey % 9 <> 0")
-    parents = s.select(F.col("s_suppkey").alias("parent"), F.when(F.col("s_nationkey") < 20, "SEASON").otherwise("SERIES").alias("parent_type"), F.concat(F.lit("E"), F.col("s_nationkey").cast("string")).alias("entity_key"))
+    ordinals = o.select(F.col("o_orderkey").alias("child"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 3 + 1).cast("int").alias("ordinal"))
+    s = table(spark, d, "supplier")
+    parents = s.select(F.col("s_suppkey").alias("parent"), F.when(F.col("s_nationkey") < 20, "SEASON").otherwise("SERIES").alias("parent_type"), F.when(F.col("s_suppkey") % 9 != 0, F.concat(F.lit("E"), F.col("s_nationkey").cast("string"))).alias("entity_key"))
     return identity.parent_constrained(children, relations, ordinals, parents)
 
 
@@ -273,10 +273,10 @@ def merge_survivors(spark, d):
     return identity.merge_survivor(c.select(F.col("c_nationkey").alias("merge_id"), F.col("c_custkey").alias("entity_key"), F.floor("c_acctbal").alias("created_at"), F.lit("l").alias("level"), kind.alias("kind")))
 
 
-@query("""SELECT c_custkey AS key, 'left' AS side FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey NOT IN (SELECT s_suppkey * 2 FROM supplier)
-UNION ALL SELECT s_suppkey * 2, 'right' FROM supplier WHERE s_suppkey * 2 NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0)""")
+@query("""SELECT c_custkey * 3 AS key, 'left' AS side FROM customer WHERE c_custkey * 3 NOT IN (SELECT s_suppkey * 2 FROM supplier)
+UNION ALL SELECT s_suppkey * 2, 'right' FROM supplier WHERE s_suppkey * 2 NOT IN (SELECT c_custkey * 3 FROM customer)""")
 def set_equality(spark, d):
-    a = table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("key"))
+    a = table(spark, d, "customer").select((F.col("c_custkey") * 3).alias("key"))
     b = table(spark, d, "supplier").select((F.col("s_suppkey") * 2).alias("key"))
     return identity.symmetric_difference(a, b, ["key"])
 
@@ -415,14 +415,14 @@ def quality_gate(spark, d):
     return resolution.quality_report(m, ["high_tax", "undated"])
 
 
-@query("""WITH r AS (SELECT event_type AS source, event_id AS run_id, ts AS acquired, CASE event_id % 3 WHEN 0 THEN 'COMPLETE' WHEN 1 THEN 'DELTA' ELSE 'PARTIAL' END AS completeness FROM events WHERE event_type <> 'error' OR event_id % 3 = 2),
+@query("""WITH r AS (SELECT event_type AS source, event_id AS run_id, ts AS acquired, CASE event_id % 3 WHEN 0 THEN 'COMPLETE' WHEN 1 THEN 'DELTA' ELSE 'PARTIAL' END AS completeness FROM events),
 p(source, max_age_hours) AS (VALUES ('click', 1), ('view', 10000), ('error', 5), ('absent', 5)),
 l AS (SELECT source, max(acquired) FILTER (completeness = 'COMPLETE') AS complete_at, max(acquired) FILTER (completeness = 'DELTA') AS delta_at, max(acquired) FILTER (completeness = 'PARTIAL') AS partial_at, arg_max(run_id, (acquired, run_id)) AS latest_run FROM r GROUP BY 1),
 j AS (SELECT p.source, complete_at, delta_at, partial_at, latest_run, max_age_hours, greatest(complete_at, delta_at) AS u FROM p LEFT JOIN l USING (source))
 SELECT source, complete_at, delta_at, partial_at, latest_run, (epoch(TIMESTAMP '2024-02-10') - epoch(date_trunc('second', u)))::BIGINT // 3600 AS age_hours,
   CASE WHEN u IS NULL THEN 'MISSING' WHEN (epoch(TIMESTAMP '2024-02-10') - epoch(date_trunc('second', u)))::BIGINT // 3600 > max_age_hours THEN 'STALE' ELSE 'FRESH' END AS status FROM j""")
 def freshness_matrix(spark, d):
-    e = table(spark, d, "events").where("event_type <> 'error' OR event_id % 3 = 2")
+    e = table(spark, d, "events")
     kind = F.when(F.col("event_id") % 3 == 0, "COMPLETE").when(F.col("event_id") % 3 == 1, "DELTA").otherwise("PARTIAL")
     runs = e.select(F.col("event_type").alias("source"), F.col("event_id").alias("run_id"), F.col("ts").alias("acquired"), kind.alias("completeness"))
     policy = spark.createDataFrame([("click", 1), ("view", 10000), ("error", 5), ("absent", 5)], "source string, max_age_hours int")
@@ -462,18 +462,18 @@ def bounded_titles(spark, d):
     return out.withColumn("titles", F.array_join(F.transform("titles", lambda x: F.concat_ws("/", x["language"], x["role"], x["title"])), ";"))
 
 
-HIERARCHY_SQL = """r AS (SELECT DISTINCT l_orderkey AS child, -l_suppkey AS parent, 'SEASON' AS level FROM lineitem WHERE l_linenumber = 1
-  UNION SELECT l_orderkey, l_partkey, 'SERIES' FROM lineitem WHERE l_linenumber = 2 AND l_quantity > 25 UNION SELECT -s_suppkey, s_nationkey::BIGINT, 'SERIES' FROM supplier WHERE s_suppkey % 4 <> 0),
+HIERARCHY_SQL = """r AS (SELECT DISTINCT l_orderkey AS child, CASE WHEN l_linenumber = 1 THEN -l_suppkey ELSE l_partkey END AS parent, CASE WHEN l_linenumber = 1 THEN 'SEASON' ELSE 'SERIES' END AS level FROM lineitem
+  UNION SELECT -s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN s_nationkey::BIGINT END, 'SERIES' FROM supplier),
 g AS (SELECT child, CASE WHEN count(DISTINCT parent) FILTER (level = 'SEASON') = 1 THEN min(parent) FILTER (level = 'SEASON') END AS season, count(DISTINCT parent) FILTER (level = 'SERIES') AS n, min(parent) FILTER (level = 'SERIES') AS one, greatest(count(DISTINCT parent) - 16, 0) AS overflow FROM r GROUP BY 1)"""
 
 
 @query(f"""WITH {HIERARCHY_SQL} SELECT g.child, CASE WHEN g.overflow = 0 THEN g.season END AS season, CASE WHEN g.overflow > 0 THEN NULL WHEN g.n = 1 THEN g.one WHEN g.n = 0 THEN CASE WHEN u.n = 1 THEN u.one END END AS series, g.overflow FROM g LEFT JOIN g u ON u.child = g.season""")
 def hierarchy_projection(spark, d):
     li = table(spark, d, "lineitem")
-    seasons = li.where("l_linenumber = 1").select(F.col("l_orderkey").alias("child"), (-F.col("l_suppkey")).alias("parent"), F.lit("SEASON").alias("level"))
-    series = li.where("l_linenumber = 2 AND l_quantity > 25").select(F.col("l_orderkey").alias("child"), F.col("l_partkey").alias("parent"), F.lit("SERIES").alias("level"))
-    upper = table(spark, d, "supplier").where("s_suppkey % 4 <> 0").select((-F.col("s_suppkey")).alias("child"), F.col("s_nationkey").cast("long").alias("parent"), F.lit("SERIES").alias("level"))
-    return projection.hierarchy(seasons.unionByName(series).unionByName(upper))
+    season = F.col("l_linenumber") == 1
+    lines = li.select(F.col("l_orderkey").alias("child"), F.when(season, -F.col("l_suppkey")).otherwise(F.col("l_partkey")).alias("parent"), F.when(season, "SEASON").otherwise("SERIES").alias("level"))
+    upper = table(spark, d, "supplier").select((-F.col("s_suppkey")).alias("child"), F.when(F.col("s_suppkey") % 4 != 0, F.col("s_nationkey").cast("long")).alias("parent"), F.lit("SERIES").alias("level"))
+    return projection.hierarchy(lines.unionByName(upper))
 
 
 @query("""WITH o AS (SELECT o_custkey AS entity_key, o_orderkey AS k FROM orders), r AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY k) AS n FROM o),
@@ -509,14 +509,14 @@ def count_reconciliation(spark, d):
 
 # --- digests, paging, arithmetic ----------------------------------------------------------------------------------
 
-_H = "sha256('{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || '}')"
+_H = "sha256('{\"o_orderkey\":' || o_orderkey || ',\"o_orderstatus\":\"' || o_orderstatus || '\"}')"
 _L = [f"('0x' || substr({_H}, {1 + 15 * i}, 15))::BIGINT" for i in range(4)]
 
 
-@query("SELECT count(*) AS n, " + ", ".join(f"bit_xor({x}) AS xor_{i}, (sum({x}::HUGEINT) % {1 << 60})::BIGINT AS sum_{i}" for i, x in enumerate(_L)) + " FROM nation")
+@query("SELECT count(*) AS n, " + ", ".join(f"bit_xor({x}) AS xor_{i}, (sum({x}::HUGEINT) % {1 << 60})::BIGINT AS sum_{i}" for i, x in enumerate(_L)) + " FROM orders")
 def multiset_digest(spark, d):
-    n = table(spark, d, "nation").select("n_nationkey", "n_name")
-    return digests.multiset_digest(n, digests.row_key(["n_nationkey", "n_name"]))
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return digests.multiset_digest(o, digests.row_key(["o_orderkey", "o_orderstatus"]))
 
 
 @query("""SELECT substr(h, 1, 2) AS bucket, count(*) AS n, sha256(string_agg(h, chr(10) ORDER BY h)) AS digest FROM (SELECT DISTINCT sha256(o_orderkey::VARCHAR) AS h FROM orders) GROUP BY 1""")
@@ -567,26 +567,43 @@ def two_level_counts(spark, d):
 # --- curation -----------------------------------------------------------------------------------------------------
 
 
-@query("""WITH d AS (SELECT n_nationkey AS node_id, CASE n_nationkey % 4 WHEN 0 THEN 'ACCEPT' WHEN 1 THEN 'REJECT' END AS action FROM nation WHERE n_nationkey % 4 < 2)
-SELECT n_nationkey AS node_id, CASE WHEN action = 'ACCEPT' THEN 99 ELSE n_regionkey END AS entity_key FROM nation LEFT JOIN d ON d.node_id = n_nationkey WHERE coalesce(action, '') <> 'REJECT'""")
+@query("""WITH d AS (SELECT c_custkey AS node_id, CASE c_custkey % 4 WHEN 0 THEN 'ACCEPT' WHEN 1 THEN 'REJECT' WHEN 2 THEN 'SPLIT' END AS action FROM customer)
+SELECT c_custkey AS node_id, CASE action WHEN 'ACCEPT' THEN 99 WHEN 'SPLIT' THEN 100 ELSE c_nationkey END AS entity_key FROM customer JOIN d ON d.node_id = c_custkey WHERE coalesce(action, '') <> 'REJECT'""")
 def curated_memberships(spark, d):
     from gneiss.operators import curation
 
-    n = table(spark, d, "nation")
-    members = n.select(F.col("n_nationkey").alias("node_id"), F.col("n_regionkey").alias("entity_key"))
-    entities = table(spark, d, "region").select(F.col("r_regionkey").alias("entity_key"), F.col("r_regionkey").alias("created_at"), F.lit("l").alias("level"), F.lit("k").alias("kind"))
-    action = F.when(F.col("n_nationkey") % 4 == 0, "ACCEPT").otherwise("REJECT")
-    decisions = n.where("n_nationkey % 4 < 2").select(F.col("n_nationkey").alias("decision_id"), action.alias("action"), F.col("n_nationkey").alias("node_id"), F.lit(None).cast("int").alias("entity_key"), F.when(F.col("n_nationkey") % 4 == 0, 99).alias("target_key"))
+    c, k = table(spark, d, "customer"), F.col("c_custkey") % 4
+    members = c.select(F.col("c_custkey").alias("node_id"), F.col("c_nationkey").alias("entity_key"))
+    entities = table(spark, d, "nation").select(F.col("n_nationkey").alias("entity_key"), F.col("n_nationkey").alias("created_at"), F.lit("l").alias("level"), F.lit("k").alias("kind"))
+    action = F.when(k == 0, "ACCEPT").when(k == 1, "REJECT").when(k == 2, "SPLIT")
+    target = F.when(k == 0, 99).when(k == 2, 100)
+    decisions = c.select(F.col("c_custkey").alias("decision_id"), action.alias("action"), F.col("c_custkey").alias("node_id"), F.lit(None).cast("int").alias("entity_key"), target.alias("target_key"))
     return curation.apply_decisions(members, entities, decisions)[0]
 
 
-@query("""WITH c AS (SELECT c_custkey AS entity_key FROM customer WHERE c_acctbal < -900), r AS (SELECT DISTINCT l_suppkey AS a, o_custkey AS b FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_quantity > 49)
+@query("""SELECT k AS target, k + CASE WHEN k % 2 = 0 THEN 1 ELSE 3 END AS source
+FROM (SELECT p_partkey * 8 + e AS k FROM part, (VALUES (0), (3)) v(e))""")
+def curated_redirects(spark, d):
+    from gneiss.operators import curation
+
+    # a part is four entities; the first two merge, the younger into the older, and the last is redirected to the third
+    p = table(spark, d, "part").select((F.col("p_partkey") * 8).alias("k"))
+    entities = p.select(F.explode(F.array(*[F.col("k") + i for i in (0, 1, 3, 6)])).alias("entity_key"))
+    entities = entities.select("entity_key", F.col("entity_key").alias("created_at"), F.lit("l").alias("level"), F.lit("k").alias("kind"))
+    merges = p.select(F.col("k").alias("decision_id"), F.lit("MERGE").alias("action"), F.col("k").alias("entity_key"), (F.col("k") + 1).alias("target_key"))
+    moved = p.select((F.col("k") + 3).alias("decision_id"), F.lit("REDIRECT").alias("action"), (F.col("k") + 6).alias("entity_key"), (F.col("k") + 3).alias("target_key"))
+    decisions = merges.unionByName(moved).withColumn("node_id", F.lit(None).cast("long"))
+    none = entities.select(F.col("entity_key").alias("node_id"), "entity_key").where("false")
+    return curation.apply_decisions(none, entities, decisions)[1]
+
+
+@query("""WITH c AS (SELECT c_custkey AS entity_key FROM customer WHERE c_acctbal < -900), r AS (SELECT DISTINCT l_suppkey AS a, o_custkey AS b FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
 SELECT entity_key FROM c UNION SELECT a FROM r WHERE b IN (SELECT entity_key FROM c) UNION SELECT b FROM r WHERE a IN (SELECT entity_key FROM c)""")
 def affected_entities(spark, d):
     from gneiss.operators import curation
 
     changed = table(spark, d, "customer").where("c_acctbal < -900").select(F.col("c_custkey").alias("entity_key"))
-    li = table(spark, d, "lineitem").where("l_quantity > 49").join(table(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    li = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
     return curation.affected_keys(changed, li.select(F.col("l_suppkey").alias("a"), F.col("o_custkey").alias("b")).distinct())
 
 
