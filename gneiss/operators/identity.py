@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gneiss.operators.components import connected_components
@@ -71,11 +71,14 @@ def unique_or_null(df: DataFrame, keys: list[str], value: str, name: str) -> Dat
     return df.groupBy(*keys).agg(F.when(F.count_distinct(value) == 1, F.min(value)).alias(name), F.count_distinct(value).alias(f"n_{name}"))
 
 
-def parent_constrained(children: DataFrame, relations: DataFrame, ordinals: DataFrame, parents: DataFrame) -> DataFrame:
+def parent_constrained(children: DataFrame, relations: DataFrame, ordinals: DataFrame, parents: DataFrame, scoped: Column | None = None) -> DataFrame:
     """Place children under parents: one relation, an ordinal on which field and qualifier agree, one parent entity.
 
-    children(child, child_type); relations(child, parent, ordinal); ordinals(child, ordinal); parents(parent, parent_type, entity_key)."""
+    children(child, child_type); relations(child, parent, ordinal); ordinals(child, ordinal); parents(parent, parent_type, entity_key).
+    scoped, over child, child_type and parent, says where one source's own ids may stand for an ordinal: a child without any ordinal and
+    with exactly one relation row is then SCOPED, and its component is named by its own id under the parent entity."""
     link = relations.groupBy("child").agg(
+        F.count("*").alias("n_relations"),
         F.count_distinct("parent").alias("n_parents"),
         F.min("parent").alias("parent"),
         F.count_distinct("ordinal").alias("n_said"),
@@ -92,11 +95,14 @@ def parent_constrained(children: DataFrame, relations: DataFrame, ordinals: Data
         .when(F.coalesce(F.col("n_entities"), F.lit(0)) != 1, "PARENT_UNRESOLVED")
         .when((F.coalesce("n_field", F.lit(0)) > 1) | (F.coalesce("n_said", F.lit(0)) > 1), "AMBIGUOUS_ORDINAL")
         .when(F.col("field") != F.col("said"), "ORDINAL_CONFLICT")
+        .when(F.col("ordinal").isNull() & (F.col("n_relations") == 1) & F.coalesce(F.lit(False) if scoped is None else scoped, F.lit(False)), "SCOPED")
         .when(F.col("ordinal").isNull(), "NO_ORDINAL")
         .otherwise("PLACED")
     )
     component = F.sha2(F.concat_ws("|", "parent_entity", "child_type", F.col("ordinal").cast("string")), 256)
-    return rows.withColumn("mode", mode).select("child", "mode", "parent_entity", "ordinal", F.when(F.col("mode") == "PLACED", component).alias("component"))
+    own = F.sha2(F.concat_ws("|", "parent_entity", "child_type", F.lit("child"), F.col("child").cast("string")), 256)
+    named = F.when(F.col("mode") == "PLACED", component).when(F.col("mode") == "SCOPED", own)
+    return rows.withColumn("mode", mode).select("child", "mode", "parent_entity", "ordinal", named.alias("component"))
 
 
 def merge_survivor(members: DataFrame) -> DataFrame:
@@ -124,3 +130,32 @@ def symmetric_difference(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFra
     """Keys that only one side has, and which; nulls are equal."""
     left, right = (x.select(*keys).distinct() for x in (a, b))
     return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+
+
+def close_memberships(worklist: DataFrame, memberships: DataFrame, at: Column, reason: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(closed, decisions, evidence) of inactive records that map to one node.
+
+    worklist(record_id, status, node_id, entity_key) as lifecycle.revocations() gives it; memberships(membership_key, node_id, entity_key,
+    valid_from, valid_to), one open row of a node at most. REVOKABLE rows close the open membership of their node and entity at `at`, once
+    however many records ask for it; AMBIGUOUS ones leave evidence alone. A membership that begins after `at` is an error."""
+    asked = worklist.where("status = 'REVOKABLE' AND entity_key IS NOT NULL").select("node_id", "entity_key").distinct()
+    late = F.when(F.col("valid_from") > at, F.raise_error("a revocation precedes its membership"))
+    closed = memberships.where("valid_to IS NULL").join(asked, ["node_id", "entity_key"], "left_semi").withColumn("valid_to", F.coalesce(late, at))
+    decision = F.sha2(F.concat_ws("|", F.lit("REVOKE"), F.col("node_id").cast("string"), F.col("entity_key").cast("string"), F.col("valid_to").cast("string")), 256)
+    decisions = closed.select(decision.alias("decision_key"), F.lit("REVOKE").alias("action"), "node_id", "entity_key", "membership_key", F.lit(reason).alias("reason"))
+    kinds = F.when(F.col("status") == "AMBIGUOUS", "INACTIVE_MAPPING_CONFLICT").otherwise("INACTIVE_RECORD")
+    evidence = worklist.where("status <> 'UNMAPPED' AND (status = 'AMBIGUOUS' OR entity_key IS NOT NULL)").select("record_id", kinds.alias("kind"), "node_id", "entity_key").distinct()
+    return closed, decisions, evidence
+
+
+def fan_out(results: DataFrame, tables: dict[str, tuple[str, list[str]]]) -> dict[str, DataFrame]:
+    """Rows of each table from one frame of results, each key once.
+
+    results has an array of structs for each table; tables maps a name to that array's column and the key columns. Of rows that share a
+    key the smallest stays, in the order of the struct's fields, so repeated runs write the same rows. Null arrays give no rows."""
+    out = {}
+    for name, (column, keys) in tables.items():
+        rows = results.select(F.explode(column).alias("_r"))
+        once = rows.groupBy(*[F.col(f"_r.{k}").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min("_r").alias("_r"))
+        out[name] = once.select("_r.*")
+    return out

@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 
 #: Highest shares that pass the quality gate.
 MAX_CONFLICT_SHARE = MAX_UNRESOLVED_SHARE = 0.05
+#: Counts that must be 0, in the order in which the gate names them.
+GATE_COUNTS = (
+    "ORPHAN_EPISODE_COUNT",
+    "ORPHAN_SEASON_COUNT",
+    "DUPLICATE_EXTERNAL_ID_COUNT",
+    "BROKEN_PARENT_COUNT",
+    "EXACT_ID_CONFLICT_COUNT",
+    "MISSING_RAW_CITATION_COUNT",
+    "MISSING_OBSERVATION_KEY_COUNT",
+)
 
 
 def eligible(assertions: DataFrame, rights: DataFrame, fences: DataFrame, at: Column) -> DataFrame:
@@ -110,6 +120,35 @@ def quality_report(metrics: DataFrame, violations: list[str]) -> DataFrame:
     return report.withColumn("passed", passed)
 
 
+def release_gate(counts: DataFrame, attribution_differs: DataFrame, stale: DataFrame) -> DataFrame:
+    """One row: conflict_share, unresolved_share, violations (array) and passed.
+
+    counts is one row: n_conflicts, n_resolutions, n_fields, n_identifiers, n_relations, n_unresolved and GATE_COUNTS in lower case; null
+    counts as 0. Lookups are the resolved ends (fields, identifiers, both ends of relations) and the unresolved ones; without any, a share
+    is 0. attribution_differs: rows of attribution_mismatch(). stale(source): sources whose age blocks a release; each is named, sorted.
+    Negative counts and more conflicts than resolutions are errors."""
+    known = ["n_conflicts", "n_resolutions", "n_fields", "n_identifiers", "n_relations", "n_unresolved", *[g.lower() for g in GATE_COUNTS]]
+    # three frames of one row: a union of them needs no cross join
+    differs = attribution_differs.agg(F.count("*").alias("_differs"))
+    names = stale.agg(F.sort_array(F.collect_set("source")).alias("_stale"))
+    parts = counts.select(*known).unionByName(differs, True).unionByName(names, True)
+    one = parts.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in [*known, "_differs"]], F.max("_stale").alias("_stale"))
+    wrong = F.when(F.least(*known) < 0, F.raise_error("negative counts")).when(F.col("n_conflicts") > F.col("n_resolutions"), F.raise_error("more conflicts than resolutions"))
+    lookups = F.col("n_fields") + F.col("n_identifiers") + 2 * F.col("n_relations") + F.col("n_unresolved")
+    share = lambda n, of: F.when(of > 0, n / of).otherwise(0.0)
+    rows = one.select("*", share(F.col("n_conflicts"), F.col("n_resolutions")).alias("conflict_share"), share(F.col("n_unresolved"), lookups).alias("unresolved_share"), wrong.alias("_wrong"))
+    named = F.array_compact(
+        F.array(
+            F.when(F.col("conflict_share") > MAX_CONFLICT_SHARE, "FIELD_CONFLICT_RATIO"),
+            F.when(F.col("unresolved_share") > MAX_UNRESOLVED_SHARE, "UNRESOLVED_IDENTITY_RATIO"),
+            *[F.when(F.col(g.lower()) > 0, F.concat(F.lit(f"{g}:"), F.col(g.lower()).cast("string"))) for g in GATE_COUNTS],
+            F.when(F.col("_differs") > 0, "ATTRIBUTION_COUNTS_MISMATCH"),
+        )
+    )
+    violations = F.concat(named, F.transform("_stale", lambda x: F.concat(F.lit("SOURCE_FRESHNESS:"), x)))
+    return rows.select("conflict_share", "unresolved_share", violations.alias("violations"), (F.col("_wrong").isNull() & (F.size(violations) == 0)).alias("passed"))
+
+
 def freshness(runs: DataFrame, policy: DataFrame, at: Column) -> DataFrame:
     """Each source's latest run of each completeness, its age in hours against the policy."""
     last = runs.groupBy("source").agg(

@@ -264,6 +264,58 @@ def parent_placement(spark, d):
     return identity.parent_constrained(children, relations, ordinals, parents)
 
 
+@query("""WITH r AS (SELECT l_orderkey AS child, min(l_suppkey) AS parent, count(DISTINCT l_suppkey) AS np, count(*) AS n FROM lineitem GROUP BY 1),
+j AS (SELECT o_orderkey AS child, n, np, CASE WHEN o_orderkey % 2 = 0 THEN (o_orderkey % 3)::INTEGER END AS ordinal, 'S' || s_suppkey AS e, o_orderpriority <> '5-LOW' AS scoped FROM orders LEFT JOIN r ON child = o_orderkey LEFT JOIN supplier ON s_suppkey = parent),
+m AS (SELECT *, CASE WHEN np IS NULL THEN 'NO_PARENT' WHEN np > 1 THEN 'AMBIGUOUS_PARENT' WHEN ordinal IS NOT NULL THEN 'PLACED' WHEN n = 1 AND scoped THEN 'SCOPED' ELSE 'NO_ORDINAL' END AS mode FROM j)
+SELECT child, mode, e AS parent_entity, ordinal, CASE mode WHEN 'PLACED' THEN sha256(e || '|EPISODE|' || ordinal) WHEN 'SCOPED' THEN sha256(e || '|EPISODE|child|' || child) END AS component FROM m""")
+def scoped_episodes(spark, d):
+    o, s = table(spark, d, "orders"), table(spark, d, "supplier")
+    children = o.select(F.col("o_orderkey").alias("child"), F.lit("EPISODE").alias("child_type"), (F.col("o_orderpriority") != "5-LOW").alias("own_ids"))
+    relations = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("child"), F.col("l_suppkey").alias("parent"), F.lit(None).cast("int").alias("ordinal"))
+    ordinals = o.select(F.col("o_orderkey").alias("child"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 3).cast("int").alias("ordinal"))
+    parents = s.select(F.col("s_suppkey").alias("parent"), F.lit("EPISODE").alias("parent_type"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("entity_key"))
+    return identity.parent_constrained(children, relations, ordinals, parents, F.col("own_ids"))
+
+
+CLOSING_SQL = """w AS (SELECT o_orderkey AS record_id, o_custkey AS node_id, CASE WHEN o_orderstatus = 'P' THEN 'AMBIGUOUS' WHEN o_orderstatus = 'F' THEN 'REVOKABLE' ELSE 'UNMAPPED' END AS status FROM orders),
+closed AS (SELECT c_custkey AS node_id, c_nationkey AS entity_key, c_custkey AS membership_key, TIMESTAMP '1999-01-01' AS valid_to FROM customer WHERE c_custkey IN (SELECT node_id FROM w WHERE status = 'REVOKABLE') AND c_mktsegment <> 'BUILDING')"""
+
+
+def _closing(spark, d):
+    c = table(spark, d, "customer")
+    at = F.expr("TIMESTAMP_NTZ '1999-01-01 00:00:00'")
+    ended = F.when(F.col("c_mktsegment") == "BUILDING", F.expr("TIMESTAMP_NTZ '1995-01-01 00:00:00'"))
+    members = c.select(F.col("c_custkey").alias("membership_key"), F.col("c_custkey").alias("node_id"), F.col("c_nationkey").alias("entity_key"), F.expr("TIMESTAMP_NTZ '1990-01-01 00:00:00'").alias("valid_from"), ended.alias("valid_to"))
+    status = F.when(F.col("o_orderstatus") == "P", "AMBIGUOUS").when(F.col("o_orderstatus") == "F", "REVOKABLE").otherwise("UNMAPPED")
+    gone = table(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"), status.alias("status"), F.col("o_custkey").alias("node_id"))
+    work = gone.join(members.where("valid_to IS NULL").select("node_id", "entity_key"), "node_id", "left")
+    work = work.withColumn("entity_key", F.when(F.col("status") == "REVOKABLE", F.col("entity_key")))
+    return identity.close_memberships(work, members, at, "source record inactive")
+
+
+@query(f"""WITH {CLOSING_SQL} SELECT node_id, entity_key, membership_key, valid_to FROM closed""")
+def closed_memberships(spark, d):
+    return _closing(spark, d)[0].select("node_id", "entity_key", "membership_key", "valid_to")
+
+
+@query(f"""WITH {CLOSING_SQL} SELECT 'decision' AS kind, count(*) AS n FROM closed
+UNION ALL SELECT 'INACTIVE_MAPPING_CONFLICT', count(*) FROM w WHERE status = 'AMBIGUOUS'
+UNION ALL SELECT 'INACTIVE_RECORD', count(*) FROM w JOIN closed USING (node_id) WHERE status = 'REVOKABLE'""")
+def closing_evidence(spark, d):
+    _, decisions, evidence = _closing(spark, d)
+    rows = decisions.select("decision_key").distinct().select(F.lit("decision").alias("kind")).unionByName(evidence.select("kind"))
+    return rows.groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'parts' AS name, l_partkey AS key, min(l_quantity) AS value FROM lineitem GROUP BY 2 UNION ALL SELECT 'suppliers', l_suppkey, min(l_quantity) FROM lineitem GROUP BY 2""")
+def fanned_out_rows(spark, d):
+    side = lambda c: F.array(F.struct(F.col(c).alias("key"), F.col("l_quantity").alias("value")))
+    results = table(spark, d, "lineitem").select(side("l_partkey").alias("parts"), side("l_suppkey").alias("suppliers"))
+    found = identity.fan_out(results, {"parts": ("parts", ["key"]), "suppliers": ("suppliers", ["key"])})
+    named = [rows.select(F.lit(name).alias("name"), "key", "value") for name, rows in found.items()]
+    return named[0].unionByName(named[1])
+
+
 @query("""WITH x AS (SELECT c_nationkey AS merge_id, c_custkey AS entity_key, floor(c_acctbal) AS created_at, CASE WHEN c_nationkey % 6 = 5 THEN c_mktsegment ELSE 'k' END AS kind FROM customer),
 g AS (SELECT merge_id FROM x GROUP BY 1 HAVING count(DISTINCT kind) = 1)
 SELECT merge_id, entity_key AS survivor FROM x WHERE merge_id IN (SELECT merge_id FROM g) QUALIFY row_number() OVER (PARTITION BY merge_id ORDER BY created_at, entity_key) = 1""")
@@ -415,6 +467,24 @@ def quality_gate(spark, d):
     return resolution.quality_report(m, ["high_tax", "undated"])
 
 
+@query("""WITH m AS (SELECT count(*) FILTER (l_discount > 0.09) AS c, count(*) AS n, count(*) FILTER (l_quantity > 45) AS u, count(*) FILTER (l_tax > 0.07) AS e, count(*) FILTER (l_shipdate IS NULL) AS s,
+  count(*) FILTER (l_quantity > 49) AS d FROM lineitem),
+o AS (SELECT string_agg('SOURCE_FRESHNESS:' || o_orderpriority, ',' ORDER BY o_orderpriority) AS stale FROM (SELECT o_orderpriority FROM orders GROUP BY 1 HAVING max(o_orderdate) < TIMESTAMP '2100-01-01')),
+v AS (SELECT c / n AS conflict_share, u / (3 * n + u) AS unresolved_share, e, s, d FROM m)
+SELECT conflict_share, unresolved_share, concat_ws(',', CASE WHEN conflict_share > 0.05 THEN 'FIELD_CONFLICT_RATIO' END, CASE WHEN unresolved_share > 0.05 THEN 'UNRESOLVED_IDENTITY_RATIO' END,
+  CASE WHEN e > 0 THEN 'ORPHAN_EPISODE_COUNT:' || e END, CASE WHEN s > 0 THEN 'ORPHAN_SEASON_COUNT:' || s END, CASE WHEN d > 0 THEN 'DUPLICATE_EXTERNAL_ID_COUNT:' || d END, 'ATTRIBUTION_COUNTS_MISMATCH', stale) AS violations, false AS passed FROM v, o""")
+def release_gate(spark, d):
+    li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
+    said = {"n_conflicts": F.col("l_discount") > 0.09, "n_unresolved": F.col("l_quantity") > 45, "orphan_episode_count": F.col("l_tax") > 0.07, "orphan_season_count": F.col("l_shipdate").isNull(), "duplicate_external_id_count": F.col("l_quantity") > 49}
+    absent = [g.lower() for g in resolution.GATE_COUNTS if g.lower() not in said]
+    whole = [F.count("*").alias(n) for n in ("n_resolutions", "n_fields", "n_relations")]
+    counts = li.agg(*[F.count_if(x).alias(n) for n, x in said.items()], *whole).select("*", F.lit(0).alias("n_identifiers"), *[F.lit(None).cast("long").alias(n) for n in absent])
+    counted = li.groupBy(F.col("l_returnflag").alias("product"), F.col("l_linestatus").alias("policy_id")).agg(F.count("*").alias("n_assertions"))
+    differs = resolution.attribution_mismatch(counted.withColumn("n_assertions", F.col("n_assertions") + 1), counted)
+    stale = o.groupBy(F.col("o_orderpriority").alias("source")).agg(F.max("o_orderdate").alias("last")).where(F.col("last") < F.expr("TIMESTAMP_NTZ '2100-01-01 00:00:00'"))
+    return resolution.release_gate(counts, differs, stale).withColumn("violations", F.array_join("violations", ","))
+
+
 @query("""WITH r AS (SELECT event_type AS source, event_id AS run_id, ts AS acquired, CASE event_id % 3 WHEN 0 THEN 'COMPLETE' WHEN 1 THEN 'DELTA' ELSE 'PARTIAL' END AS completeness FROM events),
 p(source, max_age_hours) AS (VALUES ('click', 1), ('view', 10000), ('error', 5), ('absent', 5)),
 l AS (SELECT source, max(acquired) FILTER (completeness = 'COMPLETE') AS complete_at, max(acquired) FILTER (completeness = 'DELTA') AS delta_at, max(acquired) FILTER (completeness = 'PARTIAL') AS partial_at, arg_max(run_id, (acquired, run_id)) AS latest_run FROM r GROUP BY 1),

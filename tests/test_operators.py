@@ -127,3 +127,52 @@ def test_composites_fail_closed(spark):
     assert len(composites.fetch_bounded(spark.range(3), 3)) == 3
     with pytest.raises(ValueError):
         composites.fetch_bounded(spark.range(4), 3)
+
+
+def _gate(spark, attribution=(), stale=(), **counts):
+    names = ["n_conflicts", "n_resolutions", "n_fields", "n_identifiers", "n_relations", "n_unresolved", *[g.lower() for g in resolution.GATE_COUNTS]]
+    row = spark.createDataFrame([tuple(counts.get(n) for n in names)], ", ".join(f"{n} long" for n in names))
+    differs = spark.createDataFrame(list(attribution), "product string, policy_id string, said long, counted long")
+    return resolution.release_gate(row, differs, spark.createDataFrame(list(stale), "source string")).first()
+
+
+def test_release_gate_names_every_violation(spark):
+    empty = _gate(spark)
+    assert empty["passed"] and empty["violations"] == [] and empty["conflict_share"] == 0.0 and empty["unresolved_share"] == 0.0
+    edge = _gate(spark, n_conflicts=5, n_resolutions=100, n_fields=45, n_identifiers=10, n_relations=20, n_unresolved=5)
+    assert edge["passed"] and edge["unresolved_share"] == 0.05
+    counts = {g.lower(): i + 1 for i, g in enumerate(resolution.GATE_COUNTS)}
+    bad = _gate(spark, [("p", "x", 1, 2)], [("b",), ("a",), ("a",)], n_conflicts=6, n_resolutions=100, n_fields=1, n_unresolved=1, **counts)
+    named = [f"{g}:{i + 1}" for i, g in enumerate(resolution.GATE_COUNTS)]
+    assert bad["violations"] == ["FIELD_CONFLICT_RATIO", "UNRESOLVED_IDENTITY_RATIO", *named, "ATTRIBUTION_COUNTS_MISMATCH", "SOURCE_FRESHNESS:a", "SOURCE_FRESHNESS:b"]
+    assert not bad["passed"]
+    with pytest.raises(Exception, match="negative counts"):
+        _gate(spark, n_conflicts=-1)
+    with pytest.raises(Exception, match="more conflicts"):
+        _gate(spark, n_conflicts=2, n_resolutions=1)
+
+
+def test_scoped_children_need_one_relation_and_no_ordinal(spark):
+    children = spark.createDataFrame([(c, "E") for c in ("tt1", "tt2", "tt3", "x4", "tt5")], "child string, child_type string")
+    relations = spark.createDataFrame([("tt1", "p", None), ("tt2", "p", None), ("tt2", "p", None), ("tt3", "p", 4), ("x4", "p", None), ("tt5", "q", None)], "child string, parent string, ordinal int")
+    parents = spark.createDataFrame([("p", "E", "K"), ("q", "E", None)], "parent string, parent_type string, entity_key string")
+    none = spark.createDataFrame([], "child string, ordinal int")
+    got = {r["child"]: (r["mode"], r["component"]) for r in identity.parent_constrained(children, relations, none, parents, F.col("child").rlike("^tt[0-9]+$")).collect()}
+    assert {c: m for c, (m, _) in got.items()} == {"tt1": "SCOPED", "tt2": "NO_ORDINAL", "tt3": "PLACED", "x4": "NO_ORDINAL", "tt5": "PARENT_UNRESOLVED"}
+    assert got["tt1"][1] and got["tt2"][1] is None
+    plain = {r["child"]: r["mode"] for r in identity.parent_constrained(children, relations, none, parents).collect()}
+    assert plain["tt1"] == "NO_ORDINAL"
+
+
+def test_closing_once_and_fan_out_keeps_one_row_of_a_key(spark):
+    t = dt.datetime(2024, 1, 1)
+    work = spark.createDataFrame([("r1", "REVOKABLE", 1, "e"), ("r2", "REVOKABLE", 1, "e"), ("r3", "AMBIGUOUS", None, None), ("r4", "UNMAPPED", None, None), ("r5", "REVOKABLE", 9, None)], "record_id string, status string, node_id long, entity_key string")
+    members = spark.createDataFrame([("m1", 1, "e", t, None), ("m0", 1, "e", t, t), ("m2", 2, "e", t, None)], "membership_key string, node_id long, entity_key string, valid_from timestamp, valid_to timestamp")
+    closed, decisions, evidence = identity.close_memberships(work, members, F.lit(t), "gone")
+    assert [(r["membership_key"], r["valid_to"]) for r in closed.collect()] == [("m1", t)]
+    assert [(r["action"], r["node_id"], r["reason"]) for r in decisions.collect()] == [("REVOKE", 1, "gone")]
+    assert sorted((r["record_id"], r["kind"]) for r in evidence.collect()) == [("r1", "INACTIVE_RECORD"), ("r2", "INACTIVE_RECORD"), ("r3", "INACTIVE_MAPPING_CONFLICT")]
+    with pytest.raises(Exception, match="precedes"):
+        identity.close_memberships(work, members, F.lit(t - dt.timedelta(days=1)), "gone")[0].collect()
+    results = spark.createDataFrame([([("a", 2), ("b", 1)],), ([("a", 1)],), (None,)], "rows array<struct<k:string,v:int>>")
+    assert sorted(tuple(r) for r in identity.fan_out(results, {"t": ("rows", ["k"])})["t"].collect()) == [("a", 1), ("b", 1)]
