@@ -14,17 +14,19 @@ def apply_decisions(memberships: DataFrame, entities: DataFrame, decisions: Data
     memberships(node_id, entity_key); entities(entity_key, created_at, level, kind);
     decisions(decision_id, action, node_id, entity_key, target_key). ACCEPT and SPLIT move a node, REJECT takes it out,
     MERGE keeps the older entity, REDIRECT points a key elsewhere. Unknown entities, two moves of one node and merges
-    across levels or kinds are errors. Decisions are few; Spark broadcasts them by their size."""
+    across levels or kinds are errors. Decisions may be as many as entities: joins are sort-merge ones, since Spark's estimate of rows that
+    came from arrays is far too low and it would broadcast all of them through the driver."""
     keyed = decisions.where("action IN ('MERGE', 'REDIRECT')")
     ends = keyed.select("decision_id", F.explode(F.array("entity_key", "target_key")).alias("entity_key"))
-    known = ends.join(entities, "entity_key", "left")
-    merged = known.join(keyed.where("action = 'MERGE'").select("decision_id"), "decision_id", "left_semi").groupBy("decision_id").agg(F.count_distinct("level", "kind").alias("kinds"))
+    known = ends.join(entities.hint("merge"), "entity_key", "left")
+    merged = known.join(keyed.where("action = 'MERGE'").select("decision_id").hint("merge"), "decision_id", "left_semi").groupBy("decision_id").agg(F.count_distinct("level", "kind").alias("kinds"))
     moves = decisions.where("action IN ('ACCEPT', 'SPLIT', 'REJECT')").groupBy("node_id").agg(F.count("*").alias("moves"))
     require_none(known, {"unknown_entities": F.col("created_at").isNull()})
     require_none(merged, {"mixed_merges": F.col("kinds") > 1})
     require_none(moves, {"double_moves": F.col("moves") > 1})
     age = entities.select("entity_key", F.struct("created_at", "entity_key").alias("age"))
-    pair = keyed.join(age, "entity_key").join(age.select(F.col("entity_key").alias("target_key"), F.col("age").alias("target_age")), "target_key")
+    target = age.select(F.col("entity_key").alias("target_key"), F.col("age").alias("target_age"))
+    pair = keyed.join(age.hint("merge"), "entity_key").join(target.hint("merge"), "target_key")
     older = (F.col("action") == "MERGE") & (F.col("age") < F.col("target_age"))
     redirects = pair.select(F.when(older, F.col("target_key")).otherwise(F.col("entity_key")).alias("source"), F.when(older, F.col("entity_key")).otherwise(F.col("target_key")).alias("target"))
     moved = decisions.where("action IN ('ACCEPT', 'SPLIT', 'REJECT')").select("node_id", "action", F.col("target_key").alias("_to"))

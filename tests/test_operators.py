@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from gneiss.operators import closure, digests, identity, lifecycle, projection, resolution
+from gneiss.operators import closure, curation, digests, identity, lifecycle, projection, resolution
 from gneiss.operators.components import connected_components
 
 
@@ -176,3 +176,19 @@ def test_closing_once_and_fan_out_keeps_one_row_of_a_key(spark):
         identity.close_memberships(work, members, F.lit(t - dt.timedelta(days=1)), "gone")[0].collect()
     results = spark.createDataFrame([([("a", 2), ("b", 1)],), ([("a", 1)],), (None,)], "rows array<struct<k:string,v:int>>")
     assert sorted(tuple(r) for r in identity.fan_out(results, {"t": ("rows", ["k"])})["t"].collect()) == [("a", 1), ("b", 1)]
+
+
+def test_many_decisions_never_pass_through_the_driver(spark):
+    """Entities that came from arrays look tiny to the planner; broadcast, they filled the driver's memory."""
+    n = 60_000
+    keys = spark.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(2 * n - 1))).alias("entity_key"))
+    entities = keys.select("entity_key", F.col("entity_key").alias("created_at"), F.lit("l").alias("level"), F.lit("k").alias("kind"))
+    decisions = keys.where("entity_key % 2 = 0").select(F.col("entity_key").alias("decision_id"), F.when(F.col("entity_key") % 4 == 0, "MERGE").otherwise("REDIRECT").alias("action"), F.lit(None).cast("int").alias("node_id"), "entity_key", (F.col("entity_key") + 1).alias("target_key"))
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1m")
+    try:
+        members, redirects = curation.apply_decisions(entities.select(F.col("entity_key").alias("node_id"), "entity_key").where("false"), entities, decisions)
+        found = redirects.agg(F.count("*").alias("n"), F.count_if((F.col("target") % 4 == 0) & (F.col("source") == F.col("target") + 1)).alias("merged"), F.count_if((F.col("source") % 4 == 2) & (F.col("target") == F.col("source") + 1)).alias("moved")).first()
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert (found["n"], found["merged"], found["moved"]) == (n, n // 2, n // 2)
+    assert members.count() == 0
