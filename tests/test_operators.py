@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from gneiss.operators import closure, curation, digests, identity, lifecycle, projection, resolution
+from gneiss.operators import closure, composites, curation, digests, identity, lifecycle, projection, resolution
 from gneiss.operators.components import connected_components
 
 
@@ -192,3 +192,32 @@ def test_many_decisions_never_pass_through_the_driver(spark):
         spark.conf.unset("spark.sql.maxBroadcastTableSize")
     assert (found["n"], found["merged"], found["moved"]) == (n, n // 2, n // 2)
     assert members.count() == 0
+
+
+def _shuffled(plan) -> int:
+    """Rows written by the exchanges of an executed plan."""
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return _shuffled(plan.executedPlan())
+    if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+        return _shuffled(plan.plan())
+    own = plan.metrics().get("shuffleRecordsWritten")
+    children = plan.children()
+    return (own.get().value() if own.isDefined() else 0) + sum(_shuffled(children.apply(i)) for i in range(children.size()))
+
+
+def test_candidate_pairs_are_unrolled_without_a_shuffle(spark):
+    """400 nodes and 300 entities on one key are 120,000 pairs; grouping them all filled the disk on larger tables."""
+    odd = [(1, "p"), (1, "q"), (1, "q"), (2, None), (None, "p"), (None, "p"), (3, "r")]
+    identifiers = spark.createDataFrame(odd, "node_id long, blocking_key string").unionByName(spark.range(100, 500).select(F.col("id").alias("node_id"), F.lit("hot").alias("blocking_key")))
+    stored = [("p", 7), ("q", 7), ("q", 7), ("p", 8), ("q", 8), ("p", None), ("q", 9), (None, 9), (None, None), ("hot", 9)]
+    known = spark.createDataFrame(stored, "blocking_key string, entity_key long").unionByName(spark.range(1000, 1300).select(F.lit("hot").alias("blocking_key"), F.col("id").alias("entity_key")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = composites.candidate_links(identifiers, known)
+        rows = [tuple(r) for r in links.collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    few = {(1, 7, 2), (1, 8, 2), (1, None, 1), (1, 9, 1), (None, 7, 1), (None, 8, 1), (None, None, 1)}
+    hot = {(n, e, 1) for n in range(100, 500) for e in (9, *range(1000, 1300))}
+    assert len(rows) == len(few) + len(hot) and set(rows) == few | hot
+    assert _shuffled(links._jdf.queryExecution().executedPlan()) < 10_000
