@@ -24,6 +24,7 @@ import json
 import re
 from collections.abc import Iterator
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ from gneiss.session import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 CACHE = 250_000  # segments in each of two generations
+TOGETHER = 2_000_000  # characters of texts whose segments are solved at once
 SPACE = "▁"
 
 
@@ -53,6 +55,7 @@ class Pieces:
 
     def __init__(self, vocabulary: list[tuple[str, float, int]]):
         self.trie: dict = {}
+        backward: dict = {}  # the pieces from their last character on
         self.byte_ids = {int(p[1:-1], 16): i for i, (p, _, k) in enumerate(vocabulary) if k == 1}
         singles = {p for p, _, k in vocabulary if k == 0 and len(p) == 1}
         for i, (piece, score, kind) in enumerate(vocabulary):
@@ -64,15 +67,18 @@ class Pieces:
             for c in piece:
                 node = node.setdefault(c, {})
             node[""] = (i, float(score))
-        self.steps = self._steps(self.trie)
+            node = backward
+            for c in reversed(piece):
+                node = node.setdefault(c, {})
+            node[""] = (i, float(score))
+        self.backward = self._steps(backward)
         self.longest = max(len(p) for p, _, k in vocabulary if k == 0)
         known = singles - {SPACE, " "}
         self.unknown_score = min(s for _, s, k in vocabulary if k == 0) - 10.0
         letters = "".join(re.escape(c) for c in sorted(known))
         self.segments = re.compile(f" *[{letters}]+| +|.", re.S)
         self.known = known | {SPACE, " "}
-        self.shown = [None if k == 1 else p.replace(SPACE, " ") if k == 0 else "" for p, _, k in vocabulary]
-        self.bytes = {i: b for b, i in self.byte_ids.items()}
+        self.shown = [bytes([int(p[1:-1], 16)]) if k == 1 else p.replace(SPACE, " ").encode() if k == 0 else b"" for p, _, k in vocabulary]
         self.cache: dict[str, tuple[tuple[int, ...], float, float]] = {}
         self.older: dict[str, tuple[tuple[int, ...], float, float]] = {}
         self.lists: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
@@ -109,38 +115,49 @@ class Pieces:
     def _spell(self, character: str) -> tuple[int, ...]:
         return tuple(self.byte_ids[b] for b in character.encode("utf-8", "surrogatepass"))
 
-    def solve(self, segment: str) -> tuple[tuple[int, ...], float, float]:
-        """(ids, score, loss of the second best path) of a segment."""
-        if segment == SPACE or segment not in self.known and len(segment) == 1:
-            return self._spell(segment), self.unknown_score, float("inf")
-        # forward Viterbi with the best and the second best score of each place; a step is (next, score, id)
-        text = segment.replace(" ", SPACE)
-        n = len(text)
-        first, second = [0.0] + [-1e300] * n, [-1e300] * (n + 1)
-        start, piece = [0] * (n + 1), [0] * (n + 1)
-        steps, longest = self.steps, self.longest
-        for i in range(n):
-            here, next_best, node, end = first[i], second[i], steps, i
-            for c in text[i : i + longest]:
-                step = node.get(c)
-                if step is None:
+    def solve(self, segments: list[str]) -> None:
+        """Put (ids, score, loss of the second best path) of segments into the cache. Sorted, a segment goes on from what it shares with the one before."""
+        steps, longest, cache, before = self.backward, self.longest, self.cache, ""
+        # Viterbi with the best and the second best score of each place, from the pieces that end there; a step is (next, score, id)
+        first, second, start, piece = [0.0], [-1e300], [0], [0]
+        for segment in sorted(segments):
+            if segment == SPACE or segment not in self.known and len(segment) == 1:
+                cache[segment] = self._spell(segment), self.unknown_score, float("inf")
+                continue
+            text = segment.replace(" ", SPACE)
+            n, same = len(text), 0
+            for x, y in zip(text, before):
+                if x != y:
                     break
-                node, score, k = step
+                same += 1
+            before, back = text, text[::-1]
+            if len(first) <= n:
+                for places in (first, second, start, piece):
+                    places += [0] * (n + 1 - len(places))
+            for end in range(same, n):
+                best, other, at, own, node, i = -1e300, -1e300, 0, 0, steps, end
+                for c in back[n - 1 - end : n - 1 - end + longest]:
+                    step = node.get(c)
+                    if step is None:
+                        break
+                    node, score, k = step
+                    if k >= 0:
+                        total = first[i] + score
+                        if total >= best:  # of equal ones the earlier place
+                            loser = second[i] + score
+                            other = best if best > loser else loser
+                            best, at, own = total, i, k
+                        elif total > other:
+                            other = total
+                    i -= 1
                 end += 1
-                if k >= 0:
-                    total = here + score
-                    if total > first[end]:
-                        other = next_best + score
-                        second[end] = first[end] if first[end] > other else other
-                        first[end], start[end], piece[end] = total, i, k
-                    elif total > second[end]:
-                        second[end] = total
-        ids, at = [], n
-        while at:
-            ids.append(piece[at])
-            at = start[at]
-        ids.reverse()
-        return tuple(ids), first[n], first[n] - second[n] if second[n] > -1e299 else float("inf")
+                first[end], second[end], start[end], piece[end] = best, other, at, own
+            ids, at = [], n
+            while at:
+                ids.append(piece[at])
+                at = start[at]
+            ids.reverse()
+            cache[segment] = tuple(ids), first[n], first[n] - second[n] if second[n] > -1e299 else float("inf")
 
     def nbest(self, segment: str, n: int = BEST) -> list[tuple[float, tuple[int, ...]]]:
         """The n best segmentations by backward A*: a partial path from the end is ranked by its score and the Viterbi score of its place."""
@@ -169,26 +186,46 @@ class Pieces:
                     heapq.heappush(agenda, (-(score[i] + s + done), order, i, done + s, (piece, tail)))
         return out
 
-    def _solved(self, segment: str) -> tuple[tuple[int, ...], float, float]:
-        found = self.cache.get(segment)
-        if found is None:
-            if len(self.cache) >= CACHE:  # two generations: what is still in use comes back from the older one
-                self.older, self.cache = self.cache, {}
-                self.lists.clear()
-            found = self.cache[segment] = self.older.get(segment) or self.solve(segment)
-        return found
+    def prepare(self, cuts) -> None:
+        """Have these segments in the cache."""
+        if len(self.cache) >= CACHE:  # two generations: what is still in use comes back from the older one
+            self.older, self.cache = self.cache, {}
+            self.lists.clear()
+        cache, older, new = self.cache, self.older, []
+        for cut in set(cuts).difference(cache):
+            found = older.get(cut)
+            if found is None:
+                new.append(cut)
+            else:
+                cache[cut] = found
+        self.solve(new)
+
+    def encode_all(self, texts: list[str | None], n: int = BEST) -> Iterator[tuple[np.ndarray, float, list]]:
+        """encode() of each text; segments are solved for several texts at once, of bounded length in all."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end] or "") <= TOGETHER):
+                size += len(texts[end] or "")
+                end += 1
+            cuts = [self.segments.findall(" " + t) if t else [] for t in texts[at:end]]
+            self.prepare(chain.from_iterable(cuts))
+            yield from (self._encode(c, n) for c in cuts)
+            at = end
 
     def encode(self, text: str | None, n: int = BEST) -> tuple[np.ndarray, float, list]:
         """(ids, score, alternatives): alternatives are (score, [(place, pieces replaced, ids), ...]), best first, without the best one."""
-        if not text:
+        return next(self.encode_all([text], n))
+
+    def _encode(self, cuts: list[str], n: int) -> tuple[np.ndarray, float, list]:
+        if not cuts:
             return np.empty(0, np.int32), 0.0, []
-        cuts = self.segments.findall(" " + text)
-        solved = [self.cache.get(c) or self._solved(c) for c in cuts]
-        ids = np.fromiter(chain.from_iterable([s[0] for s in solved]), np.int32)
-        score = sum([s[1] for s in solved])
+        solved = list(map(self.cache.__getitem__, cuts))
+        ids = np.fromiter(chain.from_iterable(map(itemgetter(0), solved)), np.int32)
+        score = sum(map(itemgetter(1), solved))
         if n < 2:
             return ids, score, []
-        losses = np.array([s[2] for s in solved])
+        losses = np.fromiter(map(itemgetter(2), solved), float, len(solved))
         some = min(n - 1, len(losses))
         worst = np.partition(losses, some - 1)[some - 1]
         near = np.flatnonzero(losses <= worst)
@@ -202,7 +239,7 @@ class Pieces:
             lists.append([(score_, ids_) for score_, ids_ in own])
         if not lists:
             return ids, score, []
-        starts = np.cumsum([0] + [len(s[0]) for s in solved])
+        starts = np.cumsum([0, *map(len, map(itemgetter(0), solved))])
         out, agenda, seen = [], [(0.0, (0,) * len(lists))], {(0,) * len(lists)}
         while agenda and len(out) < n:
             lost, pick = heapq.heappop(agenda)
@@ -220,22 +257,7 @@ class Pieces:
     def decode(self, ids) -> str:
         if not len(ids):
             return ""
-        shown, spelled = self.shown, self.bytes
-        parts = [shown[i] for i in ids]
-        if None not in parts:
-            return "".join(parts)[1:]
-        out, held = [], bytearray()
-        for i, part in zip(ids, parts):
-            if part is None:
-                held.append(spelled[i])
-                continue
-            if held:
-                out.append(held.decode("utf-8", "surrogatepass"))
-                held = bytearray()
-            out.append(part)
-        if held:
-            out.append(held.decode("utf-8", "surrogatepass"))
-        return "".join(out)[1:]
+        return b"".join(map(self.shown.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
 
 _made: list[tuple[list, Pieces]] = []
@@ -255,7 +277,7 @@ def _encoding(shared, n: int):
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = part.column(part.num_columns - 1).to_pylist()
-                done = [own.encode(t, n) for t in texts]
+                done = list(own.encode_all(texts, n))
                 sizes = np.cumsum([0] + [len(d[0]) for d in done])
                 lists = pa.ListArray.from_arrays(pa.array(sizes.astype(np.int32)), pa.array(np.concatenate([d[0] for d in done])))
                 backs = [own.decode(d[0].tolist()) == (t or "") for d, t in zip(done, texts)]

@@ -173,3 +173,28 @@ def test_small_shards_split_only_where_needed(spark):
         assert r["oversize"] == (r["shard_bytes"] > 1000) and (not r["oversize"] or r["shard_docs"] == 1)
         if r["shard"]:
             assert sum(b for s, b in sizes.items() if s.startswith(r["shard"][:-1])) > 1000
+
+
+def test_pieces_go_on_from_shared_beginnings():
+    """Segments that begin alike are solved from where they part; each one alone gives the same."""
+
+    class Counting(dict):
+        looked = 0
+
+        def get(self, *a):
+            Counting.looked += 1
+            return dict.get(self, *a)
+
+    own, alone = pieces.Pieces(pieces.load_model()), pieces.Pieces(pieces.load_model())
+    own.backward = Counting(own.backward)
+    texts = [" ".join("stem" * 10 + x + y for y in "abcdefghij") for x in "klmnop"] + [None, "", "é日\x00 ▁ a▁b", "aaaaaaaa aaaaaaab aaaa"]
+    together = list(own.encode_all(texts))
+    assert Counting.looked < 1_000  # 60 words of 42 letters have 2,600 places
+    for text, (ids, score, others) in zip(texts, together):
+        ids_, score_, others_ = alone.encode(text)
+        assert (ids.tolist(), score, others) == (ids_.tolist(), score_, others_)
+        assert own.decode(ids.tolist()) == (text or "")
+        for segment in own.segments.findall(" " + text) if text else []:
+            best = own.nbest(segment)
+            assert own.cache[segment][1] == pytest.approx(best[0][0])
+            assert len(best) < 2 or own.cache[segment][2] == pytest.approx(best[0][0] - best[1][0])
