@@ -221,3 +221,23 @@ def test_candidate_pairs_are_unrolled_without_a_shuffle(spark):
     hot = {(n, e, 1) for n in range(100, 500) for e in (9, *range(1000, 1300))}
     assert len(rows) == len(few) + len(hot) and set(rows) == few | hot
     assert _shuffled(links._jdf.queryExecution().executedPlan()) < 10_000
+
+
+def test_candidate_pairs_of_one_key_are_made_in_several_tasks(spark):
+    """200 nodes and 2,501 entities, one of them null, on one key are 500,200 pairs; one task made them all, however many there were."""
+    identifiers = spark.range(200).select(F.col("id").alias("node_id"), F.lit("hot").alias("blocking_key"))
+    known = spark.range(2501).select(F.lit("hot").alias("blocking_key"), F.when(F.col("id") > 0, F.col("id")).alias("entity_key"))
+    changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    usual = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        links = composites.candidate_links(identifiers, known)
+        tasks = links.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.sum("n_keys").alias("keys")).collect()
+        nodes = links.groupBy("node_id").agg(F.count("*").alias("n"), F.count_distinct("entity_key").alias("entities"), F.count_if(F.col("entity_key").isNull()).alias("nulls")).collect()
+    finally:
+        for name, value in usual.items():
+            spark.conf.set(name, value)
+    assert sum(t["n"] for t in tasks) == sum(t["keys"] for t in tasks) == 200 * 2501
+    assert max(t["n"] for t in tasks) < 200 * 2501 / 2
+    assert len(nodes) == 200 and {(r["n"], r["entities"], r["nulls"]) for r in nodes} == {(2501, 2500, 1)}
